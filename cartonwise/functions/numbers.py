@@ -1,4 +1,4 @@
-"""Percentages, bands and carton measures. Rounding is half-even throughout."""
+"""Percentages, rounding, bands and carton measures."""
 
 from __future__ import annotations
 
@@ -14,13 +14,26 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def rounded(value: Column, digits: int = 1) -> Column:
-    return F.bround(value, digits)
+    """Round a double as it is stored, half to even. 0.05 is stored a little above its decimal form and gives 0.1 at
+    one digit, where rounding its printed form (bround) would give 0.0; such near-ties are settled by the JVM's decimal
+    formatter, which looks at the stored value, and all other values by plain arithmetic."""
+    value = value.cast("double")
+    scaled = value * 10**digits
+    near_tie = F.abs(scaled - F.floor(scaled) - 0.5) < 1e-3
+    exact = F.call_function("format_number", value, F.lit("0." + "0" * digits)).cast("double")
+    return F.when(near_tie, exact).otherwise(F.rint(scaled) / 10**digits)
 
 
 def percent_change(now: Column, before: Column) -> Column:
     """Whole-percent change; null without a base."""
     ratio = F.try_divide((now - before).cast("double"), before.cast("double"))
-    return F.bround(ratio * 100, 0).cast("bigint")
+    return F.rint(ratio * 100).cast("bigint")
+
+
+def mean_of_rounded(rate: Column, digits: int) -> Column:
+    """Aggregate: mean of rates that are already rounded, summed as integers so that row order cannot matter."""
+    steps = F.rint(rate * 10**digits).cast("bigint")
+    return F.try_divide(F.sum(steps).cast("double"), F.count(rate) * 10**digits)
 
 
 def rate_band(rate: Column, rules: Rules) -> Column:
@@ -35,12 +48,12 @@ def heat_band(rate: Column, rules: Rules) -> Column:
 
 def carton_volume(length: Column, width: Column, height: Column) -> Column:
     """Cubic metres of a carton measured in millimetres; null if a side is missing."""
-    return F.bround((length / 1000) * (width / 1000) * (height / 1000), 4)
+    return rounded((length / 1000) * (width / 1000) * (height / 1000), 4)
 
 
 def carton_density(units: Column, cbm: Column) -> Column:
     """Units per cubic metre, from the rounded volume; null for a missing or zero volume."""
-    return F.bround(F.try_divide(units.cast("double"), cbm.cast("double")), 2)
+    return rounded(F.try_divide(units.cast("double"), cbm.cast("double")), 2)
 
 
 # board_area() counts in this many parts of a square metre.

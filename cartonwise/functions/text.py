@@ -26,7 +26,7 @@ def like_contains(value: str) -> str:
 
 def split_emails(cell: Column) -> Column:
     """Addresses of a cell split at commas and semicolons, blanks and repeats dropped, order kept."""
-    parts = F.transform(F.split(cell, "[,;]"), F.trim)
+    parts = F.transform(F.split(cell, "[,;]"), lambda e: F.trim(e))
     return F.array_distinct(F.filter(parts, lambda e: e != ""))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartonwise.config import Rules
 from cartonwise.functions.dates import calendar_days, month_grid, month_of, shift_month, working_days
-from cartonwise.functions.numbers import percent_change
+from cartonwise.functions.numbers import percent_change, rounded
 from cartonwise.functions.regions import country_region
 from cartonwise.operators.facts import facts, first_day, in_any_month, in_months, total
 from cartonwise.operators.filters import not_blank
@@ -65,7 +65,7 @@ def approver_performance(rows: DataFrame, month: dt.date) -> DataFrame:
     present = picked.agg(*_month_sums(month)).select(F.struct("m0", "m1", "m12")).scalar()
     cells = counts.select("approved_by", *(F.when(present[m] > 0, F.col(m)).alias(m) for m in ("m0", "m1", "m12")))
     largest = counts.agg(F.max(F.greatest("m0", "m1", "m12"))).scalar()
-    return cells.withColumn("share_of_max", F.bround(F.try_divide(F.col("m0").cast("double"), largest), 4))
+    return cells.withColumn("share_of_max", rounded(F.try_divide(F.col("m0").cast("double"), largest), 4))
 
 
 def lines_per_working_day(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
@@ -126,7 +126,7 @@ def headline(trend: DataFrame, lines_by_region: DataFrame, month: dt.date) -> Da
     measures = ("lines", "suppliers", "factories")
     row = both.agg(*(at(m, c).alias(f"{c}_{i}") for c in measures for i, m in enumerate((month, before))),
                    at(month, "bd").alias("bd"), at(month, "cn").alias("cn"))
-    share = F.coalesce(F.bround(F.try_divide(F.col("bd").cast("double"), F.col("bd") + F.col("cn")) * 100, 0),
+    share = F.coalesce(F.rint(F.try_divide(F.col("bd").cast("double"), F.col("bd") + F.col("cn")) * 100),
                        F.lit(0)).cast("bigint")
     row = row.withColumn("bd_share", share).withColumn(
         "cn_share", F.when(F.col("bd") + F.col("cn") > 0, 100 - F.col("bd_share")).otherwise(0))
@@ -148,7 +148,7 @@ def month_comparison(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame
         return F.when(totals["m0"] > 0, value("m0")).when(totals["m1"] > 0, value("m1")).otherwise(value("m12"))
 
     part, whole = of_first_present(F.col), of_first_present(lambda m: totals[m])
-    share = F.coalesce(F.bround(F.try_divide(part.cast("double"), whole) * 100, 0), F.lit(0)).cast("bigint")
+    share = F.coalesce(F.rint(F.try_divide(part.cast("double"), whole) * 100), F.lit(0)).cast("bigint")
     return cells.select("country", country_region(F.col("country"), rules).alias("region"),
                         *(F.nullif(F.col(m), F.lit(0)).alias(f"lines_{m}") for m in ("m0", "m1", "m12")),
                         share.alias("share"))

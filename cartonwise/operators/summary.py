@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartonwise.config import Rules
 from cartonwise.functions.dates import month_grid, shift_month
-from cartonwise.functions.numbers import heat_band, percent, rounded
+from cartonwise.functions.numbers import heat_band, mean_of_rounded, percent, rounded
 from cartonwise.functions.text import joined, matching_key
 from cartonwise.operators.facts import facts, first_day, in_months, total
 from cartonwise.operators.numbering import number_rows, sort_columns
@@ -59,7 +59,7 @@ def numbered_suppliers(trend: DataFrame) -> DataFrame:
 
 def yearly_average(trend: DataFrame, rules: Rules) -> DataFrame:
     """Mean of a supplier's rounded monthly rates, months without lines skipped, and its shading."""
-    means = trend.groupBy("supplier").agg(F.avg("rate").alias("mean"))
+    means = trend.groupBy("supplier").agg(mean_of_rounded(F.col("rate"), 1).alias("mean"))
     return means.select("supplier", rounded(F.col("mean")).alias("mean_rate"),
                         heat_band(F.col("mean"), rules).alias("heat_band"))
 
@@ -71,8 +71,9 @@ def country_average(rows: DataFrame, month: dt.date) -> DataFrame:
         F.max(F.when(F.col("month") == F.lit(month), F.col("rate"))).alias("now"),
         F.max(F.when(F.col("month") != F.lit(month), F.col("rate"))).alias("before"))
     in_both = F.col("now").isNotNull() & F.col("before").isNotNull()
-    change = F.avg(F.when(in_both, F.col("now"))) - F.avg(F.when(in_both, F.col("before")))
-    return by_country.agg(rounded(F.avg("now"), 2).alias("avg_rate"),
+    change = (mean_of_rounded(F.when(in_both, F.col("now")), 2)
+              - mean_of_rounded(F.when(in_both, F.col("before")), 2))
+    return by_country.agg(rounded(mean_of_rounded(F.col("now"), 2), 2).alias("avg_rate"),
                           rounded(change, 2).alias("like_for_like_change"))
 
 

@@ -62,11 +62,12 @@ def line_totals(details: DataFrame, *keys: str) -> DataFrame:
 
 def carton_usage(rows: DataFrame) -> DataFrame:
     """Approved share, approved quantity and corrugated board per factory."""
-    board = F.coalesce(F.sum("board").cast("double"), F.lit(0.0)) / BOARD_UNITS
+    # Rounded to tenths of a square metre while still a decimal: exact.
+    tenths = F.bround(F.coalesce(F.sum("board"), F.lit(0)).cast("decimal(38,0)"), -5)
     return facts(rows).groupBy("month", "supplier", "factory").agg(
         rounded(percent(F.sum("approved"), F.sum("lines"))).alias("standard_carton_pct"),
         F.coalesce(F.sum("approved_qty"), F.lit(0)).alias("total_carton_qty"),
-        rounded(board).alias("corrugated_sqm"))
+        (tenths.cast("double") / BOARD_UNITS).alias("corrugated_sqm"))
 
 
 def densified(grouped: DataFrame, key: str, months: Column, *values: str) -> DataFrame:

@@ -219,7 +219,7 @@ def kpi_countries(base: DataFrame, f: Filters, rules: Rules) -> DataFrame:
     cells = base.where(not_blank("origin_country")).groupBy(F.col("origin_country").alias("country")).agg(
         cell(f.month).alias("lines_m0"), cell(shift_month(f.month, -1)).alias("lines_m1"),
         cell(shift_month(f.month, -12)).alias("lines_m12"))
-    share = F.bround(F.try_divide(F.coalesce("lines_m0", F.lit(0)).cast("double"), whole) * 100, 0)
+    share = F.rint(F.try_divide(F.coalesce("lines_m0", F.lit(0)).cast("double"), whole) * 100)
     return cells.withColumn("region", country_region(F.col("country"), rules)).withColumn(
         "share", F.coalesce(share, F.lit(0)).cast("bigint"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from cartonwise.operators.facts import rollup
 from cartonwise.schema import LINES
 from cartonwise.sources.exports import conform, export_name, header_of, read_exports
 
+# Files whose first line is read at the same time.
+PROBES = 16
 REPORT = "source_file string, status string, error string"
 
 
@@ -66,21 +69,29 @@ class LineStore:
         """Load exports; returns one report row per file: Loaded with its rows, Skipped (already loaded) or Failed
         with the reason. A bad file never stops the others, and never touches what was loaded before."""
         named = {export_name(p): p for p in paths}
-        todo, skipped, failed = dict(named), set(), {}
+        todo, skipped = dict(named), set()
         if not reprocess and self.exists():
             # At most one row per offered file.
             offered = self.spark.createDataFrame([(n,) for n in named], "source_file string")
             todo = {r.source_file: named[r.source_file] for r in pending_files(offered, self.read()).collect()}
             skipped = named.keys() - todo.keys()
-        headers = {}
-        for name, path in todo.items():
-            try:
-                headers[path] = header_of(self.spark, path)
-            except Exception as error:
-                failed[name] = _reason(error)
+        headers, failed = self._headers(todo)
         failed |= self._write(headers, aliases)
         return self._report(named, skipped, failed)
 
+    def _headers(self, todo: dict[str, str]) -> tuple[dict[str, tuple], dict[str, str]]:
+        """Headers of the good files and reasons for the bad ones; the first lines are fetched concurrently."""
+        def probe(item):
+            name, path = item
+            try:
+                return path, header_of(self.spark, path), None
+            except Exception as error:
+                return name, None, _reason(error)
+
+        with ThreadPoolExecutor(PROBES) as pool:
+            found = list(pool.map(probe, todo.items()))
+        return {k: header for k, header, _ in found if header}, {k: error for k, _, error in found if error}
+
     def _write(self, headers: dict, aliases: DataFrame | None) -> dict[str, str]:
         """One job for all files; only if it fails, one per file to find those at fault."""
         if not headers:

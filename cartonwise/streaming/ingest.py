@@ -14,9 +14,12 @@ from pyspark.sql.streaming import StreamingQuery
 from cartonwise.sources.store import LineStore
 
 
+BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def arriving_files(spark: SparkSession, folder: str, pattern: str = "*", per_batch: int | None = None) -> DataFrame:
     """Paths of new files; the file contents are not part of the plan and are never read here."""
-    reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILES).option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true"))
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
