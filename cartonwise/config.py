@@ -8,7 +8,7 @@ import uuid
 from dataclasses import dataclass, field
 from types import MappingProxyType
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The countries of region BD; every other country is region CN.
 BD_COUNTRIES = ("Bangladesh", "India", "Pakistan", "Sri Lanka", "Morocco", "Turkey")
@@ -64,3 +64,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a table that a job writes and reads back."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder, for a small aggregate that several results start from. Unlike a
+    cache it outlives the executors that computed it."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -11,7 +11,7 @@ from cartonwise.config import Rules
 from cartonwise.functions.dates import calendar_days, month_grid, month_of, shift_month, working_days
 from cartonwise.functions.numbers import percent_change, rounded
 from cartonwise.functions.regions import country_region
-from cartonwise.operators.facts import facts, first_day, in_any_month, in_months, total
+from cartonwise.operators.facts import facts, in_any_month, in_months, total
 from cartonwise.operators.filters import not_blank
 
 
@@ -86,9 +86,11 @@ def per_day(lines, days):
     return F.coalesce(F.ceil(F.try_divide(lines.cast("double"), days.cast("double"))), F.lit(0)).cast("bigint")
 
 
-def supplier_factory_trend(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
+def supplier_factory_trend(rows: DataFrame, month: dt.date, rules: Rules,
+                           history: DataFrame | None = None) -> DataFrame:
     """Distinct suppliers and factories per chart month: overall, where one in both regions counts once, and per
-    region. Reduced to distinct keys first, so that the six counts expand a small set."""
+    region. Reduced to distinct keys first, so that the six counts expand a small set. `history` tells when data begins,
+    if rows do not reach back that far."""
     first = shift_month(month, 1 - rules.chart_months)
     keys = _with_region(in_months(rows, first, month), rules).select("month", "region", "supplier", "factory")
     counts = []
@@ -98,16 +100,17 @@ def supplier_factory_trend(rows: DataFrame, month: dt.date, rules: Rules) -> Dat
         counts += [F.count_distinct(F.when(F.col("region") == r, F.col(name))).alias(f"{r.lower()}_{plural}")
                    for r in ("BD", "CN")]
     monthly = keys.distinct().groupBy("month").agg(*counts)
-    return _on_chart(monthly, rows, month, rules)
+    return _on_chart(monthly, rows if history is None else history, month, rules)
 
 
-def region_lines(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
+def region_lines(rows: DataFrame, month: dt.date, rules: Rules,
+                 history: DataFrame | None = None) -> DataFrame:
     """Lines per region and chart month."""
     first = shift_month(month, 1 - rules.chart_months)
     picked = _with_region(in_months(rows, first, month), rules)
     monthly = picked.groupBy("month").agg(
         *(F.sum(F.when(F.col("region") == r, F.col("lines")).otherwise(0)).alias(r.lower()) for r in ("BD", "CN")))
-    return _on_chart(monthly, rows, month, rules)
+    return _on_chart(monthly, rows if history is None else history, month, rules)
 
 
 def _on_chart(monthly: DataFrame, rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:

@@ -12,7 +12,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartonwise.config import shared_folder
+from cartonwise.config import materialized
 
 # Below this many rows Spark's top-k (per task, then merged) finds a page without a full sort.
 TOP_K_ROWS = 10_000
@@ -21,13 +21,11 @@ TOP_K_ROWS = 10_000
 def number_rows(df: DataFrame, order: list[Column], name: str = "sl") -> DataFrame:
     """Add a 1-based sequence number in the given order, which should be total. The partitioned rows are
     checkpointed before they are counted: numbers stay valid when a lost executor forces recomputation."""
-    spark = df.sparkSession
-    shared_folder(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The id's low 33 bits count rows inside a partition.
-    placed = placed.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_seq", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).checkpoint()
+    placed = materialized(placed.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_seq", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     sizes = [0] * parts
     for row in placed.groupBy("_part").count().collect():
         sizes[row["_part"]] = row["count"]

@@ -19,8 +19,9 @@ def rates(rows: DataFrame, *keys: str) -> DataFrame:
 def add_ranks(rated: DataFrame, *within: str) -> DataFrame:
     """Dense rank by rate (best first), number of named suppliers, and whether the rate is shared, per group.
 
-    A group's window runs over its distinct rates, not over its suppliers: few distinct fractions however
-    many suppliers there are. Suppliers then look their rate up."""
+    A group's window runs over its distinct rates, not over its suppliers; suppliers then look their rate up. There are
+    few distinct rates: k different fractions c/n take about k**1.5 lines to make, so even 10 billion lines in a month
+    cannot have more than some 5 million."""
     group = Window.partitionBy(*within)
     levels = rated.groupBy(*within, "rate").agg(F.count("*").alias("holders"), F.count("supplier").alias("named"))
     levels = levels.select(

@@ -28,12 +28,12 @@ def country_compliance(rows: DataFrame) -> DataFrame:
     return rated.select("month", "country", rounded(F.col("rate"), 2).alias("rate"))
 
 
-def country_trend(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
-    """Country rates per chart month, null where a country shipped nothing, with each country's place: by first
-    month with lines, then by name."""
+def country_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataFrame | None = None) -> DataFrame:
+    """Country rates per chart month, null where a country shipped nothing. `history` tells when data begins, if rows
+    do not reach back that far."""
     first = shift_month(month, 1 - rules.chart_months)
     monthly = country_compliance(in_months(rows, first, month))
-    months = F.any_value(month_grid(first_day(rows), month, rules.chart_months))
+    months = F.any_value(month_grid(first_day(rows if history is None else history), month, rules.chart_months))
     return densified(monthly, "country", months, "rate")
 
 
@@ -43,12 +43,12 @@ def country_order(trend: DataFrame) -> DataFrame:
     return number_rows(first_seen, sort_columns([("first_month", True), ("country", True)]), "position")
 
 
-def supplier_trend(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
+def supplier_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataFrame | None = None) -> DataFrame:
     """Supplier rates per chart month, null where a supplier had no lines."""
     first = shift_month(month, 1 - rules.chart_months)
     monthly = rates(in_months(rows, first, month), "month", "supplier")
     monthly = monthly.withColumn("rate", rounded(F.col("rate")))
-    months = F.any_value(month_grid(first_day(rows), month, rules.chart_months))
+    months = F.any_value(month_grid(first_day(rows if history is None else history), month, rules.chart_months))
     return densified(monthly, "supplier", months, "rate")
 
 

@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartonwise.config import Rules
+from cartonwise.config import Rules, materialized
 from cartonwise.functions.dates import month_grid, shift_month, working_days
 from cartonwise.functions.numbers import percent, percent_change, rate_band, rounded
 from cartonwise.functions.regions import country_region, supplier_region
 from cartonwise.functions.text import joined
-from cartonwise.operators.facts import facts, first_day, in_any_month, in_months, rollup, total
+from cartonwise.operators.facts import facts, in_any_month, in_months, rollup, total
 from cartonwise.operators.filters import Filters, in_band, line_filter, not_blank
 from cartonwise.operators.kpi import chart_months, per_day
 from cartonwise.operators.rates import add_ranks, rates
@@ -160,7 +160,7 @@ def kpi_rows(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
 
 def kpi_dashboard(rows: DataFrame, filters: Filters, rules: Rules) -> KpiDashboard:
     f = filters.cleaned()
-    base = kpi_rows(rows, f, rules)
+    base = materialized(kpi_rows(rows, f, rules))
     people = kpi_people(rows, base, f, rules)
     return KpiDashboard(kpi_cards(people, base, f, rules), people, kpi_countries(base, f, rules),
                         approver_change(base, f.month))

@@ -13,12 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartonwise.config import Rules
-from cartonwise.functions.numbers import percent, rate_band, rounded
+from cartonwise.config import Rules, materialized
+from cartonwise.functions.numbers import rate_band
 from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import file_safe
 from cartonwise.operators import supplier as S
-from cartonwise.operators.facts import facts, in_months
+from cartonwise.operators.facts import in_months, rollup
 from cartonwise.operators.rates import global_rank, local_rank
 from cartonwise.operators.transactions import transactions
 from cartonwise.sources.json import to_item
@@ -35,24 +35,24 @@ def hero(rows: DataFrame, rules: Rules) -> DataFrame:
     return rated.withColumn("band", rate_band(F.col("rate"), rules))
 
 
-def report_sections(lines: DataFrame, month: dt.date, rules: Rules,
+def report_sections(lines: DataFrame, base: DataFrame, month: dt.date, rules: Rules,
                     with_transactions: bool = False) -> dict[str, DataFrame]:
-    """Section name -> metric of the month with a supplier column."""
-    rows = in_months(lines, month, month)
-    factories = S.supplier_factories(rows, rules)
-    details = S.line_details(rows, "month", "supplier", "factory")
-    this_month = S.suppliers_for_month(lines, month)
+    """Section name -> metric of the month with a supplier column. `base` is the month's rollup; distinct POs, the
+    twelve-month series and the transactions need the lines."""
+    factories = S.supplier_factories(base, rules)
+    details = S.line_details(in_months(lines, month, month), "month", "supplier", "factory")
     sections = {
-        "headline": hero(rows, rules),
-        "kpis": S.supplier_kpis(rows),
-        "ranking": global_rank(rows),
-        "local_ranking": local_rank(rows),
+        "headline": hero(base, rules),
+        "kpis": S.supplier_kpis(base),
+        "ranking": global_rank(base),
+        "local_ranking": local_rank(base),
         "factories": factories,
         "factory_bands": S.factory_bands(factories),
         "line_details": details,
         "line_totals": S.line_totals(details, "month", "supplier"),
-        "carton_usage": S.carton_usage(rows),
-        "series": S.supplier_series(lines, month, rules).join(this_month, "supplier", "left_semi"),
+        "carton_usage": S.carton_usage(base),
+        "series": S.supplier_series(lines, month, rules).join(
+            base.select("supplier").distinct(), "supplier", "left_semi"),
     }
     if with_transactions:
         sections["transactions"] = transactions(lines, month)
@@ -62,16 +62,16 @@ def report_sections(lines: DataFrame, month: dt.date, rules: Rules,
 def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None,
                  with_transactions: bool = False) -> DataFrame:
     """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it."""
+    base = materialized(rollup(in_months(lines.drop("approved_by"), month, month)))
+    regions = report_regions(base, rules)
     if suppliers is not None:
-        month_regions = report_regions(in_months(lines, month, month), rules).join(
-            suppliers.select("supplier").distinct(), "supplier", "left_semi")
-    else:
-        month_regions = report_regions(in_months(lines, month, month), rules)
+        regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")
     # Ranks compare all suppliers, so the selection is applied to the items, not to the lines.
-    parts = [df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
-             for name, df in report_sections(lines, month, rules, with_transactions).items()]
-    items = reduce(DataFrame.unionByName, parts).where(F.col("supplier").isNotNull())
-    return items.join(month_regions, "supplier").select("region", "supplier", "section", "item")
+    sections = report_sections(lines, base, month, rules, with_transactions)
+    items = reduce(DataFrame.unionByName, (
+        df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
+        for name, df in sections.items()))
+    return items.join(regions, "supplier").select("region", "supplier", "section", "item")
 
 
 def write_reports(items: DataFrame, folder: str) -> DataFrame:

@@ -11,6 +11,8 @@ from cartonwise.config import NoData, Rules
 from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import file_safe
 from cartonwise.operators.facts import in_months
+from cartonwise.operators.numbering import sort_columns
+from cartonwise.operators.transactions import ORDER
 from cartonwise.schema import HEADERS, LINE_COLUMNS, TIME_COLUMNS, VERDICT_HEADER
 from cartonwise.sources.exports import canonical_supplier
 
@@ -32,10 +34,10 @@ def month_rows(lines: DataFrame, month: dt.date, supplier: str | None = None) ->
 
 
 def month_extract(lines: DataFrame, month: dt.date, supplier: str | None = None) -> DataFrame:
-    """The month's lines by handover and update. Sorting is by range, so a big month becomes a series of ordered
-    files rather than one task's output."""
+    """The month's lines by handover and update, ties by the other columns. Sorting is by range, so a big month becomes a
+    series of ordered files rather than one task's output, and one busy day is split as well."""
     rows = month_rows(lines, month, supplier)
-    ordered = rows.orderBy(F.col("handover_date").asc_nulls_last(), F.col("updated_date").asc_nulls_last())
+    ordered = rows.orderBy(*sort_columns(ORDER))
     return ordered.select(*(_sheet(c) for c in EXTRACT_COLUMNS))
 
 
@@ -66,7 +68,6 @@ def write_by_supplier(rows: DataFrame, folder: str) -> None:
     the order, and spreads a supplier with very many lines over several files."""
     if rows.isEmpty():
         raise NoData("no data for these suppliers")
-    ordered = rows.orderBy("region", "supplier_file", F.col("handover_date").asc_nulls_last(),
-                           F.col("updated_date").asc_nulls_last())
+    ordered = rows.orderBy("region", "supplier_file", *sort_columns(ORDER))
     sheet = ordered.select("region", "supplier_file", *(_sheet(c) for c in EXTRACT_COLUMNS))
     sheet.write.mode("overwrite").option("header", True).partitionBy("region", "supplier_file").csv(folder)
