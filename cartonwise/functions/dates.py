@@ -45,7 +45,8 @@ def working_days(month: Column, days_off: tuple[int, ...]) -> Column:
 
 
 def month_grid(first: Column, last: dt.date, count: int) -> Column:
-    """Array of up to `count` months ending at `last`, none before first's month; empty if first is later."""
-    start = F.greatest(month_of(first), F.lit(shift_month(last, 1 - count)))
+    """Array of up to `count` months ending at `last`, none before first's month; empty if first is later or missing."""
+    earliest = F.lit(shift_month(last, 1 - count))
+    start = F.when(month_of(first) < earliest, earliest).otherwise(month_of(first))
     months = F.sequence(start, F.lit(last), F.make_ym_interval(F.lit(0), F.lit(1)))
     return F.when(start <= F.lit(last), months).otherwise(F.array().cast("array<date>"))

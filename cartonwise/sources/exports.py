@@ -20,12 +20,15 @@ def _reader(spark: SparkSession):
     return spark.read.option("header", True).option("quote", '"').option("escape", '"')
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one export; only its first line (CSV) or footer (Parquet) is read."""
-    columns = spark.read.parquet(path).columns if path.endswith(".parquet") else _reader(spark).csv(path).columns
-    if MANDATORY_HEADER not in columns:
+def header_of(spark: SparkSession, path: str, with_rows: bool = False) -> tuple[str, ...]:
+    """Column names of one export; only its first line (CSV) or footer (Parquet) is read. `with_rows` also asks for a
+    first row."""
+    cells = spark.read.parquet(path) if path.endswith(".parquet") else _reader(spark).csv(path)
+    if MANDATORY_HEADER not in cells.columns:
         raise BadExport(f"no column {MANDATORY_HEADER!r}")
-    return tuple(columns)
+    if with_rows and cells.isEmpty():
+        raise BadExport("no rows")
+    return tuple(cells.columns)
 
 
 def export_name(path: str) -> str:

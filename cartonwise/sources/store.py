@@ -75,16 +75,17 @@ class LineStore:
             offered = self.spark.createDataFrame([(n,) for n in named], "source_file string")
             todo = {r.source_file: named[r.source_file] for r in pending_files(offered, self.read()).collect()}
             skipped = named.keys() - todo.keys()
-        headers, failed = self._headers(todo)
+        headers, failed = self._headers(todo, reprocess)
         failed |= self._write(headers, aliases)
         return self._report(named, skipped, failed)
 
-    def _headers(self, todo: dict[str, str]) -> tuple[dict[str, tuple], dict[str, str]]:
-        """Headers of the good files and reasons for the bad ones; the first lines are fetched concurrently."""
+    def _headers(self, todo: dict[str, str], reprocess: bool) -> tuple[dict[str, tuple], dict[str, str]]:
+        """Headers of the good files and reasons for the bad ones; the first lines are fetched concurrently. A file that
+        may have stored rows is looked into for a first row, because without one there is nothing to replace them."""
         def probe(item):
             name, path = item
             try:
-                return path, header_of(self.spark, path), None
+                return path, header_of(self.spark, path, with_rows=reprocess), None
             except Exception as error:
                 return name, None, _reason(error)
 
