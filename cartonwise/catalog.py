@@ -27,6 +27,8 @@ SUPPLIER = "Supplier#000000001"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# For metrics without regions.
+RULES = Rules()
 
 # Columns each group of metrics reads; the adapter joins only the tables behind them.
 PLACE = ("handover_date", "origin_country")
@@ -45,6 +47,7 @@ def query(function: Query) -> Query:
 
 
 def rules_for(spark: SparkSession, folder: str) -> Rules:
+    """For metrics with regions: the nations that stand in for region BD."""
     return Rules(bd_countries=tables.bd_countries(spark, folder))
 
 
@@ -175,9 +178,8 @@ def contacts_import(spark, folder):
 def contacts_replace(spark, folder):
     given = tables.table(spark, folder, "supplier").where(F.col("s_suppkey") < 5).select(
         F.concat(F.lit(" "), F.upper("s_name")).alias("supplier_name"),
-        F.when(F.col("s_suppkey") % 2 == 1, F.array(F.lit("new@example.com"), F.lit("new@example.com")))
-        .otherwise(F.array().cast("array<string>")).alias("emails"))
-    return contacts.replace_contacts(tables.read_contacts(spark, folder), given)
+        F.when(F.col("s_suppkey") % 2 == 1, "new@example.com;new@example.com, ").alias("emails"))
+    return contacts.replace_contacts(tables.read_contacts(spark, folder), contacts.typed_contacts(given))
 
 
 def _directory(spark, folder):
@@ -273,7 +275,7 @@ def supplier_regions(spark, folder):
 def working_days(spark, folder):
     days = tables.read_lines(spark, folder, "handover_date")
     months = days.select(month_of(F.col("handover_date")).alias("month")).distinct()
-    return kpi.month_working_days(months, rules_for(spark, folder))
+    return kpi.month_working_days(months, RULES)
 
 
 @query
@@ -309,12 +311,12 @@ def supplier_kpis(spark, folder):
 
 @query
 def supplier_factories(spark, folder):
-    return supplier.supplier_factories(month_lines(spark, folder, *PLANT), rules_for(spark, folder)).drop("month")
+    return supplier.supplier_factories(month_lines(spark, folder, *PLANT), RULES).drop("month")
 
 
 @query
 def factory_bands(spark, folder):
-    factories = supplier.supplier_factories(month_lines(spark, folder, *PLANT), rules_for(spark, folder))
+    factories = supplier.supplier_factories(month_lines(spark, folder, *PLANT), RULES)
     return supplier.factory_bands(factories).drop("month")
 
 
@@ -342,20 +344,20 @@ def carton_usage(spark, folder):
 
 @query
 def supplier_headline(spark, folder):
-    return supplier_report.hero(month_lines(spark, folder, *VERDICT), rules_for(spark, folder)).drop("month")
+    return supplier_report.hero(month_lines(spark, folder, *VERDICT), RULES).drop("month")
 
 
 @query
 def supplier_series(spark, folder):
     lines = tables.read_lines(spark, folder, "handover_date", "supplier", "compliance_status", "packaging_status")
-    return supplier.supplier_series(lines, MONTH, rules_for(spark, folder))
+    return supplier.supplier_series(lines, MONTH, RULES)
 
 
 @query
 def density_series(spark, folder):
     lines = tables.read_lines(spark, folder, "handover_date", "supplier", "compliance_status", "packaging_status",
                               "density")
-    return supplier.supplier_series(lines, MONTH, rules_for(spark, folder)).select("supplier", "month", "density")
+    return supplier.supplier_series(lines, MONTH, RULES).select("supplier", "month", "density")
 
 
 @query
@@ -441,24 +443,24 @@ def country_line_totals(spark, folder):
 
 @query
 def top_suppliers(spark, folder):
-    return summary.top_suppliers(tables.read_lines(spark, folder, *PO), MONTH, rules_for(spark, folder))
+    return summary.top_suppliers(tables.read_lines(spark, folder, *PO), MONTH, RULES)
 
 
 @query
 def follow_up(spark, folder):
-    return summary.follow_up(tables.read_lines(spark, folder, *PO, "po_qty"), MONTH, rules_for(spark, folder))
+    return summary.follow_up(tables.read_lines(spark, folder, *PO, "po_qty"), MONTH, RULES)
 
 
 @query
 def follow_up_emails(spark, folder):
-    listed = summary.follow_up(tables.read_lines(spark, folder, *PO, "po_qty"), MONTH, rules_for(spark, folder))
+    listed = summary.follow_up(tables.read_lines(spark, folder, *PO, "po_qty"), MONTH, RULES)
     return summary.add_emails(listed, tables.read_contacts(spark, folder)).select("supplier", "avg_3month", "emails")
 
 
 @query
 def country_trend(spark, folder):
     lines = tables.read_lines(spark, folder, *PLACE, "compliance_status")
-    return summary.country_trend(lines, MONTH, rules_for(spark, folder))
+    return summary.country_trend(lines, MONTH, RULES)
 
 
 @query
@@ -469,18 +471,22 @@ def country_order(spark, folder):
 @query
 def supplier_trend(spark, folder):
     lines = tables.read_lines(spark, folder, "handover_date", "supplier", "compliance_status")
-    return summary.supplier_trend(lines, MONTH, rules_for(spark, folder))
+    return summary.supplier_trend(lines, MONTH, RULES)
 
 
 @query
 def yearly_search(spark, folder):
-    numbered = summary.numbered_suppliers(supplier_trend(spark, folder))
-    return numbered.where(F.lower("supplier").contains("5"))
+    return summary.numbered_suppliers(supplier_trend(spark, folder), " 5")
+
+
+@query
+def yearly_cells(spark, folder):
+    return summary.yearly_cells(supplier_trend(spark, folder), RULES)
 
 
 @query
 def yearly_average(spark, folder):
-    return summary.yearly_average(supplier_trend(spark, folder), rules_for(spark, folder))
+    return summary.yearly_average(supplier_trend(spark, folder), RULES)
 
 
 # --- KPI report ------------------------------------------------------------------

@@ -59,6 +59,5 @@ def in_band(rows: DataFrame, band: str) -> DataFrame:
 
 
 def named_like(rows: DataFrame, text: str, column: str = "supplier") -> DataFrame:
-    """Plain part-text match, ignoring case; blank text keeps every row."""
-    needle = text.strip().lower()
-    return rows.where(F.lower(column).contains(needle)) if needle else rows
+    """Plain part-text match, ignoring case; no text keeps every row."""
+    return rows.where(F.lower(column).contains(text.lower())) if text else rows

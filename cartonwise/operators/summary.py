@@ -12,6 +12,7 @@ from cartonwise.functions.dates import month_grid, shift_month
 from cartonwise.functions.numbers import heat_band, mean_of_rounded, percent, rounded
 from cartonwise.functions.text import joined, matching_key
 from cartonwise.operators.facts import facts, first_day, in_months, total
+from cartonwise.operators.filters import named_like
 from cartonwise.operators.numbering import number_rows, sort_columns
 from cartonwise.operators.rates import rates
 from cartonwise.operators.supplier import densified
@@ -52,9 +53,15 @@ def supplier_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataF
     return densified(monthly, "supplier", months, "rate")
 
 
-def numbered_suppliers(trend: DataFrame) -> DataFrame:
-    """Suppliers of the yearly grid numbered by name; filtering them later keeps their numbers."""
-    return number_rows(trend.select("supplier").distinct(), sort_columns([("supplier", True)]))
+def numbered_suppliers(trend: DataFrame, text: str = "") -> DataFrame:
+    """Suppliers of the yearly grid numbered by name; those a search leaves keep their numbers."""
+    numbered = number_rows(trend.select("supplier").distinct(), sort_columns([("supplier", True)]))
+    return named_like(numbered, text.strip())
+
+
+def yearly_cells(trend: DataFrame, rules: Rules) -> DataFrame:
+    """The yearly grid with the shading of each month's cell."""
+    return trend.withColumn("heat_band", heat_band(F.col("rate"), rules))
 
 
 def yearly_average(trend: DataFrame, rules: Rules) -> DataFrame:

@@ -372,6 +372,8 @@ def oracle_sql() -> dict[str, str]:
       FROM (SELECT DISTINCT supplier FROM year) k CROSS JOIN grid
       LEFT JOIN rates r ON r.supplier = k.supplier AND r.month = grid.month"""
     q["supplier_trend"] = _sql(trend, rates=_MONTH_RATES)
+    q["yearly_cells"] = _sql(f"""SELECT *, CASE WHEN rate < 40 THEN 'low' WHEN rate < 60 THEN 'mid' ELSE 'none' END
+      AS heat_band FROM ({trend})""", rates=_MONTH_RATES)
     q["yearly_search"] = _sql("""SELECT * FROM (SELECT row_number() OVER (ORDER BY supplier) AS sl, supplier
       FROM (SELECT DISTINCT supplier FROM year)) WHERE supplier LIKE '%5%'""")
     q["yearly_average"] = _sql(f"""SELECT supplier, CAST(printf('%.1f', mean) AS DOUBLE) AS mean_rate,

@@ -64,7 +64,8 @@ def _rated(rows: DataFrame, f: Filters, rules: Rules) -> DataFrame:
 def dashboard_suppliers(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
     """The supplier table. Ranks ignore the filters; change and rank are null where there is nothing to compare."""
     f = filters.cleaned()
-    rated = _rated(rows, f, rules)
+    # Ranking looks at the supplier rows twice; kept, they are computed in one pass over the lines.
+    rated = materialized(_rated(rows, f, rules))
     everyone = rated.where(F.col("all_lines") > 0).select(
         "*", percent(F.col("all_compliant"), F.col("all_lines")).alias("rate"))
     ranked = add_ranks(everyone).where("shown")
@@ -108,7 +109,7 @@ def dashboard_cards(rows: DataFrame, filters: Filters, rules: Rules) -> DataFram
 
 def rate_trend(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
     """Rates per chart month: BD and CN by country, and overall; null without lines. The region filter does not
-    apply. No rows when the report month precedes all data."""
+    apply. No rows when the report month precedes all data; just that month when there is none."""
     f = filters.cleaned()
     picked = in_months(rows, shift_month(f.month, 1 - rules.chart_months), f.month).where(line_filter(f))
     region = country_region(F.col("origin_country"), rules)
@@ -120,7 +121,9 @@ def rate_trend(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
         rate(region == "BD").alias("bd"), rate(region == "CN").alias("cn"), rate(F.lit(True)).alias("all"))
     column = "handover_date" if "handover_date" in rows.columns else "month"
     bounds = rows.agg(F.min(column).alias("first"))
-    months = bounds.select(F.explode(month_grid(F.col("first"), f.month, rules.chart_months)).alias("month"))
+    grid = F.when(F.col("first").isNull(), F.array(F.lit(f.month))).otherwise(
+        month_grid(F.col("first"), f.month, rules.chart_months))
+    months = bounds.select(F.explode(grid).alias("month"))
     return months.join(monthly, "month", "left")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartonwise.config import materialized
 from cartonwise.functions.text import matching_key, split_emails
 
 
@@ -32,12 +33,22 @@ def import_contacts(cells: DataFrame) -> DataFrame:
 
 
 def replace_contacts(stored: DataFrame, given: DataFrame) -> DataFrame:
-    """Stored contacts after replacing those of each supplier in `given` (supplier_name, emails: array). A supplier
-    with an empty array loses its contacts; suppliers not given keep theirs."""
-    keyed = given.withColumn("supplier_name", matching_key(F.col("supplier_name")))
-    kept = stored.join(keyed.select("supplier_name"), "supplier_name", "left_anti")
-    new = keyed.select("supplier_name", F.explode("emails").alias("email"))
-    return kept.select("supplier_name", "email").unionByName(new).distinct()
+    """Stored contacts after replacing those of each supplier in `given`: one row per supplier and address, or one with a
+    null address to remove a supplier's contacts. Suppliers not given keep theirs."""
+    keyed = given.select(matching_key(F.col("supplier_name")).alias("supplier_name"), "email")
+    kept = stored.join(keyed, "supplier_name", "left_anti").select("supplier_name", "email")
+    return kept.unionByName(keyed.where(F.col("email").isNotNull())).distinct()
+
+
+def typed_contacts(typed: DataFrame) -> DataFrame:
+    """Addresses typed into one text field per supplier (supplier_name, emails), as replace_contacts takes them; a blank
+    field removes the supplier's contacts."""
+    return typed.select("supplier_name", F.explode_outer(split_emails(F.coalesce("emails", F.lit("")))).alias("email"))
+
+
+def save_contacts(contacts: DataFrame, path: str) -> None:
+    """Write contacts, which may have been read from the same path."""
+    materialized(contacts).write.mode("overwrite").parquet(path)
 
 
 def contacts_sheet(directory: DataFrame) -> DataFrame:

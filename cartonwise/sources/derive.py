@@ -22,8 +22,9 @@ def verdict(status: Column, handover: Column, updated: Column) -> Column:
     return F.when(F.coalesce(in_time, F.lit(False)), COMPLIANT).otherwise(NON_COMPLIANT)
 
 
-def derive(lines: DataFrame, updated: Column) -> DataFrame:
-    """Add the derived columns whose inputs are present; Catalyst drops those nobody reads."""
+def derive(lines: DataFrame, updated: Column | None) -> DataFrame:
+    """Add the derived columns whose inputs are present (`updated` is the wall-clock update time, for the verdict);
+    Catalyst drops those nobody reads."""
     have = set(lines.columns)
     sides = [F.col(f"carton_{side}_mm") for side in ("length", "width", "height")]
     added = {}
@@ -34,6 +35,6 @@ def derive(lines: DataFrame, updated: Column) -> DataFrame:
         added["cbm"] = cbm.cast("decimal(10,4)")
         if "units_per_carton" in have:
             added["density"] = carton_density(F.col("units_per_carton"), cbm).cast("decimal(10,2)")
-    if {"packaging_status", "handover_date"} <= have:
+    if {"packaging_status", "handover_date"} <= have and updated is not None:
         added["compliance_status"] = verdict(F.col("packaging_status"), F.col("handover_date"), updated)
     return lines.withColumns(added)

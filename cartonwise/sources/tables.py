@@ -18,7 +18,7 @@ _INPUTS = {
     "carton_type": {"carton_matrix_code"},
     "cbm": {"carton_length_mm", "carton_width_mm", "carton_height_mm"},
     "density": {"carton_length_mm", "carton_width_mm", "carton_height_mm", "units_per_carton"},
-    "compliance_status": {"packaging_status", "handover_date", "updated_date"},
+    "compliance_status": {"packaging_status", "handover_date", "_updated_day"},
 }
 _FROM_SUPPLIER = {"supplier"}
 _FROM_HOME = {"sub_area"}
@@ -64,6 +64,7 @@ def _columns() -> dict[str, Column]:
         "approved_by": F.when(approved, col("o_orderpriority")),
         "packaging_status": F.when(approved, "Approved").when(col("l_linestatus") == "F", "Approval Rejected")
         .when(number % 2 == 0, "Pending").otherwise("Escalated"),
+        "_updated_day": updated,
         "source_file": F.concat(F.date_format(day, "yyyy_MM"),
                                 F.when(F.day(day) <= 15, "_1-15").otherwise("_16-31")),
     }
@@ -95,11 +96,8 @@ def read_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if needed & _FROM_ORDERS:
         orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    plain = {name: expr for name, expr in _columns().items() if name in needed}
-    lines = rows.select(*(expr.alias(name) for name, expr in plain.items()))
-    if set(wanted) & set(_INPUTS):
-        lines = derive(lines, F.col("updated_date").cast("timestamp_ntz") if "updated_date" in needed else F.lit(None))
-    return lines.select(*wanted)
+    lines = rows.select(*(value.alias(name) for name, value in _columns().items() if name in needed))
+    return derive(lines, F.col("_updated_day") if "_updated_day" in needed else None).select(*wanted)
 
 
 def bd_countries(spark: SparkSession, folder: str) -> tuple[str, ...]:

@@ -29,9 +29,9 @@ def test_import_contacts(spark):
 def test_replace_contacts(spark):
     stored = spark.createDataFrame([("acme", "old@x.com"), ("gone ltd", "g@x.com"), ("kept", "k@x.com")],
                                    "supplier_name string, email string")
-    given = spark.createDataFrame([(" ACME ", ["a@x.com", "b@x.com", "a@x.com"]), ("gone ltd", [])],
-                                  "supplier_name string, emails array<string>")
-    assert rows_of(contacts.replace_contacts(stored, given)) == [
+    typed = spark.createDataFrame([(" ACME ", "a@x.com; b@x.com,a@x.com"), ("gone ltd", " , "), ("none", None)],
+                                  "supplier_name string, emails string")
+    assert rows_of(contacts.replace_contacts(stored, contacts.typed_contacts(typed))) == [
         ("acme", "a@x.com"), ("acme", "b@x.com"), ("kept", "k@x.com")]
 
 
