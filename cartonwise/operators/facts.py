@@ -7,7 +7,8 @@ distinct POs and the line lists need the lines themselves.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -18,31 +19,36 @@ from cartonwise.functions.numbers import board_area
 from cartonwise.schema import COMPLIANT, NON_COMPLIANT, STATUSES
 
 ROLLUP_KEYS = ("month", "origin_country", "supplier", "factory", "approved_by")
-COUNTS = ("lines", "compliant", "non_compliant", *STATUSES, "active")
 
 
-def _measures() -> dict[str, tuple[set[str], Column]]:
-    """Measure -> (columns it needs, its value for one line)."""
-    status, verdict = F.col("packaging_status"), F.col("compliance_status")
-    sides = [F.col(f"carton_{s}_mm") for s in ("length", "width", "height")]
-    approved = status == "Approved"
+def _one(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
 
-    def one(condition):
-        return F.when(condition, 1).otherwise(0)
 
-    return {
-        "lines": (set(), F.lit(1)),
-        "compliant": ({"compliance_status"}, one(verdict == COMPLIANT)),
-        "non_compliant": ({"compliance_status"}, one(verdict == NON_COMPLIANT)),
-        **{name: ({"packaging_status"}, one(status == text)) for name, text in STATUSES.items()},
-        "active": ({"packaging_status"}, one(status != "Pending")),
-        "qty": ({"po_qty"}, F.col("po_qty")),
-        "approved_qty": ({"po_qty", "packaging_status"}, F.when(approved, F.col("po_qty"))),
-        "board": ({"po_qty", "packaging_status", "carton_length_mm", "carton_width_mm", "carton_height_mm"},
-                  F.when(approved, board_area(F.col("po_qty"), *sides))),
-        "density_sum": ({"density", "packaging_status"}, F.when(approved, F.col("density"))),
-        "density_count": ({"density", "packaging_status"}, one(approved & F.col("density").isNotNull())),
-    }
+def _status_is(text: str) -> Column:
+    return F.col("packaging_status") == text
+
+
+def _approved(value: Column) -> Column:
+    return F.when(_status_is("Approved"), value)
+
+
+_SIDES = ("carton_length_mm", "carton_width_mm", "carton_height_mm")
+# Measure -> (columns it needs, its value for one line).
+_MEASURES: dict[str, tuple[set[str], Callable[[], Column]]] = {
+    "lines": (set(), lambda: F.lit(1)),
+    "compliant": ({"compliance_status"}, lambda: _one(F.col("compliance_status") == COMPLIANT)),
+    "non_compliant": ({"compliance_status"}, lambda: _one(F.col("compliance_status") == NON_COMPLIANT)),
+    **{name: ({"packaging_status"}, partial(lambda text: _one(_status_is(text)), text))
+       for name, text in STATUSES.items()},
+    "active": ({"packaging_status"}, lambda: _one(~_status_is("Pending"))),
+    "qty": ({"po_qty"}, lambda: F.col("po_qty")),
+    "approved_qty": ({"po_qty", "packaging_status"}, lambda: _approved(F.col("po_qty"))),
+    "board": ({"po_qty", "packaging_status", *_SIDES},
+              lambda: _approved(board_area(F.col("po_qty"), *(F.col(s) for s in _SIDES)))),
+    "density_sum": ({"density", "packaging_status"}, lambda: _approved(F.col("density"))),
+    "density_count": ({"density", "packaging_status"}, lambda: _one(_status_is("Approved") & F.col("density").isNotNull())),
+}
 
 
 def facts(lines: DataFrame) -> DataFrame:
@@ -51,7 +57,7 @@ def facts(lines: DataFrame) -> DataFrame:
     if "lines" in have:
         return lines
     added = {"month": month_of(F.col("handover_date"))}
-    added |= {name: value for name, (needs, value) in _measures().items() if needs <= have}
+    added |= {name: value() for name, (needs, value) in _MEASURES.items() if needs <= have}
     return lines.withColumns(added)
 
 
@@ -63,7 +69,7 @@ def rollup(lines: DataFrame) -> DataFrame:
     """One row per month, country, supplier, factory and approver. Partial sums are made before the shuffle,
     so a supplier holding a third of the lines sends a few rows per task like any other."""
     rows = facts(lines)
-    measures = [m for m in _measures() if m in rows.columns]
+    measures = [m for m in _MEASURES if m in rows.columns]
     keys = [k for k in ROLLUP_KEYS if k in rows.columns]
     return rows.groupBy(*keys).agg(*total(*measures))
 

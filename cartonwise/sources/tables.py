@@ -7,8 +7,9 @@ hinted; Spark broadcasts a dimension only when its size is below the session's t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartonwise.schema import LINE_COLUMNS
 from cartonwise.sources.derive import derive
@@ -28,46 +29,49 @@ _FROM_PART = {"factory", "description", "size", "carton_matrix_code", "units_per
 _FROM_ORDERS = {"updated_by", "approved_by"}
 
 
+# Column types of the tables read so far: they do not change, so a table's footer is looked at once per session.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _columns() -> dict[str, Column]:
-    col, lit = F.col, F.lit
-    part, number = col("l_partkey"), col("l_linenumber")
-    day = col("l_shipdate").cast("date")
-    approved = col("l_returnflag") != "R"
-    updated = F.date_add(day, (part % 10 - 8).cast("int"))
-    return {
-        "area": col("r_name"),
-        "sub_area": col("home_name"),
-        "origin_country": F.when(part % 211 != 0, col("origin_name")),
-        "origin_port": F.concat(lit("PORT_"), col("origin_key").cast("string")),
-        "supplier": col("s_name"),
-        "factory": F.when(part % 199 != 0, col("p_brand")),
-        "destination_po": col("l_orderkey").cast("string"),
-        "kimball": part.cast("string"),
-        "colour_code": col("l_returnflag"),
-        "description": col("p_name"),
-        "size": col("p_size").cast("string"),
-        "po_qty": col("l_quantity").cast("int"),
-        "handover_date": day,
-        "carton_matrix_code": F.when(col("p_size") <= 25, col("p_type")),
-        "units_per_carton": col("p_size"),
-        "carton_length_mm": F.when(col("p_size") % 17 != 0, 200 + 10 * col("p_size")),
-        "carton_width_mm": (150 + 10 * (part % 30)).cast("int"),
-        "carton_height_mm": 100 + 25 * number,
-        "packaging_supplier": col("p_brand"),
-        "updated_date": updated.cast("timestamp"),
-        "updated_by": col("o_orderpriority"),
-        "approved_date": F.when(approved, updated.cast("timestamp")),
-        "approved_by": F.when(approved, col("o_orderpriority")),
-        "packaging_status": F.when(approved, "Approved").when(col("l_linestatus") == "F", "Approval Rejected")
-        .when(number % 2 == 0, "Pending").otherwise("Escalated"),
-        "_updated_day": updated,
-        "source_file": F.concat(F.date_format(day, "yyyy_MM"),
-                                F.when(F.day(day) <= 15, "_1-15").otherwise("_16-31")),
-    }
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+_DAY = "cast(l_shipdate AS date)"
+_UPDATED = f"date_add({_DAY}, cast(l_partkey % 10 - 8 AS int))"
+# How each column of a line is made from the joined tables.
+_COLUMNS = {
+    "area": "r_name",
+    "sub_area": "home_name",
+    "origin_country": "CASE WHEN l_partkey % 211 <> 0 THEN origin_name END",
+    "origin_port": "'PORT_' || origin_key",
+    "supplier": "s_name",
+    "factory": "CASE WHEN l_partkey % 199 <> 0 THEN p_brand END",
+    "destination_po": "cast(l_orderkey AS string)",
+    "kimball": "cast(l_partkey AS string)",
+    "colour_code": "l_returnflag",
+    "description": "p_name",
+    "size": "cast(p_size AS string)",
+    "po_qty": "cast(l_quantity AS int)",
+    "handover_date": _DAY,
+    "carton_matrix_code": "CASE WHEN p_size <= 25 THEN p_type END",
+    "units_per_carton": "p_size",
+    "carton_length_mm": "CASE WHEN p_size % 17 <> 0 THEN 200 + 10 * p_size END",
+    "carton_width_mm": "cast(150 + 10 * (l_partkey % 30) AS int)",
+    "carton_height_mm": "100 + 25 * l_linenumber",
+    "packaging_supplier": "p_brand",
+    "updated_date": f"cast({_UPDATED} AS timestamp)",
+    "updated_by": "o_orderpriority",
+    "approved_date": f"CASE WHEN l_returnflag <> 'R' THEN cast({_UPDATED} AS timestamp) END",
+    "approved_by": "CASE WHEN l_returnflag <> 'R' THEN o_orderpriority END",
+    "packaging_status": """CASE WHEN l_returnflag <> 'R' THEN 'Approved' WHEN l_linestatus = 'F' THEN 'Approval Rejected'
+                           WHEN l_linenumber % 2 = 0 THEN 'Pending' ELSE 'Escalated' END""",
+    "_updated_day": _UPDATED,
+    "source_file": f"date_format({_DAY}, 'yyyy_MM') || if(day({_DAY}) <= 15, '_1-15', '_16-31')",
+}
 
 
 def read_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -96,7 +100,7 @@ def read_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if needed & _FROM_ORDERS:
         orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    lines = rows.select(*(value.alias(name) for name, value in _columns().items() if name in needed))
+    lines = rows.select(*(F.expr(value).alias(name) for name, value in _COLUMNS.items() if name in needed))
     return derive(lines, F.col("_updated_day") if "_updated_day" in needed else None).select(*wanted)
 
 
