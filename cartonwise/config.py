@@ -67,7 +67,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the shared folder, for a small aggregate that several results start from. Unlike a
-    cache it outlives the executors that computed it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """df computed once and kept as a table in the shared folder, for an aggregate that several results start from. Unlike
+    a cache it outlives the executors that computed it, and readers fetch only the columns they need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

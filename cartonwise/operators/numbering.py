@@ -20,7 +20,7 @@ TOP_K_ROWS = 10_000
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "sl") -> DataFrame:
     """Add a 1-based sequence number in the given order, which should be total. The partitioned rows are
-    checkpointed before they are counted: numbers stay valid when a lost executor forces recomputation."""
+    written to a table before they are counted: numbers stay valid when a lost executor forces recomputation."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The id's low 33 bits count rows inside a partition.
