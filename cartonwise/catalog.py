@@ -130,7 +130,7 @@ def replace_by_file(spark, folder):
     target = store.LineStore(spark, scratch_path(spark, "lines"))
     store.replace_files(lines, target.path)
     again = lines.where(F.col("source_file").isin("2001_09_1-15", "2001_09_16-31"))
-    store.replace_files(again.where(F.col("kimball").cast("bigint") % 2 == 0), target.path)
+    store.replace_files(again.where("packaging_status = 'Approved'"), target.path)
     return target.read().groupBy("source_file").agg(F.count("*").alias("rows"))
 
 
@@ -158,10 +158,9 @@ def stream_ingest(spark, folder):
 @query
 def published_month(spark, folder):
     path = scratch_path(spark, "serving")
-    store.publish(tables.read_lines(spark, folder, *PLANT), path)
-    served = spark.read.parquet(path)
-    return served.groupBy(F.col("handover_month").cast("date").alias("month")).agg(
-        F.count("*").alias("lines"), F.count_distinct("supplier").alias("suppliers"))
+    store.publish(tables.read_lines(spark, folder), path)
+    return rates.global_rank(in_months(store.read_published(spark, path), MONTH, MONTH)).select(
+        "supplier", "lines", "compliant", "rank")
 
 
 # --- contacts -----------------------------------------------------------------
@@ -176,9 +175,9 @@ def contacts_import(spark, folder):
 
 @query
 def contacts_replace(spark, folder):
-    given = tables.table(spark, folder, "supplier").where(F.col("s_suppkey") < 5).select(
+    given = tables.table(spark, folder, "supplier").where("s_nationkey < 5").select(
         F.concat(F.lit(" "), F.upper("s_name")).alias("supplier_name"),
-        F.when(F.col("s_suppkey") % 2 == 1, "new@example.com;new@example.com, ").alias("emails"))
+        F.when(F.col("s_acctbal") > 0, "new@example.com;new@example.com, ").alias("emails"))
     return contacts.replace_contacts(tables.read_contacts(spark, folder), contacts.typed_contacts(given))
 
 

@@ -22,7 +22,7 @@ from cartonwise.plans.month_summary import kpi_report, month_summary
 from cartonwise.plans.supplier_report import report_items, write_reports
 from cartonwise.schema import CONTACTS
 from cartonwise.sources import contacts, extracts
-from cartonwise.sources.store import LineStore, clear
+from cartonwise.sources.store import LineStore, clear, read_table
 
 
 @dataclass(frozen=True)
@@ -36,10 +36,7 @@ class Home:
         return LineStore(self.spark, f"{self.path}/lines")
 
     def contacts(self) -> DataFrame:
-        stored = LineStore(self.spark, f"{self.path}/contacts")
-        if not stored.exists():
-            return self.spark.createDataFrame([], CONTACTS)
-        return self.spark.read.schema(CONTACTS).parquet(stored.path)
+        return read_table(self.spark, f"{self.path}/contacts", CONTACTS)
 
     def folder(self, month: dt.date, name: str) -> str:
         return f"{self.path}/output/{month:%Y_%B}/{name}"

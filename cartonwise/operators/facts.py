@@ -7,6 +7,7 @@ distinct POs and the line lists need the lines themselves.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 from operator import or_
@@ -74,28 +75,35 @@ def rollup(lines: DataFrame) -> DataFrame:
     return rows.groupBy(*keys).agg(*total(*measures))
 
 
-def in_any_month(rows: DataFrame, months) -> DataFrame:
+def _dated(rows: DataFrame, lines: Callable[[str], Column], months: Callable[[str], Column]) -> DataFrame:
+    """Filter lines by their handover date and a rollup by its month. A published table is filtered by the month it is
+    partitioned by as well, so that other months' files are not opened."""
+    if "handover_date" not in rows.columns:
+        return rows.where(months("month"))
+    if "handover_month" in rows.columns:
+        rows = rows.where(months("handover_month"))
+    return rows.where(lines("handover_date"))
+
+
+def in_months(rows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows of the months first..last."""
+    return _dated(rows, lambda day: within(F.col(day), first, last),
+                  lambda month: F.col(month).between(F.lit(first), F.lit(last)))
+
+
+def in_any_month(rows: DataFrame, months: list[dt.date]) -> DataFrame:
     """Rows of the listed months."""
-    if "handover_date" in rows.columns:
-        return rows.where(reduce(or_, (within(F.col("handover_date"), m, m) for m in months)))
-    return rows.where(F.col("month").isin(*months))
+    return _dated(rows, lambda day: reduce(or_, (within(F.col(day), m, m) for m in months)),
+                  lambda month: F.col(month).isin(*months))
 
 
-def up_to(rows: DataFrame, month) -> DataFrame:
+def up_to(rows: DataFrame, month: dt.date) -> DataFrame:
     """Rows of the month and of all before."""
-    if "handover_date" in rows.columns:
-        return rows.where(F.col("handover_date") < F.lit(shift_month(month, 1)))
-    return rows.where(F.col("month") <= F.lit(month))
+    return _dated(rows, lambda day: F.col(day) < F.lit(shift_month(month, 1)),
+                  lambda column: F.col(column) <= F.lit(month))
 
 
 def first_day(rows: DataFrame) -> Column:
     """Earliest day with data, as a scalar subquery; of a rollup, the first day of the earliest month."""
     column = "handover_date" if "handover_date" in rows.columns else "month"
     return rows.agg(F.min(column)).scalar()
-
-
-def in_months(rows: DataFrame, first, last) -> DataFrame:
-    """Rows of the months first..last: a range on handover_date for lines, on month for a rollup."""
-    if "handover_date" in rows.columns:
-        return rows.where(within(F.col("handover_date"), first, last))
-    return rows.where(F.col("month").between(F.lit(first), F.lit(last)))

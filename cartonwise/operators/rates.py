@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartonwise.functions.dates import month_index
@@ -10,7 +10,7 @@ from cartonwise.functions.numbers import percent
 from cartonwise.operators.facts import facts, total
 
 
-def rates(rows: DataFrame, *keys: str) -> DataFrame:
+def rates(rows: DataFrame, *keys: str | Column) -> DataFrame:
     """Lines, compliant lines and the unrounded rate per group; missing keys form a group of their own."""
     grouped = facts(rows).groupBy(*keys).agg(*total("lines", "compliant"))
     return grouped.withColumn("rate", percent(F.col("compliant"), F.col("lines")))

@@ -48,7 +48,7 @@ def factory_bands(factories: DataFrame) -> DataFrame:
     return factories.groupBy("month", "supplier", "band").agg(F.count("*").alias("factories"))
 
 
-def line_details(lines: DataFrame, *keys: str) -> DataFrame:
+def line_details(lines: DataFrame, *keys: str | Column) -> DataFrame:
     """Distinct POs, lines and status counts per group."""
     return facts(lines).groupBy(*keys).agg(
         F.count_distinct("destination_po").alias("dest_po_count"),

@@ -214,6 +214,36 @@ _ITEMS = """SELECT supplier, count(*) AS items FROM (
 GROUP BY supplier""".format(band=band("rate"))
 
 
+# Section of a supplier's report -> (query whose rows it shows, its fields).
+_SECTIONS = {
+    "headline": ("supplier_headline", "lines, compliant, rate, band"),
+    "kpis": ("supplier_kpis", "origin_countries, factory_count, total_lines, compliant_count, non_compliant_count"),
+    "ranking": ("global_rank", "rank, total, shared"),
+    "local_ranking": ("local_rank", "country, rank, total, shared"),
+    "factories": ("supplier_factories", "factory, origin_countries, rate, band"),
+    "factory_bands": ("factory_bands", "band, factories"),
+    "line_details": ("line_details", "factory, dest_po_count, reflected_lines, pending, approved, rejected, escalated"),
+    "line_totals": ("line_totals", "dest_po_count, reflected_lines, pending, approved, rejected, escalated"),
+    "carton_usage": ("carton_usage", "factory, standard_carton_pct, total_carton_qty, corrugated_sqm"),
+}
+
+
+def _documents(q: dict[str, str]) -> str:
+    """Each section's rows as JSON objects, with the folder of their supplier."""
+    def item(fields, month="'2001-10-01'"):
+        pairs = ", ".join(f"{f} := {f}" for f in fields.split(", "))
+        return f"to_json(struct_pack(month := {month}, {pairs}))"
+
+    parts = [f"SELECT supplier, '{name}' AS section, {item(fields)} AS item FROM ({q[source]})"
+             for name, (source, fields) in _SECTIONS.items()]
+    parts.append(f"""SELECT supplier, 'series', {item('compliance, approved, density', "strftime(month, '%Y-%m-%d')")}
+      FROM ({q['supplier_series']}) JOIN ({q['density_series']}) USING (supplier, month)""")
+    regions = f"""SELECT supplier, CASE WHEN count(origin_country) > 0 AND count(*) FILTER (
+      origin_country IS NOT NULL AND region = 'CN') = 0 THEN 'BD' ELSE 'CN' END AS region FROM m GROUP BY supplier"""
+    return _sql("SELECT region, supplier, section, CAST(item AS VARCHAR) AS item FROM items JOIN folders "
+                "USING (supplier)", items="\n UNION ALL ".join(parts), folders=regions)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["derive_lines"] = _sql("""SELECT destination_po, kimball, handover_date, carton_type, cbm, density,
@@ -234,17 +264,18 @@ def oracle_sql() -> dict[str, str]:
       CASE WHEN min(handover_date) >= DATE '1998-01-01' THEN count(*) END AS rows FROM lines GROUP BY 1
       UNION ALL SELECT 'not_an_export', 'Failed', NULL""")
     q["replace_by_file"] = _sql("""SELECT source_file, count(*) AS rows FROM lines
-      WHERE source_file NOT IN ('2001_09_1-15', '2001_09_16-31') OR l_partkey % 2 = 0 GROUP BY 1""")
+      WHERE source_file NOT IN ('2001_09_1-15', '2001_09_16-31') OR packaging_status = 'Approved' GROUP BY 1""")
     q["clear_lines"] = _sql("SELECT CAST(0 AS BIGINT) AS lines_left, count(*) AS contacts_left FROM contacts",
                             contacts=True)
     q["stream_ingest"] = _sql("SELECT source_file, count(*) AS rows FROM lines GROUP BY 1")
-    q["published_month"] = _sql("""SELECT month, count(*) AS lines, count(DISTINCT supplier) AS suppliers
-      FROM lines GROUP BY 1""")
+    q["published_month"] = _sql(f"""SELECT supplier, count(*) AS lines, {OK} AS compliant,
+      dense_rank() OVER (ORDER BY {RATE} DESC) AS rank FROM m GROUP BY supplier""")
 
     q["contacts_import"] = _sql("SELECT supplier_name, email FROM contacts", contacts=True)
     q["contacts_replace"] = _sql("""SELECT * FROM contacts WHERE supplier_name NOT IN
-      (SELECT lower(s_name) FROM supplier WHERE s_suppkey < 5)
-      UNION ALL SELECT lower(s_name), 'new@example.com' FROM supplier WHERE s_suppkey IN (1, 3)""", contacts=True)
+      (SELECT lower(s_name) FROM supplier WHERE s_nationkey < 5)
+      UNION ALL SELECT lower(s_name), 'new@example.com' FROM supplier WHERE s_nationkey < 5 AND s_acctbal > 0""",
+                                 contacts=True)
     q["supplier_directory"] = _sql(_DIRECTORY, contacts=True, known=region_of("lines"))
     q["contacts_export"] = _sql(f'SELECT name AS "Supplier Name", emails AS "Email" FROM ({_DIRECTORY})',
                                 contacts=True, known=region_of("lines"))
@@ -483,4 +514,5 @@ def oracle_sql() -> dict[str, str]:
       WHERE origin_country <> '' UNION ALL SELECT DISTINCT 'approver', approved_by FROM m WHERE approved_by <> ''""")
     q["numbered_lines"] = _sql("""SELECT row_number() OVER (ORDER BY handover_date, supplier, destination_po, kimball)
       AS position, handover_date, supplier, destination_po, kimball FROM lines""")
+    q["supplier_json"] = _documents(q)
     return q

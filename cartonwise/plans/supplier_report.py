@@ -35,23 +35,24 @@ def hero(rows: DataFrame, rules: Rules) -> DataFrame:
     return rated.withColumn("band", rate_band(F.col("rate"), rules))
 
 
-def report_sections(lines: DataFrame, base: DataFrame, month: dt.date, rules: Rules,
+def report_sections(lines: DataFrame, base: DataFrame, history: DataFrame, month: dt.date, rules: Rules,
                     with_transactions: bool = False) -> dict[str, DataFrame]:
-    """Section name -> metric of the month with a supplier column. `base` is the month's rollup; distinct POs, the
-    twelve-month series and the transactions need the lines."""
+    """Section name -> metric of the month with a supplier column. `base` is the month's rollup, `history` gives the
+    series; distinct POs and the transactions need the lines."""
     factories = S.supplier_factories(base, rules)
     details = S.line_details(in_months(lines, month, month), "month", "supplier", "factory")
     sections = {
         "headline": hero(base, rules),
         "kpis": S.supplier_kpis(base),
-        "ranking": global_rank(base),
-        "local_ranking": local_rank(base),
+        "ranking": global_rank(base).select("month", "supplier", "rank", "total", "shared"),
+        "local_ranking": local_rank(base).select("month", "supplier", F.col("origin_country").alias("country"), "rank",
+                                                 "total", "shared"),
         "factories": factories,
         "factory_bands": S.factory_bands(factories),
         "line_details": details,
         "line_totals": S.line_totals(details, "month", "supplier"),
         "carton_usage": S.carton_usage(base),
-        "series": S.supplier_series(lines, month, rules).join(
+        "series": S.supplier_series(history, month, rules).join(
             base.select("supplier").distinct(), "supplier", "left_semi"),
     }
     if with_transactions:
@@ -60,14 +61,16 @@ def report_sections(lines: DataFrame, base: DataFrame, month: dt.date, rules: Ru
 
 
 def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None,
-                 with_transactions: bool = False) -> DataFrame:
-    """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it."""
+                 with_transactions: bool = False, history: DataFrame | None = None) -> DataFrame:
+    """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it. A series starts at
+    its supplier's first month, which takes all months' lines to know: pass the published rollup as `history` to read
+    that instead."""
     base = materialized(rollup(in_months(lines.drop("approved_by"), month, month)))
     regions = report_regions(base, rules)
     if suppliers is not None:
         regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")
     # Ranks compare all suppliers, so the selection is applied to the items, not to the lines.
-    sections = report_sections(lines, base, month, rules, with_transactions)
+    sections = report_sections(lines, base, lines if history is None else history, month, rules, with_transactions)
     items = reduce(DataFrame.unionByName, (
         df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
         for name, df in sections.items()))

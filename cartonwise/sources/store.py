@@ -5,8 +5,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartonwise.functions.dates import month_of
 from cartonwise.operators.facts import rollup
@@ -38,7 +40,8 @@ def pending_files(offered: DataFrame, stored: DataFrame) -> DataFrame:
 
 def publish(lines: DataFrame, path: str) -> None:
     """Serving copy partitioned by month, so that a month's metrics read that month only. Within a month's files
-    lines are sorted by supplier, which lets a supplier filter skip row groups."""
+    lines are sorted by supplier, which lets a supplier filter skip row groups. The months in `lines` are replaced, others
+    stay."""
     (lines.withColumn("handover_month", month_of(F.col("handover_date"))).hint("rebalance", "handover_month")
      .sortWithinPartitions("handover_month", "supplier").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("handover_month").parquet(path))
@@ -50,31 +53,44 @@ def publish_rollup(lines: DataFrame, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """A published table. Metrics filter it by handover_month too, without reading other months."""
+    return read_table(spark, path, T.StructType([*LINES.fields, T.StructField("handover_month", T.DateType())]))
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at the path; an empty one if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 @dataclass(frozen=True)
 class LineStore:
     spark: SparkSession
     path: str
 
-    def exists(self) -> bool:
-        hadoop_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return hadoop_path.getFileSystem(conf).exists(hadoop_path)
-
     def read(self) -> DataFrame:
-        if not self.exists():
-            return self.spark.createDataFrame([], LINES)
-        return self.spark.read.schema(LINES).parquet(self.path)
+        return read_table(self.spark, self.path, LINES)
+
+    def rows_of(self, names) -> DataFrame:
+        """Lines of the named files; no other file's partition is looked into."""
+        return self.read().where(F.col("source_file").isin(*names))
 
     def load(self, paths: list[str], aliases: DataFrame | None = None, reprocess: bool = False) -> DataFrame:
         """Load exports; returns one report row per file: Loaded with its rows, Skipped (already loaded) or Failed
         with the reason. A bad file never stops the others, and never touches what was loaded before."""
         named = {export_name(p): p for p in paths}
-        todo, skipped = dict(named), set()
-        if not reprocess and self.exists():
+        todo = dict(named)
+        if not reprocess:
             # At most one row per offered file.
             offered = self.spark.createDataFrame([(n,) for n in named], "source_file string")
-            todo = {r.source_file: named[r.source_file] for r in pending_files(offered, self.read()).collect()}
-            skipped = named.keys() - todo.keys()
+            pending = pending_files(offered, self.rows_of(named)).collect()
+            todo = {r.source_file: named[r.source_file] for r in pending}
+        skipped = named.keys() - todo.keys()
         headers, failed = self._headers(todo, reprocess)
         failed |= self._write(headers, aliases)
         return self._report(named, skipped, failed)
@@ -112,9 +128,8 @@ class LineStore:
         states = [(n, "Skipped" if n in skipped else "Failed" if n in failed else "Loaded", failed.get(n))
                   for n in named]
         report = self.spark.createDataFrame(states, REPORT)
-        loaded = report.where("status = 'Loaded'").select("source_file")
-        counts = (self.read().join(loaded, "source_file", "left_semi").groupBy("source_file")
-                  .agg(F.count("*").alias("rows")))
+        loaded = [name for name, status, _ in states if status == "Loaded"]
+        counts = self.rows_of(loaded).groupBy("source_file").agg(F.count("*").alias("rows"))
         full = report.join(counts, "source_file", "left")
         empty = (F.col("status") == "Loaded") & F.col("rows").isNull()
         return full.select("source_file", F.when(empty, "Failed").otherwise(F.col("status")).alias("status"), "rows",
