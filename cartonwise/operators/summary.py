@@ -85,7 +85,7 @@ def country_average(rows: DataFrame, month: dt.date) -> DataFrame:
 
 
 def _profile():
-    return (joined(F.col("origin_country")).alias("origin_countries"),
+    return (joined("origin_country").alias("origin_countries"),
             F.count_distinct("factory").alias("factory_count"),
             F.count_distinct("destination_po").alias("dest_po_count"),
             F.sum("lines").alias("reflected_lines"))
@@ -108,8 +108,8 @@ def follow_up(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     def when_back(months: int, column: str):
         return F.when(F.col("month") == F.lit(shift_month(month, -months)), F.col(column))
 
-    grouped = rows.groupBy("supplier").agg(
-        joined(when_back(0, "origin_country")).alias("origin_countries"),
+    grouped = rows.withColumn("_country", when_back(0, "origin_country")).groupBy("supplier").agg(
+        joined("_country").alias("origin_countries"),
         F.count_distinct(when_back(0, "factory")).alias("factory_count"),
         F.count_distinct(when_back(0, "destination_po")).alias("dest_po_count"),
         F.sum(when_back(0, "qty")).alias("qty"),
@@ -133,7 +133,7 @@ def follow_up(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
 
 def joined_emails(contacts: DataFrame) -> DataFrame:
     """One row per stored supplier name with its addresses in order."""
-    return contacts.groupBy("supplier_name").agg(joined(F.col("email")).alias("emails"))
+    return contacts.groupBy("supplier_name").agg(joined("email").alias("emails"))
 
 
 def add_emails(listed: DataFrame, contacts: DataFrame, column: str = "supplier") -> DataFrame:

@@ -29,7 +29,7 @@ def supplier_range(lines: DataFrame) -> DataFrame:
 
 def supplier_kpis(rows: DataFrame) -> DataFrame:
     return facts(rows).groupBy("month", "supplier").agg(
-        joined(F.col("origin_country")).alias("origin_countries"),
+        joined("origin_country").alias("origin_countries"),
         F.count_distinct("factory").alias("factory_count"),
         F.sum("lines").alias("total_lines"),
         F.sum("compliant").alias("compliant_count"),
@@ -39,7 +39,7 @@ def supplier_kpis(rows: DataFrame) -> DataFrame:
 def supplier_factories(rows: DataFrame, rules: Rules) -> DataFrame:
     """A supplier's factories with their rate; the band is that of the rounded rate."""
     grouped = facts(rows).groupBy("month", "supplier", "factory").agg(
-        joined(F.col("origin_country")).alias("origin_countries"),
+        joined("origin_country").alias("origin_countries"),
         rounded(percent(F.sum("compliant"), F.sum("lines"))).alias("rate"))
     return grouped.withColumn("band", rate_band(F.col("rate"), rules))
 

@@ -35,9 +35,9 @@ def _supplier_months(rows: DataFrame, f: Filters, rules: Rules) -> DataFrame:
     def count(back: int, column: str) -> Column:
         return F.coalesce(F.sum(at(back, F.col(column), hit)), F.lit(0))
 
-    country = F.nullif(F.col("origin_country"), F.lit(""))
-    return picked.groupBy("supplier").agg(
-        joined(at(0, country, hit)).alias("countries"),
+    country = at(0, F.nullif(F.col("origin_country"), F.lit("")), hit)
+    return picked.withColumn("_country", country).groupBy("supplier").agg(
+        joined("_country").alias("countries"),
         F.count_distinct(at(0, F.col("factory"), hit)).alias("factories"),
         *(count(back, c).alias(f"{c}_{back}") for back in range(3) for c in ("lines", "compliant")),
         *(count(0, s).alias(s) for s in STATUSES),

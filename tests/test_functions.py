@@ -89,7 +89,7 @@ def test_text(spark):
     assert values(spark, [(400, None, 25)], "l int, w int, h int",
                   text.carton_size(F.col("l"), F.col("w"), F.col("h"))) == [("400×0×25",)]
     joined = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("b", None)], "k string, v string")
-    assert rows_of(joined.groupBy("k").agg(text.joined(F.col("v")))) == [("a", "x, y"), ("b", None)]
+    assert rows_of(joined.groupBy("k").agg(text.joined("v"))) == [("a", "x, y"), ("b", None)]
 
 
 def test_regions(spark, rules):
