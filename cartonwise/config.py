@@ -47,18 +47,13 @@ def session_setup(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a session without one (a test) gets a folder of its own."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        if not spark.sparkContext.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        current = os.path.join(tempfile.gettempdir(), f"cartonwise-{uuid.uuid4().hex}")
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+        folder = os.path.join(tempfile.gettempdir(), f"cartonwise-{uuid.uuid4().hex}")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

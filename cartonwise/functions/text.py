@@ -6,10 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Every white-space character, the no-break and wide spaces of typed cells among them.
+WHITE_SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
+              "\u2028\u2029\u202f\u205f\u3000"
+
+
 def clean_text(cell: Column) -> Column:
     """Trim white space; the text "nan" is a missing value."""
-    trimmed = F.regexp_replace(cell, r"(?U)^\s+|\s+$", "")
-    return F.nullif(trimmed, F.lit("nan"))
+    return F.nullif(F.trim(cell, F.lit(WHITE_SPACE)), F.lit("nan"))
 
 
 def matching_key(name: Column) -> Column:

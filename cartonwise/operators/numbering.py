@@ -21,15 +21,13 @@ TOP_K_ROWS = 10_000
 def number_rows(df: DataFrame, order: list[Column], name: str = "sl") -> DataFrame:
     """Add a 1-based sequence number in the given order, which should be total. The partitioned rows are
     written to a table before they are counted: numbers stay valid when a lost executor forces recomputation."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # The id's low 33 bits count rows inside a partition.
     placed = materialized(placed.withColumn("_part", F.spark_partition_id()).withColumn(
         "_seq", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
-    sizes = [0] * parts
-    for row in placed.groupBy("_part").count().collect():
-        sizes[row["_part"]] = row["count"]
-    starts = F.lit(list(accumulate([1, *sizes[:-1]])))
+    sizes = dict(placed.groupBy("_part").count().collect())
+    counts = [sizes.get(part, 0) for part in range(max(sizes, default=0) + 1)]
+    starts = F.lit(list(accumulate([1, *counts[:-1]])))
     number = F.element_at(starts, F.col("_part") + 1) + F.col("_seq")
     return placed.select(number.cast("bigint").alias(name), *df.columns)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import sys
 from pathlib import Path
 
@@ -44,15 +45,17 @@ def frame(spark, rows):
 
 
 def spec_rows(month):
-    n = 0
-    for supplier, factory, country, lines, compliant in SPEC:
-        for i in range(lines):
-            n += 1
-            yield line(supplier=supplier, factory=factory, origin_country=country, destination_po="PO1", kimball=str(n),
-                       handover_date=month.replace(day=1 + i % 25),
-                       compliance_status="Compliant" if i < compliant else "Non-compliant",
-                       packaging_status="Pending" if n == 1 else "Approved",
-                       approved_by=None if n == 1 else "alice" if n % 2 else "bob", source_file="spec.csv")
+    """Each group's compliant lines come first, on the 1st, 2nd ... of the month. The month's first line is pending and
+    unapproved; the approvers of the others take turns."""
+    verdicts = [(group, day, "Compliant" if day <= group[4] else "Non-compliant")
+                for group in SPEC for day in range(1, group[3] + 1)]
+    first, *others = [
+        dict(supplier=supplier, factory=factory, origin_country=country, destination_po="PO1", kimball=str(number),
+             handover_date=dt.date(month.year, month.month, day), compliance_status=verdict, source_file="spec.csv")
+        for number, ((supplier, factory, country, *_), day, verdict) in enumerate(verdicts, 1)]
+    approved = [line(**row, packaging_status="Approved", approved_by=name)
+                for row, name in zip(others, itertools.cycle(["bob", "alice"]))]
+    return [line(**first, packaging_status="Pending"), *approved]
 
 
 @pytest.fixture(scope="session")

@@ -77,7 +77,7 @@ def test_month_grid(spark, first, count):
 
 
 def test_text(spark):
-    cells = [("  a b\t ",), ("nan",), (" nan ",), ("None",), ("",), (None,), (" x ",)]
+    cells = [("  a b\t ",), ("nan",), (" nan ",), ("None",), ("",), (None,), ("\u00a0x\u2003\r\n",)]
     got = values(spark, cells, "c string", text.clean_text(F.col("c")))
     assert [g[0] for g in got] == ["a b", None, None, "None", "", None, "x"]
     assert text.like_contains(r"50%_a\b") == r"%50\%\_a\\b%"

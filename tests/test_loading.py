@@ -78,6 +78,14 @@ def test_layouts_may_differ_between_files(spark, tmp_path):
     store = LineStore(spark, str(tmp_path / "store"))
     assert rows_of(store.load([few, all_of_it]).drop("error")) == [("all.csv", "Loaded", 1), ("few.csv", "Loaded", 1)]
     assert store.read().schema == LINES
+    parquet = str(tmp_path / "columns.parquet")
+    spark.createDataFrame([("M", "P", 7)], "`Carton Matrix Code` string, Supplier string, `PO Qty` int").write.parquet(
+        parquet)
+    assert rows_of(store.load([few, parquet]).drop("error")) == [
+        ("columns.parquet", "Loaded", 1), ("few.csv", "Skipped", None)]
+    assert rows_of(store.rows_of(["columns.parquet"]), "supplier", "po_qty") == [("P", 7)]
+    store = LineStore(spark, str(tmp_path / "second"))
+    store.load([few, all_of_it])
     assert rows_of(store.read(), "supplier", "area", "carton_type") == [
         ("A", None, "Standard"), ("ACME", "1", "Standard")]
 

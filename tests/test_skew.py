@@ -91,21 +91,29 @@ def test_pages_of_the_hot_supplier(monkeypatch, lines, rows):
     assert shown == ordered[56 * 50:57 * 50]
 
 
-def test_numbering_spreads_the_rows(spark, lines):
-    numbered = number_rows(lines.select("supplier", "kimball"), sort_columns([("supplier", True), ("kimball", True)]))
-    sizes = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(sizes) == LINES and max(sizes) < LINES / 3
+@pytest.fixture
+def small_tasks(spark):
+    """Tasks of some kilobytes, so that a small table is split as a large one would be."""
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    yield
+    for name, size in before.items():
+        spark.conf.set(name, size)
+
+
+def test_numbering_spreads_the_rows(small_tasks, spark, lines):
+    order = sort_columns([("supplier", True), ("kimball", True)])
+    numbered = number_rows(lines.select("supplier", "kimball"), order)
+    written = numbered.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in written) == LINES and max(r["count"] for r in written) < LINES / 3
     assert numbered.agg(F.count_distinct("sl"), F.max("sl")).first() == (LINES, LINES)
 
 
-def test_a_hot_file_is_written_by_several_tasks(spark, lines, tmp_path):
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "32k")
-    try:
-        replace_files(lines, str(tmp_path / "store"))
-    finally:
-        spark.conf.set(size, before)
+def test_a_hot_file_is_written_by_several_tasks(small_tasks, spark, lines, tmp_path):
+    replace_files(lines, str(tmp_path / "store"))
     assert len(list((tmp_path / "store" / "source_file=hot.csv").glob("*.parquet"))) > 1
     stored = spark.read.schema(lines.schema).parquet(str(tmp_path / "store"))
     assert rows_of(stored.groupBy("source_file").count()) == rows_of(lines.groupBy("source_file").count())
