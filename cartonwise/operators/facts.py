@@ -66,13 +66,13 @@ def total(*names: str) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def rollup(lines: DataFrame) -> DataFrame:
-    """One row per month, country, supplier, factory and approver. Partial sums are made before the shuffle,
-    so a supplier holding a third of the lines sends a few rows per task like any other."""
+def rollup(lines: DataFrame, *measures: str) -> DataFrame:
+    """One row per month, country, supplier, factory and approver with the named measures, or all there are. Partial
+    sums are made before the shuffle, so a supplier holding a third of the lines sends a few rows per task like any
+    other."""
     rows = facts(lines)
-    measures = [m for m in _MEASURES if m in rows.columns]
     keys = [k for k in ROLLUP_KEYS if k in rows.columns]
-    return rows.groupBy(*keys).agg(*total(*measures))
+    return rows.groupBy(*keys).agg(*total(*(measures or [m for m in _MEASURES if m in rows.columns])))
 
 
 def _dated(rows: DataFrame, lines: Callable[[str], Column], months: Callable[[str], Column]) -> DataFrame:

@@ -158,7 +158,7 @@ def kpi_rows(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
     picked = in_months(rows, shift_month(f.month, -12), f.month).where(line_filter(f))
     if f.region:
         picked = picked.where(country_region(F.col("origin_country"), rules) == f.region)
-    return rollup(picked)
+    return rollup(picked, "lines", "active")
 
 
 def kpi_dashboard(rows: DataFrame, filters: Filters, rules: Rules) -> KpiDashboard:

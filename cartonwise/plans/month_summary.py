@@ -16,7 +16,8 @@ from cartonwise.operators.supplier import line_details, line_totals
 
 def month_summary(lines: DataFrame, contacts: DataFrame, month: dt.date, rules: Rules) -> dict[str, DataFrame]:
     """Whatever adds up comes from one rollup of the chart's months; only what counts POs reads the lines again."""
-    base = materialized(rollup(in_months(lines.drop("approved_by"), shift_month(month, 1 - rules.chart_months), month)))
+    first = shift_month(month, 1 - rules.chart_months)
+    base = materialized(rollup(in_months(lines.drop("approved_by"), first, month), "lines", "compliant"))
     details = line_details(in_months(lines, month, month), "month", F.col("origin_country").alias("country"))
     trend = summary.country_trend(base, month, rules, lines)
     yearly = summary.supplier_trend(base, month, rules, lines)
@@ -41,7 +42,7 @@ def month_summary(lines: DataFrame, contacts: DataFrame, month: dt.date, rules:
 def kpi_report(lines: DataFrame, month: dt.date, rules: Rules) -> dict[str, DataFrame]:
     """All tables of the KPI report, from one rollup of last year's month to this one. Raises NoData when no table month
     has a line."""
-    base = materialized(rollup(in_months(lines, shift_month(month, -12), month)))
+    base = materialized(rollup(in_months(lines, shift_month(month, -12), month), "lines", "active"))
     if kpi.in_any_month(base, kpi.table_months(month)).isEmpty():
         raise NoData(f"no data for the KPI report of {month:%B %Y}")
     tables = kpi.monthly_tables(base, month)

@@ -65,7 +65,8 @@ def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: Data
     """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it. A series starts at
     its supplier's first month, which takes all months' lines to know: pass the published rollup as `history` to read
     that instead."""
-    base = materialized(rollup(in_months(lines.drop("approved_by"), month, month)))
+    base = materialized(rollup(in_months(lines.drop("approved_by"), month, month), "lines", "compliant",
+                               "non_compliant", "approved", "approved_qty", "board"))
     regions = report_regions(base, rules)
     if suppliers is not None:
         regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")
