@@ -7,19 +7,44 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartonwise.llm import bpe, quality, secrets, tables, urls
+from cartonwise.llm import (bpe, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
+                            toxicity, urls)
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(tables.documents(spark, sf_dir), tables.read(spark, sf_dir, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(tables.documents(spark, sf_dir))
+    return secret_scan.scan(tables.documents(spark, sf_dir))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(tables.documents(spark, sf_dir), tables.read(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_later_copies(tables.documents(spark, sf_dir))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(tables.documents(spark, sf_dir))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(tables.documents(spark, sf_dir))
+
+
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(tables.documents(spark, sf_dir), tables.read(spark, sf_dir, "benchmark"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(tables.documents(spark, sf_dir))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(tables.documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), with_ids=False)
 
@@ -28,7 +53,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(tables.read(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_quality_rules, op9_bpe_round_trip, op10_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_toxicity, op2_secret_scan, op3_quality_rules, op4_line_dedup, op5_substring_dedup, op6_near_duplicates,
+    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL}
