@@ -133,7 +133,11 @@ def learn_terms(docs: DataFrame, sampled: DataFrame, least_documents: int = 4, l
     odds = F.log((F.col("p") + 0.5) / (sizes[0] - F.col("p") + 0.5)) - F.log((F.col("n") + 0.5) / (sizes[1] - F.col("n") + 0.5))
     best = (counts.withColumn("weight", odds).where(F.col("weight") >= least_weight)
             .orderBy(F.desc("p"), F.desc("weight"), "term").limit(most_terms))
-    return {bytes(r.term): r.weight for r in best.collect()}
+    found = {bytes(r.term): (r.weight, r.p) for r in best.collect()}
+    words = [(w, p) for w, (_, p) in found.items() if w[:1] != b"^"]
+    # A beginning that stands for one word only says nothing that the word doesn't.
+    single = {t for t, (_, p) in found.items() if t[:1] == b"^" and any(w.startswith(t[1:]) and n >= 0.8 * p for w, n in words)}
+    return {t: weight for t, (weight, _) in found.items() if t not in single}
 
 
 def measure(docs: DataFrame, learned: dict[bytes, float]) -> DataFrame:
