@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartonwise.config import materialized
-from cartonwise.llm.tables import BLANKS, WORD_SPACE
+from cartonwise.llm.tables import BLANKS, WORD_SPACE, whole_row
 from cartonwise.operators.numbering import number_rows
 
 _DOC = ["doc_id", "version"]
@@ -46,7 +46,8 @@ def _ranked(rows: DataFrame) -> DataFrame:
 def repeated_windows(lines: DataFrame) -> DataFrame:
     """Windows of 1, 2, 4 ... lines that stand in several places: place, length, words, later (not the first place)."""
     found, length = None, 1
-    suffixes = materialized(_ranked(lines.select(*_PLACE, "a", "b", "words")))
+    # Repeated rows of one text hold the same places.
+    suffixes = materialized(_ranked(lines.select(*_PLACE, "a", "b", "words")).dropDuplicates(_PLACE))
     while not suffixes.isEmpty():
         windows = suffixes.select(*_PLACE, F.lit(length).alias("length"), "words", "later")
         found = windows if found is None else found.union(windows)
@@ -64,12 +65,26 @@ def later_lines(docs: DataFrame, min_words: int = 3) -> DataFrame:
     ends = windows.where(F.col("later") & (F.col("words") >= min_words)).groupBy(*_PLACE).agg(
         F.max(F.col("seq") + F.col("length")).alias("end"))
     # Every line of a repeated window is itself a repeated window of one line.
-    rows = windows.where("length = 1").select(*_PLACE).distinct().join(ends, _PLACE, "left")
+    rows = windows.where("length = 1").select(*_PLACE).join(ends, _PLACE, "left")
     reach = F.expr("max(end) over (partition by doc_id, version order by seq)")
     covered = rows.withColumn("reach", reach).where("reach > seq").select(*_PLACE)
     return covered.join(lines.select(*_PLACE, "line").distinct(), _PLACE).groupBy(*_DOC).agg(F.collect_set("line").alias("dropped"))
 
 
+def _without(text: Column, dropped: Column) -> Column:
+    """text without the lines of the given numbers; a number is looked up once, however many there are."""
+    return F.transform(F.array(F.split(text, "\n")), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped), lambda i: lines[i]), "\n"))[0]
+
+
+def _with_dropped(docs: DataFrame, min_words: int) -> DataFrame:
+    """row (all columns of docs) and dropped (null if no line goes)."""
+    dropped = materialized(later_lines(docs, min_words))
+    rows = docs.select(whole_row(docs).alias("row"))
+    return rows.join(dropped, (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("version")), "left").select(
+        "row", "dropped")
+
+
 def drop_later_copies(docs: DataFrame, min_words: int = 3) -> DataFrame:
     """One row for each row of docs: doc_id, n_lines, n_dropped, text without the lines of later copies.
 
@@ -77,16 +92,23 @@ def drop_later_copies(docs: DataFrame, min_words: int = 3) -> DataFrame:
     doc_id and text are one document, so neither is a copy of the other; null doc_ids keep their texts; a null text has
     no lines and stays null. Only doc_id and text are read.
     """
-    dropped = later_lines(docs, min_words).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), "dropped")
-    dropped = materialized(dropped)
-    own = docs.select("doc_id", "text")
-    joined = own.join(dropped, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_version")), "left")
-    lines = F.split("text", "\n")
-    kept = F.transform(F.array(lines), lambda x: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("dropped")), lambda i: x[i]), "\n"))[0]
-    return joined.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-                         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-                         F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("text"))
+    found = _with_dropped(docs.select("doc_id", "text"), min_words)
+    return found.select(
+        "row.doc_id", F.when(F.col("row.text").isNull(), 0).otherwise(F.size(F.split("row.text", "\n"))).cast("long").alias("n_lines"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("dropped"))).alias("text"))
+
+
+def clean(docs: DataFrame, min_words: int = 3) -> DataFrame:
+    """docs with the lines of later copies taken out of text, n_chars (if there is one) counted anew, and without the rows that
+    have lost every line with a word. Other columns stay, whatever they are called."""
+    found = _with_dropped(docs, min_words)
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("dropped")))
+    found = found.select("row", "dropped", text.alias("text"))
+    found = found.where(F.col("dropped").isNull() | (F.trim("text", F.lit(BLANKS)) != ""))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("dropped").isNull(), F.col("row.n_chars")).otherwise(
+        F.length("text").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("text")}
+    return found.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = r"""
