@@ -141,6 +141,39 @@ def learn(docs: DataFrame, documents_per_language: int = 600, windows_per_docume
     return train(windows, np.array([place[r.lang] for r in rows]), languages)
 
 
+def _judge(column: pa.Array, network: Network | None) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text of a column."""
+    found, scores = [UNKNOWN] * len(column), np.zeros(len(column))
+    for first, _, data, offsets in texts_of(column):
+        if network is None or not len(data):
+            continue
+        letters = np.concatenate([[0], np.cumsum(_LETTERS[data])])[offsets]
+        lengths = np.diff(offsets)
+        judged = np.diff(letters) > 0
+        for i in np.flatnonzero(~judged & (lengths > 0)).tolist():
+            judged[i] = any(map(str.isalpha, data[offsets[i]:offsets[i + 1]].tobytes().decode(errors="replace")))
+        rows = np.flatnonzero(judged)
+        if not len(rows):
+            continue
+        counts = -(-lengths[rows] // network.window)
+        owner = np.repeat(np.arange(len(rows)), counts)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = offsets[rows][owner] + number * network.window
+        ends = offsets[rows + 1][owner]
+        weights = np.minimum(network.window, ends - starts)
+        totals = np.zeros((len(rows), len(network.languages)))
+        for at in range(0, len(owner), 2048):
+            part = slice(at, at + 2048)
+            own = network.probabilities(windows_of(data, starts[part], ends[part], network.window))
+            np.add.at(totals, owner[part], own * weights[part, None])
+        totals /= lengths[rows][:, None]
+        best = totals.argmax(1)
+        scores[first + rows] = totals[np.arange(len(rows)), best].clip(0, 1)
+        for row, language in zip(rows.tolist(), best.tolist()):
+            found[first + row] = network.languages[language]
+    return found, scores
+
+
 def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score (the averaged probability of lang_pred) for each row of docs. A null text, or one
     without a letter, is `und` with score 0, as is every text if there is no network. Rows are independent; only doc_id and
@@ -148,34 +181,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            for first, end, data, offsets in texts_of(batch.column(1)):
-                if network is None or not len(data):
-                    continue
-                letters = np.concatenate([[0], np.cumsum(_LETTERS[data])])[offsets]
-                lengths = np.diff(offsets)
-                judged = np.diff(letters) > 0
-                for i in np.flatnonzero(~judged & (lengths > 0)).tolist():
-                    judged[i] = any(map(str.isalpha, data[offsets[i]:offsets[i + 1]].tobytes().decode(errors="replace")))
-                rows = np.flatnonzero(judged)
-                if not len(rows):
-                    continue
-                counts = -(-lengths[rows] // network.window)
-                owner = np.repeat(np.arange(len(rows)), counts)
-                number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-                starts = offsets[rows][owner] + number * network.window
-                ends = offsets[rows + 1][owner]
-                weights = np.minimum(network.window, ends - starts)
-                totals = np.zeros((len(rows), len(network.languages)))
-                for at in range(0, len(owner), 2048):
-                    part = slice(at, at + 2048)
-                    own = network.probabilities(windows_of(data, starts[part], ends[part], network.window))
-                    np.add.at(totals, owner[part], own * weights[part, None])
-                totals /= lengths[rows][:, None]
-                best = totals.argmax(1)
-                scores[first + rows] = totals[np.arange(len(rows)), best].clip(0, 1)
-                for row, language in zip(rows.tolist(), best.tolist()):
-                    found[first + row] = network.languages[language]
+            found, scores = _judge(batch.column(1), network)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found, pa.string()), pa.array(scores)],
                                              ["doc_id", "lang_pred", "score"])
 
@@ -183,6 +189,20 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.4) -> DataFrame:
+    """The rows of docs, with all their columns, that have a language: not `und`, and a score of least_score. Without a
+    network, which no document taught, all rows stay."""
+    place = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, scores = _judge(batch.column(place), network)
+            keep = pa.array([x != UNKNOWN for x in found], pa.bool_()).to_numpy(zero_copy_only=False) & (scores >= least_score)
+            yield batch.filter(pa.array(keep))
+
+    return docs if network is None else docs.mapInArrow(work, docs.schema)
+
+
 def identify(docs: DataFrame, **options) -> DataFrame:
     """predict() by a network learned from docs itself, from rows that aren't held out."""
     return predict(docs, learn(docs, **options))

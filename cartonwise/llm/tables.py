@@ -32,7 +32,13 @@ def map_texts(docs: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     return docs.select(*columns).mapInArrow(work, schema)
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in kept, whatever other columns docs has."""
-    return docs.join(kept.select(F.col("doc_id").alias("_kept_doc_id")).distinct(),
-                     F.col("doc_id") == F.col("_kept_doc_id"), "left_semi")
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that their names clash with nothing that is joined."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def drop_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is not in dropped, whatever other columns docs has. A null doc_id stays."""
+    gone = dropped.select(F.col("doc_id").alias("_gone")).distinct()
+    rows = docs.select(whole_row(docs).alias("row"))
+    return rows.join(gone, F.col("row.doc_id") == F.col("_gone"), "left_anti").select("row.*")
