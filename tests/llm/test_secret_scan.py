@@ -1,0 +1,89 @@
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import pytest
+
+from cartonwise.llm import guesses, queries, secret_scan, tables
+
+ASSIGN = re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"
+                    r"[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def base(text):
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{kind}:{s}:{e}" for s, _, e, kind in sorted(found)]
+
+
+def test_base_spans_equal_plain_patterns():
+    own = random.Random(2)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "=", ": ", "\"", "'", " ", "AKIA", "ABCD1234EFGH5678", "0123456789abcdef",
+             "é", "ſecret", "to\u212aen", "x", "abc123", "日", "\n", "="]
+    for _ in range(2000):
+        text = "".join(own.choices(parts, k=own.randint(0, 25)))
+        spans, _ = secret_scan.find(text)
+        assert [f"{k}:{s}:{e}" for s, e, k in spans if k != "guess"] == base(text)
+
+
+@pytest.mark.parametrize("text, found", [
+    ('pwd = "xK9#mQ2$vL7z"', ["guess:7:19"]), ("Authorization: Bearer eyJhbGciOiJIUzI1", ["guess:22:38"]),
+    ("é https://bob:s3XtY9zzq@host/", ["guess:14:23"]), ("passphrase is changeme123", []), ("login: aaaaaaaaaaaa", []),
+    ("private key: 2001-05-06", []), ("the key is your_password", []), ("passcode = qwertyuiop", []), ("nothing", [])])
+def test_values_that_take_many_guesses(text, found):
+    spans, _ = secret_scan.find(text)
+    assert [f"{k}:{s}:{e}" for s, e, k in spans if k == "guess"] == found
+
+
+def test_cheapest_parts_are_the_cheapest():
+    """Against trying every segmentation with the same part costs."""
+    own = random.Random(4)
+    for _ in range(150):
+        value = "".join(own.choices(["pass", "a", "b", "1", "2", "aa", "qwe", "word", "99", "_"], k=own.randint(1, 3)))[:9]
+        single = math.log10(guesses._alphabet(value))
+
+        def cost(part):
+            options = [single * len(part)]
+            kinds = guesses.cheapest_parts(part)
+            if len(kinds[1]) == 1 and kinds[1][0][0] in ("word", "date", "walk", "repeat", "separator") and kinds[1][0][0] in ("word", "date", "separator"):
+                options.append(kinds[0])
+            return min(options)
+
+        best = min(sum(cost(value[s:e]) + (guesses._SEPARATE if s else 0) for s, e in zip((0, *cut), (*cut, len(value))))
+                   for n in range(len(value)) for cut in itertools.combinations(range(1, len(value)), n))
+        assert guesses.cheapest_parts(value)[0] <= best + 1e-9
+
+
+def test_parts_cover_the_value():
+    own = random.Random(6)
+    for _ in range(300):
+        value = "".join(own.choices("abcdefqwerty123456789_-PASSpass", k=own.randint(0, 60)))
+        cost, parts = guesses.cheapest_parts(value)
+        assert [p[1] for p in parts] + [len(value)] == [0] + [p[2] for p in parts] if parts else value == ""
+        assert 0 <= cost <= len(value) * math.log10(guesses._alphabet(value)) + 1e-9
+    assert guesses.cheapest_parts("password")[0] < guesses.cheapest_parts("passwrxd")[0]
+    assert guesses.cheapest_parts("P4ssw0rd")[0] < 3
+    assert guesses.cheapest_parts("ab" * 20_000)[0] < 10
+
+
+def test_rows(spark, frame):
+    docs = frame([(1, None), (2, ""), (3, "token: abcdef1"), (3, "token: abcdef1"), (None, "x" * 300_000)]).selectExpr("*", "'q' as spans")
+    rows = {(r.doc_id, r.spans, r.n_assign, r.base_sha256) for r in secret_scan.scan(docs).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert rows == {(1, "", 0, empty), (2, "", 0, empty), (None, "", 0, empty),
+                    (3, "assign:0:14", 1, hashlib.sha256(b"assign:0:14").hexdigest())}
+    assert secret_scan.scan(docs).count() == 5 and secret_scan.scan(frame([])).count() == 0
+
+
+def test_query(spark):
+    docs = {r.doc_id: r.text for r in tables.documents(spark, "/root/testdata/sf0.01").collect()}
+    rows = queries.op2_secret_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(docs) and sum(r.n_assign for r in rows)
+    for row in rows:
+        expected = base(docs[row.doc_id])
+        assert row.base_sha256 == hashlib.sha256(",".join(expected).encode()).hexdigest()
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(
+            sum(x.startswith(kind) for x in expected) for kind in ("assign", "access", "hex"))

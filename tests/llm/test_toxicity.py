@@ -1,0 +1,76 @@
+import random
+import zlib
+
+import pytest
+
+from cartonwise.llm import queries, tables, toxicity
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_features():
+    names = toxicity.FEATURES
+
+    def of(text, learned=None):
+        return dict(zip(names, toxicity.features(text.encode(), learned or {})))
+
+    assert set(of("").values()) == {0.0} and set(of("!!! ...").values()) == {0.0}
+    near, far = of("you are an idiot today"), of("you " + "word " * 20 + "idiot")
+    assert near["n_insults"] == 1 and near["insults"] == 0.2 and near["near_second_person"] == 0.2 and far["near_second_person"] == 0
+    assert of("YOU IDIOT")["upper"] == 1 and of("Hello You")["upper_words"] == 0
+    assert of("such an id1ot")["obfuscated_hits"] == 1 / 3 and of("stuuuupid!!!")["stretched"] == 1 and of("a! b!")["exclamations"] == 1
+    assert of("loweischaft", {b"^lowe": 3.0})["n_learned_stems"] == 1 and of("foo bar", {b"foo": 2.0})["learned_words"] == 0.5
+
+
+@pytest.fixture
+def corpus(prose):
+    own = random.Random(8)
+    docs, labels = [], []
+    for i in range(900):
+        words, toxic = prose(own.randint(20, 120)), i % 4 == 0
+        if toxic:
+            words[own.randrange(len(words))] = own.choice(["moron", "schmuxal", "schmuxon", "graal"])
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def test_held_out_documents_are_judged_right(frame, corpus):
+    docs, labels = corpus
+    rows = toxicity.score(frame(docs), frame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert sorted(r.doc_id for r in rows) == [d for d, _ in docs]
+    assert all(r.held_out == held(r.doc_id) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    own = [(r.predicted, labels[r.doc_id][2]) for r in rows if r.held_out]
+    assert sum(p == t for p, t in own) >= 0.95 * len(own)
+
+
+def test_labels_of_held_out_rows_change_nothing(frame, corpus):
+    docs, labels = corpus
+    schema = "doc_id long, quality int, toxic int"
+    flipped = [(i, q, 1 - t if held(i) else t) for i, q, t in labels]
+    one, two = (sorted((r.doc_id, r.score) for r in toxicity.score(frame(docs), frame(x, schema)).collect()) for x in (labels, flipped))
+    assert [i for i, _ in one] == [i for i, _ in two] and all(abs(a[1] - b[1]) < 1e-9 for a, b in zip(one, two))
+
+
+def test_odd_rows(frame, corpus):
+    docs, labels = corpus
+    schema = "doc_id long, quality int, toxic int"
+    odd = [(2000, None), (2001, ""), (2002, "idiot " * 50_000), (2002, "idiot " * 50_000), (None, "moron")]
+    table = frame(docs + odd).selectExpr("*", "'x' as features", "1 as label", "2 as part", "'toxic' as lang")
+    rows = toxicity.score(table, frame(labels + [(1, 1, 1), (2, 1, None), (None, 1, 1), (3, 1, 7)], schema)).collect()
+    assert len(rows) == len(docs) + len(odd)
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[2000].predicted == by_id[2001].predicted == 0 and by_id[2000].score == by_id[2001].score and by_id[2002].predicted == 1
+    assert {r.score for r in toxicity.score(frame(docs[:5]), frame([], schema)).collect()} == {0.0}
+    assert toxicity.score(frame([]), frame(labels, schema)).count() == 0
+
+
+def test_query(spark):
+    labels = {r.doc_id: r.toxic for r in tables.read(spark, "/root/testdata/sf0.1", "labels").collect()}
+    rows = queries.op1_toxicity(spark, "/root/testdata/sf0.1").collect()
+    own = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    low, high = ([s for s, t in own if t == label] for label in (0, 1))
+    wins = sum((h > x) + 0.5 * (h == x) for h in high for x in low) / (len(low) * len(high))
+    assert wins >= 0.93
