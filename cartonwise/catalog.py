@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartonwise import oracle
 from cartonwise.config import Rules, scratch_path, session_setup
 from cartonwise.functions.dates import month_grid, month_label, month_of
 from cartonwise.functions.numbers import rounded
@@ -81,6 +83,15 @@ def _untidy(cells: DataFrame) -> DataFrame:
     })
 
 
+# Columns by which written lines are compared with those that went in.
+SHOWN = ("destination_po", "kimball", "supplier", "factory", "po_qty", "handover_date", "packaging_status", "cbm", "density",
+         "compliance_status", "source_file")
+
+
+def _shown(lines: DataFrame) -> DataFrame:
+    return lines.select(*(F.col(c).cast("double").alias(c) if c in ("cbm", "density") else c for c in SHOWN))
+
+
 @query
 def clean_text(spark, folder):
     cells = exports.select_cells(exports.to_export(tables.read_lines(spark, folder)))
@@ -113,6 +124,41 @@ def _write_exports(lines: DataFrame, path: str) -> list[str]:
     return sorted(f"{path}/source_file={r.source_file}" for r in names)
 
 
+def _load_untidy(spark: SparkSession, folder: str) -> tuple[store.LineStore, DataFrame]:
+    """Exports with line breaks and quotes in cells, dates in several forms and cells that cannot be read, one of them
+    offered twice; the store they were loaded into, and the load's report."""
+    kimball = F.col("Kimball").cast("bigint")
+    day = F.to_date("Current Handover Date")
+    forms = ("yyyy-MM-dd", "yyyy/M/d", "d-MMM-yyyy", "MMM d, yyyy", "d.M.yyyy", "yyyy-MM-dd HH:mm:ss")
+    written = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        written = F.when(kimball % len(forms) == i, F.date_format(day, form)).otherwise(written)
+    lines = tables.read_lines(spark, folder)
+    cells = exports.to_export(lines).withColumns({
+        "Supplier": F.when(kimball % 13 == 0, "nan").otherwise(F.col("Supplier")),
+        "Description": F.concat("Description", F.lit('\nsecond "line", of '), "Kimball"),
+        "PO Qty": F.when(kimball % 11 == 0, F.concat("PO Qty", F.lit("d"))).otherwise(F.col("PO Qty")),
+        "Current Handover Date": F.when(kimball % 17 == 0, "not a date").otherwise(written)})
+    path = scratch_path(spark, "exports")
+    (cells.hint("rebalance", "source_file").write.option("header", True).option("escape", '"')
+     .partitionBy("source_file").csv(path))
+    names = sorted(r.source_file for r in lines.select("source_file").distinct().collect())  # one row per export file
+    paths = [f"{path}/source_file={n}" for n in names]
+    target = store.LineStore(spark, scratch_path(spark, "lines"))
+    return target, target.load([*paths, f"{path}/./source_file={names[0]}"])
+
+
+@query
+def load_untidy(spark, folder):
+    return _load_untidy(spark, folder)[0].read().select(
+        "destination_po", "kimball", "colour_code", "supplier", "description", "po_qty", "handover_date", "compliance_status", "source_file")
+
+
+@query
+def load_untidy_report(spark, folder):
+    return _load_untidy(spark, folder)[1].select("source_file", "status", "rows", "unreadable_cells")
+
+
 @query
 def load_report(spark, folder):
     lines = tables.read_lines(spark, folder)
@@ -131,7 +177,7 @@ def replace_by_file(spark, folder):
     store.replace_files(lines, target.path)
     again = lines.where(F.col("source_file").isin("2001_09_1-15", "2001_09_16-31"))
     store.replace_files(again.where("packaging_status = 'Approved'"), target.path)
-    return target.read().groupBy("source_file").agg(F.count("*").alias("rows"))
+    return _shown(target.read())
 
 
 @query
@@ -151,8 +197,8 @@ def stream_ingest(spark, folder):
     early = F.col("handover_date") < F.lit(dt.date(1999, 1, 1))
     for part in (lines.where(early), lines.where(~early)):
         _write_exports(part, arrived)
-        start_ingest(target, arrived, checkpoint, pattern="part-*.csv").awaitTermination()
-    return target.read().groupBy("source_file").agg(F.count("*").alias("rows"))
+        start_ingest(target, arrived, checkpoint, pattern="*.csv", folders=True).awaitTermination()
+    return _shown(target.read())
 
 
 @query
@@ -228,16 +274,17 @@ def extract_by_supplier(spark, folder):
     extracts.write_by_supplier(
         extracts.by_supplier(lines, MONTH, rules_for(spark, folder), tables.read_aliases(spark, folder)), path)
     written = spark.read.option("header", True).csv(path)
-    return written.groupBy("region", "supplier_file").agg(F.count("*").alias("lines"))
+    return written.select("region", "supplier_file", F.col("Supplier").alias("supplier"), F.col("Destination PO").alias("destination_po"),
+                          F.col("Kimball").alias("kimball"), F.col("PO Qty").alias("po_qty"),
+                          F.col("Current Handover Date").alias("handover_date"), F.col("Compliance Status").alias("compliance_status"))
 
 
 @query
 def extract_selected(spark, folder):
     names = ["Supplier#000000003", SUPPLIER, "Supplier#000000003", "Supplier nobody knows"]
     wanted = spark.createDataFrame([(n,) for n in names], "supplier string")
-    rows = extracts.selected(tables.read_lines(spark, folder, *PLACE, "supplier"), MONTH, wanted,
-                             rules_for(spark, folder))
-    return rows.groupBy("supplier", "region").agg(F.count("*").alias("lines"))
+    rows = extracts.selected(tables.read_lines(spark, folder), MONTH, wanted, rules_for(spark, folder))
+    return rows.select("supplier", "region", "supplier_file", "destination_po", "kimball", "po_qty", "handover_date", "compliance_status")
 
 
 @query
@@ -249,7 +296,12 @@ def supplier_json(spark, folder):
 def report_fan_out(spark, folder):
     items = supplier_report.report_items(tables.read_lines(spark, folder), MONTH, rules_for(spark, folder),
                                          with_transactions=True)
-    return supplier_report.write_reports(items, scratch_path(spark, "reports"))
+    path = scratch_path(spark, "reports")
+    supplier_report.write_reports(items, path)
+    written = supplier_report.read_reports(spark, path).select("region", "supplier", "section", "item")
+    moves = written.where("section = 'transactions'").groupBy("region", "supplier", "section").agg(
+        F.count("*").cast("string").alias("item"))
+    return written.where("section <> 'transactions'").unionByName(moves)
 
 
 # --- functions ----------------------------------------------------------------
@@ -649,6 +701,27 @@ def numbered_lines(spark, folder):
     return number_rows(lines, sort_columns(order), "position")
 
 
+def _as_rows(named: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:
+    """The rows of several tables, as JSON objects, by the table's name."""
+    parts = [df.select(*(F.col(c).cast("string").alias(c) if c in ("month", "first_month") else c for c in fields[name].split(", ")))
+             for name, df in named.items() if name in fields]
+    names = [name for name in named if name in fields]
+    rows = [part.select(F.lit(name).alias("table"), F.to_json(F.struct(*part.columns), {"ignoreNullFields": "false"}).alias("item"))
+            for name, part in zip(names, parts)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def month_summary_tables(spark, folder):
+    return _as_rows(month_report(spark, folder), {name: fields for name, (_, fields) in oracle.SUMMARY_TABLES.items()})
+
+
+@query
+def kpi_report_tables(spark, folder):
+    named = month_summary.kpi_report(tables.read_lines(spark, folder), MONTH, rules_for(spark, folder))
+    return _as_rows(named, {name: fields for name, (_, fields) in oracle.KPI_TABLES.items()})
+
+
 def month_report(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The month summary over the tables, by name."""
     session_setup(spark)

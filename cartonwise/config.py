@@ -56,9 +56,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whatever file system it is, if it exists."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_SCRATCH: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables that jobs of this driver kept in the shared folder; call it when their results have been read."""
+    while _SCRATCH:
+        remove(spark, _SCRATCH.pop())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a table that a job writes and reads back."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
 
 
 def materialized(df: DataFrame) -> DataFrame:

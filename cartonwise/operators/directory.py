@@ -6,13 +6,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from cartonwise.config import Rules
+from cartonwise.config import Rules, materialized
 from cartonwise.functions.dates import month_of
 from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import matching_key
 from cartonwise.operators.facts import in_months
 from cartonwise.operators.filters import contains, named_like, not_blank
+from cartonwise.operators.numbering import number_rows, sort_columns
 from cartonwise.operators.summary import joined_emails
 
 SEARCH_LIMIT = 20
@@ -33,15 +35,17 @@ def supplier_month_regions(countries: DataFrame, rules: Rules) -> DataFrame:
 
 
 def supplier_directory(countries: DataFrame, contacts: DataFrame, rules: Rules) -> DataFrame:
-    """Every supplier with lines or with stored addresses. Names match regardless of case; suppliers known only
-    from the contacts have no region."""
+    """Every supplier with lines or with stored addresses, numbered by name regardless of case. Names match regardless of
+    case too; suppliers known only from the contacts have no region."""
     known = countries.groupBy(F.col("supplier").alias("name")).agg(
         supplier_region(F.col("country"), rules).alias("region"))
     known = known.withColumn("_key", matching_key(F.col("name")))
     emails = joined_emails(contacts)
     both = known.join(emails, F.col("_key") == F.col("supplier_name"), "full_outer")
-    return both.select(F.coalesce("name", "supplier_name").alias("name"),
-                       F.coalesce("emails", F.lit("")).alias("emails"), "region")
+    listed = both.select(F.coalesce("name", "supplier_name").alias("name"), F.coalesce("emails", F.lit("")).alias("emails"),
+                         "region", F.lower(F.coalesce("name", "supplier_name")).alias("_by"))
+    numbered = number_rows(listed, sort_columns([("_by", True), ("name", True)]), "position")
+    return numbered.select("position", "name", "emails", "region")
 
 
 def directory_rows(countries: DataFrame, directory: DataFrame, rules: Rules, text: str = "",
@@ -56,8 +60,9 @@ def directory_rows(countries: DataFrame, directory: DataFrame, rules: Rules, tex
 
 
 def directory_months(countries: DataFrame) -> DataFrame:
-    """Months with data, newest first."""
-    return countries.select("month").where(F.col("month").isNotNull()).distinct().orderBy(F.col("month").desc())
+    """Months with data, numbered newest first: a few hundred rows, whatever the number of lines."""
+    months = countries.select("month").where(F.col("month").isNotNull()).distinct()
+    return months.select(F.row_number().over(Window.orderBy(F.col("month").desc())).alias("position"), "month").orderBy("position")
 
 
 def search_names(lines: DataFrame, month: dt.date, text: str) -> DataFrame:
@@ -67,10 +72,9 @@ def search_names(lines: DataFrame, month: dt.date, text: str) -> DataFrame:
     picked = in_months(lines, month, month)
     if not text:
         picked = picked.where(F.lit(False))
-    suppliers = (picked.where(contains("supplier", text)).select("supplier").distinct()
-                 .orderBy("supplier").limit(SEARCH_LIMIT))
-    pairs = picked.where(contains("factory", text) & F.col("supplier").isNotNull())
-    pairs = pairs.select("factory", "supplier").distinct()
+    pairs = materialized(picked.where(contains("supplier", text) | contains("factory", text)).select("supplier", "factory").distinct())
+    suppliers = pairs.where(contains("supplier", text)).select("supplier").distinct().orderBy("supplier").limit(SEARCH_LIMIT)
+    pairs = pairs.where(contains("factory", text) & F.col("supplier").isNotNull())
     first = pairs.select("factory").distinct().orderBy("factory").limit(SEARCH_LIMIT)
     factories = pairs.join(first, "factory", "left_semi")
     return suppliers.select(F.lit("supplier").alias("kind"), F.col("supplier").alias("name"), "supplier").unionByName(
@@ -78,8 +82,10 @@ def search_names(lines: DataFrame, month: dt.date, text: str) -> DataFrame:
 
 
 def filter_options(lines: DataFrame, month: dt.date) -> DataFrame:
-    """Distinct countries and approvers of the month, blanks left out: one pass over both columns."""
+    """Distinct countries and approvers of the month, blanks left out, each kind numbered by name: one pass over both
+    columns."""
     both = F.array(F.struct(F.lit("country").alias("kind"), F.col("origin_country").alias("value")),
                    F.struct(F.lit("approver").alias("kind"), F.col("approved_by").alias("value")))
     values = in_months(lines, month, month).select(F.inline(both))
-    return values.where(not_blank("value")).distinct()
+    by_name = Window.partitionBy("kind").orderBy("value")
+    return values.where(not_blank("value")).distinct().withColumn("position", F.row_number().over(by_name))

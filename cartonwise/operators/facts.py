@@ -103,7 +103,13 @@ def up_to(rows: DataFrame, month: dt.date) -> DataFrame:
                   lambda column: F.col(column) <= F.lit(month))
 
 
+def beginning(rows: DataFrame) -> DataFrame:
+    """One row: first, the earliest day with data. Of a published table or a rollup it is the first day of the earliest
+    month, which for the published table is a partition's name: no line is read."""
+    column = next(c for c in ("handover_month", "handover_date", "month") if c in rows.columns)
+    return rows.agg(F.min(column).alias("first"))
+
+
 def first_day(rows: DataFrame) -> Column:
-    """Earliest day with data, as a scalar subquery; of a rollup, the first day of the earliest month."""
-    column = "handover_date" if "handover_date" in rows.columns else "month"
-    return rows.agg(F.min(column)).scalar()
+    """beginning() as a scalar subquery."""
+    return beginning(rows).scalar()

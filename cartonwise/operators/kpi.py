@@ -11,7 +11,7 @@ from cartonwise.config import Rules
 from cartonwise.functions.dates import calendar_days, month_grid, month_of, shift_month, working_days
 from cartonwise.functions.numbers import percent_change, rounded
 from cartonwise.functions.regions import country_region
-from cartonwise.operators.facts import facts, in_any_month, in_months, total
+from cartonwise.operators.facts import beginning, facts, in_any_month, in_months, total
 from cartonwise.operators.filters import not_blank
 
 
@@ -22,7 +22,7 @@ def table_months(month: dt.date) -> list[dt.date]:
 
 def chart_months(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     """Months of the KPI charts, oldest first; just the report month when it precedes all data."""
-    bounds = rows.agg(F.min("handover_date" if "handover_date" in rows.columns else "month").alias("first"))
+    bounds = beginning(rows)
     grid = F.coalesce(month_grid(F.col("first"), month, rules.chart_months), F.array(F.lit(month)))
     grid = F.when(F.size(grid) > 0, grid).otherwise(F.array(F.lit(month)))
     return bounds.select(F.explode(grid).alias("month"))
@@ -61,11 +61,15 @@ def approver_performance(rows: DataFrame, month: dt.date) -> DataFrame:
     """Approved lines per approver in each table month: 0 where an approver had none, null where the month has no
     lines at all; and the report month's share of the largest figure shown."""
     picked = facts(in_any_month(rows, table_months(month)))
-    counts = picked.where(not_blank("approved_by")).groupBy("approved_by").agg(*_month_sums(month))
-    present = picked.agg(*_month_sums(month)).select(F.struct("m0", "m1", "m12")).scalar()
-    cells = counts.select("approved_by", *(F.when(present[m] > 0, F.col(m)).alias(m) for m in ("m0", "m1", "m12")))
-    largest = counts.agg(F.max(F.greatest("m0", "m1", "m12"))).scalar()
-    return cells.withColumn("share_of_max", rounded(F.try_divide(F.col("m0").cast("double"), largest), 4))
+    groups = picked.groupBy("approved_by").agg(*_month_sums(month))  # blank approvers too: they count for the months
+    named = not_blank("approved_by")
+    over_all = groups.agg(*(F.sum(m).alias(m) for m in ("m0", "m1", "m12")),
+                          F.max(F.when(named, F.greatest("m0", "m1", "m12"))).alias("largest"))
+    known = over_all.select(F.struct("m0", "m1", "m12", "largest")).scalar()
+    cells = groups.where(named).select("approved_by", F.col("m0").alias("_m0"), *(
+        F.when(known[m] > 0, F.col(m)).alias(m) for m in ("m0", "m1", "m12")))
+    share = rounded(F.try_divide(F.col("_m0").cast("double"), known["largest"]), 4)
+    return cells.withColumn("share_of_max", share).drop("_m0")
 
 
 def lines_per_working_day(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
@@ -145,7 +149,7 @@ def month_comparison(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame
     table month with data, in whole percent."""
     picked = facts(in_any_month(rows, table_months(month)))
     cells = picked.groupBy(F.col("origin_country").alias("country")).agg(*_month_sums(month))
-    totals = picked.agg(*_month_sums(month)).select(F.struct("m0", "m1", "m12")).scalar()
+    totals = cells.agg(*(F.sum(m).alias(m) for m in ("m0", "m1", "m12"))).select(F.struct("m0", "m1", "m12")).scalar()
 
     def of_first_present(value):
         return F.when(totals["m0"] > 0, value("m0")).when(totals["m1"] > 0, value("m1")).otherwise(value("m12"))

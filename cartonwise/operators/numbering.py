@@ -11,12 +11,10 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cartonwise.config import materialized
 
-# Below this many rows Spark's top-k (per task, then merged) finds a page without a full sort.
-TOP_K_ROWS = 10_000
-
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "sl") -> DataFrame:
     """Add a 1-based sequence number in the given order, which should be total. The partitioned rows are
@@ -32,8 +30,17 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "sl") -> DataFra
     return placed.select(number.cast("bigint").alias(name), *df.columns)
 
 
-def reversed_order(order: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
-    return [(column, not ascending) for column, ascending in order]
+def number_list(df: DataFrame, first: tuple[str, bool], ties: list[tuple[str, bool]], name: str = "sl") -> DataFrame:
+    """Add a 1-based sequence number to a list with few distinct values in its first sort column, such as rates: rows are
+    numbered within a value and shifted by the counts of the values before it. Nothing runs before the list is read."""
+    column, ascending = first
+    counts = df.groupBy(column).agg(F.count("*").alias("_count"))
+    # One row per distinct value: far fewer than the list's lines.
+    before = F.sum("_count").over(Window.orderBy(*sort_columns([first])).rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col(column).alias("_value"), F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(column).orderBy(*sort_columns(ties)))
+    placed = df.withColumn("_place", place).join(starts, F.col(column).eqNullSafe(F.col("_value")))
+    return placed.select((F.col("_before") + F.col("_place")).cast("bigint").alias(name), *df.columns)
 
 
 def sort_columns(order: list[tuple[str, bool]]) -> list[Column]:
@@ -42,17 +49,11 @@ def sort_columns(order: list[tuple[str, bool]]) -> list[Column]:
 
 
 def page_of(df: DataFrame, order: list[tuple[str, bool]], page: int, size: int) -> tuple[DataFrame, int, int]:
-    """(rows, page, total) of a 1-based page clamped to the existing ones. Pages near either end are found by
-    top-k from that end; those in between by row number."""
-    total = df.count()
-    page = max(1, min(page, -(-total // size) or 1))
-    skip = (page - 1) * size
-    take = min(size, total - skip)
-    if skip + take <= TOP_K_ROWS:
-        rows = df.orderBy(*sort_columns(order)).offset(skip).limit(take)
-    elif total - skip <= TOP_K_ROWS:
-        rows = df.orderBy(*sort_columns(reversed_order(order))).offset(total - skip - take).limit(take)
-    else:
-        numbered = number_rows(df, sort_columns(order), "_sl")
-        rows = numbered.where(F.col("_sl").between(skip + 1, skip + take)).drop("_sl")
-    return rows.orderBy(*sort_columns(order)), page, total
+    """(rows, page, total) of a 1-based page; a page outside the list becomes its nearest one."""
+    columns = sort_columns(order)
+    numbered = number_rows(df, columns, "_sl")
+    total = numbered.count()
+    last_page = 1 + max(0, total - 1) // size
+    page = sorted((1, page, last_page))[1]
+    rows = numbered.where(F.col("_sl").between(size * (page - 1) + 1, size * page)).drop("_sl")
+    return rows.orderBy(*columns), page, total

@@ -13,7 +13,7 @@ from cartonwise.functions.numbers import heat_band, mean_of_rounded, percent, ro
 from cartonwise.functions.text import joined, matching_key
 from cartonwise.operators.facts import facts, first_day, in_months, total
 from cartonwise.operators.filters import named_like
-from cartonwise.operators.numbering import number_rows, sort_columns
+from cartonwise.operators.numbering import number_list, number_rows, sort_columns
 from cartonwise.operators.rates import rates
 from cartonwise.operators.supplier import densified
 
@@ -41,7 +41,7 @@ def country_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataFr
 def country_order(trend: DataFrame) -> DataFrame:
     """Countries numbered by the first month they appear in, then by name."""
     first_seen = trend.where(F.col("rate").isNotNull()).groupBy("country").agg(F.min("month").alias("first_month"))
-    return number_rows(first_seen, sort_columns([("first_month", True), ("country", True)]), "position")
+    return number_list(first_seen, ("first_month", True), [("country", True)], "position")
 
 
 def supplier_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataFrame | None = None) -> DataFrame:
@@ -96,8 +96,8 @@ def top_suppliers(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     grouped = facts(in_months(lines, month, month)).groupBy("supplier").agg(*_profile(), *total("compliant"))
     rated = grouped.withColumn("raw", percent(F.col("compliant"), F.col("reflected_lines")))
     listed = rated.where(F.col("raw") >= rules.top_rate)
-    order = sort_columns([("raw", False), ("reflected_lines", False), ("supplier", True)])
-    return number_rows(listed.withColumn("rate", rounded(F.col("raw"))), order).drop("raw", "compliant")
+    shown = listed.withColumn("rate", rounded(F.col("raw")))
+    return number_list(shown, ("raw", False), [("reflected_lines", False), ("supplier", True)]).drop("raw", "compliant")
 
 
 def follow_up(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
@@ -127,8 +127,8 @@ def follow_up(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     shown = listed.select(
         "*", rounded(raws[0]).alias("rate"), rounded(raws[1]).alias("prev_1"), rounded(raws[2]).alias("prev_2"),
         rounded(F.col("raw_avg")).alias("avg_3month"))
-    order = sort_columns([("raw_avg", True), ("raw_0", True), ("supplier", True)])
-    return number_rows(shown, order).drop("raw_0", "raw_1", "raw_2", "raw_avg")
+    numbered = number_list(shown, ("raw_avg", True), [("raw_0", True), ("supplier", True)])
+    return numbered.drop("raw_0", "raw_1", "raw_2", "raw_avg")
 
 
 def joined_emails(contacts: DataFrame) -> DataFrame:

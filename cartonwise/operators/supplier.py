@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartonwise.config import Rules
-from cartonwise.functions.dates import month_grid, shift_month
+from cartonwise.functions.dates import month_grid, month_of, shift_month
 from cartonwise.functions.numbers import BOARD_UNITS, percent, rate_band, rounded
 from cartonwise.functions.text import joined
 from cartonwise.operators.facts import facts, in_months, total, up_to
@@ -81,17 +81,29 @@ def densified(grouped: DataFrame, key: str, months: Column, *values: str) -> Dat
     return spread.select(key, "month", *(found[v].alias(v) for v in values))
 
 
-def supplier_series(rows: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
+def first_months(rows: DataFrame) -> DataFrame:
+    """The first month with lines of each supplier: two columns of all months."""
+    month = month_of(F.col("handover_date")) if "handover_date" in rows.columns else F.col("month")
+    dated = rows.select("supplier", month.alias("month")).where(F.col("month").isNotNull())
+    return dated.groupBy("supplier").agg(F.min("month").alias("first_month"))
+
+
+def supplier_series(rows: DataFrame, month: dt.date, rules: Rules, firsts: DataFrame | None = None) -> DataFrame:
     """Chart series up to `month`, from a supplier's own first month: compliance %, approved % and mean density
-    of approved lines; 0.0 where a month has none."""
-    first = shift_month(month, 1 - rules.chart_months)
-    before = shift_month(first, -1)
-    history = facts(up_to(rows, month))
-    # Months before the chart only tell that the supplier is older: they share one group.
-    slot = F.greatest(F.col("month"), F.lit(before)).alias("month")
-    measures = [m for m in ("lines", "compliant", "approved", "density_sum", "density_count") if m in history.columns]
-    grouped = history.groupBy("supplier", slot).agg(*total(*measures))
-    grid = densified(grouped, "supplier", month_grid(F.min("month"), month, rules.chart_months), *measures)
+    of approved lines; 0.0 where a month has none. Measures are read for the chart's months only; `firsts` holds the first
+    months if they are known, so that no other month is read."""
+    picked = facts(in_months(rows, shift_month(month, 1 - rules.chart_months), month))
+    measures = [m for m in ("lines", "compliant", "approved", "density_sum", "density_count") if m in picked.columns]
+    grouped = picked.groupBy("supplier", "month").agg(*total(*measures))
+    entry = F.struct("month", F.struct(*measures))
+    by_month = grouped.groupBy(F.col("supplier").alias("_supplier")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_values"))  # as many entries as the chart has months
+    known = first_months(up_to(rows, month)) if firsts is None else firsts
+    months = month_grid(F.col("first_month"), month, rules.chart_months)
+    spread = known.join(by_month, F.col("supplier").eqNullSafe(F.col("_supplier")), "left").select(
+        "supplier", F.explode(months).alias("month"), "_values")
+    found = F.try_element_at("_values", F.col("month"))
+    grid = spread.select("supplier", "month", *(found[v].alias(v) for v in measures))
     scores = {"compliance": percent(F.col("compliant"), F.col("lines")),
               "approved": percent(F.col("approved"), F.col("lines"))}
     if "density_sum" in measures:

@@ -195,25 +195,11 @@ _EXTRACT = ", ".join(f'{column} AS "{header}"' for column, header in (
 _ALIASED = """CASE WHEN CAST(right(supplier, 9) AS INTEGER) % 10 = 0 THEN supplier || ' (ID)' ELSE supplier END"""
 _DIRECTORY = """SELECT coalesce(k.supplier, e.supplier_name) AS name, coalesce(emails, '') AS emails, region
 FROM known k FULL JOIN emails e ON lower(trim(k.supplier)) = e.supplier_name"""
+_SHOWN = """destination_po, kimball, supplier, factory, po_qty, handover_date, packaging_status, cbm, density,
+  compliance_status, source_file"""
 _TEXT_DAY = "strftime({}, '%d %b %Y')"
 _SIDE = "coalesce(CAST({} AS VARCHAR), '0')"
 
-# Sections of a supplier's report and the number of items each supplier has in them.
-_ITEMS = """SELECT supplier, count(*) AS items FROM (
-  SELECT supplier FROM m GROUP BY supplier
-  UNION ALL SELECT supplier FROM m GROUP BY supplier
-  UNION ALL SELECT supplier FROM m GROUP BY supplier
-  UNION ALL SELECT supplier FROM m GROUP BY supplier
-  UNION ALL SELECT supplier FROM (SELECT DISTINCT supplier, origin_country FROM m)
-  UNION ALL SELECT supplier FROM factories
-  UNION ALL SELECT supplier FROM factories
-  UNION ALL SELECT supplier FROM factories
-  UNION ALL SELECT supplier FROM (SELECT DISTINCT supplier, {band} FROM factories)
-  UNION ALL SELECT supplier FROM spine WHERE supplier IN (SELECT supplier FROM m)
-  UNION ALL SELECT supplier FROM m)
-GROUP BY supplier""".format(band=band("rate"))
-
-
 # Section of a supplier's report -> (query whose rows it shows, its fields).
 _SECTIONS = {
     "headline": ("supplier_headline", "lines, compliant, rate, band"),
@@ -244,6 +230,42 @@ def _documents(q: dict[str, str]) -> str:
                 "USING (supplier)", items="\n UNION ALL ".join(parts), folders=regions)
 
 
+# Table of the month summary or the KPI report -> (query whose rows it shows, its fields).
+SUMMARY_TABLES = {
+    "sources": ("summary_sources", "total_suppliers, total_factories"),
+    "country_compliance": ("country_compliance", "country, rate"),
+    "country_average": ("country_average", "avg_rate, like_for_like_change"),
+    "country_trend": ("country_trend", "country, month, rate"),
+    "country_order": ("country_order", "position, country, first_month"),
+    "line_details": ("country_line_details", "country, dest_po_count, reflected_lines, pending, approved, rejected, escalated"),
+    "line_totals": ("country_line_totals", "dest_po_count, reflected_lines, pending, approved, rejected, escalated"),
+    "top_suppliers": ("top_suppliers", "sl, supplier, origin_countries, factory_count, dest_po_count, reflected_lines, rate"),
+    "follow_up": ("follow_up_emails", "supplier, avg_3month, emails"),
+    "supplier_trend": ("supplier_trend", "supplier, month, rate"),
+    "yearly_average": ("yearly_average", "supplier, mean_rate, heat_band"),
+}
+KPI_TABLES = {
+    "monthly_tables": ("kpi_monthly", "month, country, suppliers, factories, reflected_lines"),
+    "monthly_totals": ("kpi_monthly_totals", "month, suppliers, factories, reflected_lines"),
+    "approver_performance": ("approver_performance", "approved_by, m0, m1, m12, share_of_max"),
+    "lines_per_working_day": ("avg_lines_per_day", "region, lines, working_days, avg"),
+    "supplier_factory_trend": ("supplier_factory_trend", "month, suppliers, factories, bd_suppliers, bd_factories, cn_suppliers, cn_factories"),
+    "region_lines": ("region_lines", "month, bd, cn"),
+    "headline": ("kpi_headline", "measure, now, before, change_pct, bd_share, cn_share"),
+    "month_comparison": ("month_comparison", "country, region, lines_m0, lines_m1, lines_m12, share"),
+}
+
+
+def _bundle(q: dict[str, str], tables: dict[str, tuple[str, str]]) -> str:
+    """All rows of several tables as JSON objects. Dates are written as text, as in the reports."""
+    def item(fields):
+        pairs = ", ".join(f"{f} := " + (f"CAST({f} AS VARCHAR)" if f in ("month", "first_month") else f) for f in fields.split(", "))
+        return f"CAST(to_json(struct_pack({pairs})) AS VARCHAR)"
+
+    return "\n UNION ALL ".join(f"SELECT '{name}' AS \"table\", {item(fields)} AS item FROM ({q[source]})"
+                                for name, (source, fields) in tables.items())
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["derive_lines"] = _sql("""SELECT destination_po, kimball, handover_date, carton_type, cbm, density,
@@ -256,6 +278,18 @@ def oracle_sql() -> dict[str, str]:
         ELSE po_qty END AS po_qty,
       CASE WHEN l_partkey % 17 <> 0 THEN handover_date END AS handover_date, updated_date, packaging_status
       FROM lines""")
+    untidy = f"""SELECT destination_po, kimball, l_partkey, source_file, packaging_status, updated_date, colour_code,
+      CASE WHEN l_partkey % 13 <> 0 THEN supplier END AS supplier,
+      description || chr(10) || 'second "line", of ' || kimball AS description,
+      CASE WHEN l_partkey % 11 <> 0 THEN po_qty END AS po_qty,
+      CASE WHEN l_partkey % 17 <> 0 THEN handover_date END AS handover_date FROM lines"""
+    q["load_untidy"] = _sql("""SELECT destination_po, kimball, colour_code, supplier, description, po_qty, handover_date,
+      CASE WHEN packaging_status = 'Approved' AND updated_date <= handover_date THEN 'Compliant' ELSE 'Non-compliant' END
+        AS compliance_status, source_file FROM untidy""", untidy=untidy)
+    q["load_untidy_report"] = _sql("""SELECT source_file, 'Loaded' AS status, count(*) AS rows,
+      count(*) FILTER (l_partkey % 11 = 0) + count(*) FILTER (l_partkey % 17 = 0) AS unreadable_cells
+      FROM untidy GROUP BY 1
+      UNION ALL SELECT source_file, 'Skipped', NULL, NULL FROM (SELECT min(source_file) AS source_file FROM lines)""", untidy=untidy)
     q["supplier_alias"] = _sql(f"SELECT {_ALIASED} AS supplier, count(*) AS lines FROM lines GROUP BY 1")
     q["load_pending_files"] = _sql("""SELECT source_file FROM lines GROUP BY 1
       HAVING min(handover_date) >= DATE '2001-01-01'""")
@@ -263,11 +297,11 @@ def oracle_sql() -> dict[str, str]:
       CASE WHEN min(handover_date) < DATE '1998-01-01' THEN 'Skipped' ELSE 'Loaded' END AS status,
       CASE WHEN min(handover_date) >= DATE '1998-01-01' THEN count(*) END AS rows FROM lines GROUP BY 1
       UNION ALL SELECT 'not_an_export', 'Failed', NULL""")
-    q["replace_by_file"] = _sql("""SELECT source_file, count(*) AS rows FROM lines
-      WHERE source_file NOT IN ('2001_09_1-15', '2001_09_16-31') OR packaging_status = 'Approved' GROUP BY 1""")
+    q["replace_by_file"] = _sql(f"""SELECT {_SHOWN} FROM lines
+      WHERE source_file NOT IN ('2001_09_1-15', '2001_09_16-31') OR packaging_status = 'Approved'""")
     q["clear_lines"] = _sql("SELECT CAST(0 AS BIGINT) AS lines_left, count(*) AS contacts_left FROM contacts",
                             contacts=True)
-    q["stream_ingest"] = _sql("SELECT source_file, count(*) AS rows FROM lines GROUP BY 1")
+    q["stream_ingest"] = _sql(f"SELECT {_SHOWN} FROM lines")
     q["published_month"] = _sql(f"""SELECT supplier, count(*) AS lines, {OK} AS compliant,
       dense_rank() OVER (ORDER BY {RATE} DESC) AS rank FROM m GROUP BY supplier""")
 
@@ -276,30 +310,25 @@ def oracle_sql() -> dict[str, str]:
       (SELECT lower(s_name) FROM supplier WHERE s_nationkey < 5)
       UNION ALL SELECT lower(s_name), 'new@example.com' FROM supplier WHERE s_nationkey < 5 AND s_acctbal > 0""",
                                  contacts=True)
-    q["supplier_directory"] = _sql(_DIRECTORY, contacts=True, known=region_of("lines"))
+    q["supplier_directory"] = _sql(f"SELECT row_number() OVER (ORDER BY lower(name), name) AS position, * FROM ({_DIRECTORY})",
+                                   contacts=True, known=region_of("lines"))
     q["contacts_export"] = _sql(f'SELECT name AS "Supplier Name", emails AS "Email" FROM ({_DIRECTORY})',
                                 contacts=True, known=region_of("lines"))
     q["directory_filter"] = _sql("""SELECT supplier AS name, '2001-10' AS month, region FROM known
       WHERE region = 'CN'""", known=region_of("m"))
-    q["directory_months"] = _sql("SELECT DISTINCT strftime(month, '%Y-%m') AS month FROM lines")
+    q["directory_months"] = _sql("""SELECT CAST(row_number() OVER (ORDER BY month DESC) AS INTEGER) AS position, month
+      FROM (SELECT DISTINCT strftime(month, '%Y-%m') AS month FROM lines)""")
     q["supplier_countries"] = _sql("""SELECT DISTINCT supplier, strftime(month, '%Y-%m') AS month,
       origin_country AS country FROM lines WHERE supplier IS NOT NULL""")
 
     q["month_extract"] = _sql(f"SELECT {_EXTRACT} FROM m")
-    q["extract_by_supplier"] = _sql("""SELECT region, regexp_replace(supplier, '[<>:"/\\\\|?*]', '_', 'g')
-      AS supplier_file, lines FROM (SELECT supplier, count(*) AS lines FROM named GROUP BY 1) JOIN regions
-      USING (supplier)""", named=f"SELECT * REPLACE ({_ALIASED} AS supplier) FROM m WHERE supplier IS NOT NULL",
+    q["extract_by_supplier"] = _sql("""SELECT regions.region AS region, regexp_replace(supplier, '[<>:"/\\\\|?*]', '_', 'g')
+      AS supplier_file, supplier, destination_po, kimball, CAST(po_qty AS VARCHAR) AS po_qty,
+      CAST(handover_date AS VARCHAR) AS handover_date, compliance_status FROM named JOIN regions USING (supplier)""", named=f"SELECT * REPLACE ({_ALIASED} AS supplier) FROM m WHERE supplier IS NOT NULL",
                                     regions=region_of("named"))
-    q["extract_selected"] = _sql("""SELECT supplier, region, count(m.l_partkey) AS lines
-      FROM m JOIN regions USING (supplier)
-      WHERE supplier IN ('Supplier#000000001', 'Supplier#000000003') GROUP BY ALL""".replace(
-        "region, count", "regions.region AS region, count"), regions=region_of("m"))
-    q["report_fan_out"] = ("WITH " + LINES.strip() + ", " + _SERIES_KEYS
-                           + f", factories AS ({_FACTORIES}), regions AS ({region_of('m')}), "
-                           + """blank AS (SELECT supplier FROM m GROUP BY 1 HAVING count(origin_country) = 0)
-      SELECT CASE WHEN supplier IN (SELECT supplier FROM blank) THEN 'CN' ELSE region END AS region,
-        supplier AS supplier_file, items FROM (""" + _ITEMS + ") JOIN regions USING (supplier)")
-
+    q["extract_selected"] = _sql("""SELECT supplier, regions.region AS region, supplier AS supplier_file, destination_po, kimball,
+      po_qty, handover_date, compliance_status FROM m JOIN regions USING (supplier)
+      WHERE supplier IN ('Supplier#000000001', 'Supplier#000000003')""", regions=region_of("m"))
     q["country_regions"] = _sql("""SELECT origin_country, count(*) AS lines, any_value(region) AS region
       FROM lines GROUP BY 1""")
     q["supplier_regions"] = _sql(region_of("m"))
@@ -454,8 +483,9 @@ def oracle_sql() -> dict[str, str]:
         f"/ NULLIF(count(*) FILTER (y.region IN ({keys})), 0) * 100) AS DOUBLE) AS \"{name}\""
         for name, keys in (("bd", "'BD'"), ("cn", "'CN'"), ("all", "'BD', 'CN'")))
     q["rate_trend"] = _sql(f"SELECT month, {rates_by_region} FROM grid LEFT JOIN year y USING (month) GROUP BY month")
-    q["country_bars"] = _sql(f"""SELECT origin_country AS country, CAST(printf('%.1f', {RATE}) AS DOUBLE) AS rate FROM m
-      WHERE origin_country IS NOT NULL AND region = 'BD' GROUP BY 1""")
+    q["country_bars"] = _sql(f"""SELECT row_number() OVER (ORDER BY raw DESC, country) AS position, country,
+      CAST(printf('%.1f', raw) AS DOUBLE) AS rate FROM (SELECT origin_country AS country, {RATE} AS raw FROM m
+      WHERE origin_country IS NOT NULL AND region = 'BD' GROUP BY 1)""")
     q["kpi_dashboard"] = _sql(f"""SELECT n.lines, {pct_change('n.lines', 'b.lines')} AS lines_change_pct, n.suppliers,
       n.suppliers - b.suppliers AS suppliers_change, n.factories, n.factories - b.factories AS factories_change,
       bd_lines, CAST(bd_working_days AS INTEGER) AS bd_working_days,
@@ -510,9 +540,15 @@ def oracle_sql() -> dict[str, str]:
         SELECT DISTINCT supplier FROM m WHERE supplier ILIKE '%#%' ORDER BY supplier LIMIT 20)
       UNION ALL SELECT DISTINCT 'factory', factory, supplier FROM m WHERE supplier IS NOT NULL AND factory IN (
         SELECT DISTINCT factory FROM m WHERE factory ILIKE '%#%' ORDER BY factory LIMIT 20)""")
-    q["filter_options"] = _sql("""SELECT DISTINCT 'country' AS kind, origin_country AS value FROM m
-      WHERE origin_country <> '' UNION ALL SELECT DISTINCT 'approver', approved_by FROM m WHERE approved_by <> ''""")
+    q["filter_options"] = _sql("""SELECT *, CAST(row_number() OVER (PARTITION BY kind ORDER BY value) AS INTEGER) AS position
+      FROM (SELECT DISTINCT 'country' AS kind, origin_country AS value FROM m WHERE origin_country <> ''
+            UNION ALL SELECT DISTINCT 'approver', approved_by FROM m WHERE approved_by <> '')""")
     q["numbered_lines"] = _sql("""SELECT row_number() OVER (ORDER BY handover_date, supplier, destination_po, kimball)
       AS position, handover_date, supplier, destination_po, kimball FROM lines""")
     q["supplier_json"] = _documents(q)
+    q["report_fan_out"] = f"""{q["supplier_json"]}
+      UNION ALL SELECT region, supplier, 'transactions', CAST(count(*) AS VARCHAR) FROM (
+        SELECT m.supplier, f.region FROM m JOIN folders f USING (supplier)) GROUP BY ALL"""
+    q["month_summary_tables"] = _bundle(q, SUMMARY_TABLES)
+    q["kpi_report_tables"] = _bundle(q, KPI_TABLES)
     return q

@@ -13,9 +13,10 @@ from cartonwise.functions.dates import month_grid, shift_month, working_days
 from cartonwise.functions.numbers import percent, percent_change, rate_band, rounded
 from cartonwise.functions.regions import country_region, supplier_region
 from cartonwise.functions.text import joined
-from cartonwise.operators.facts import facts, in_any_month, in_months, rollup, total
+from cartonwise.operators.facts import beginning, facts, in_any_month, in_months, rollup, total
 from cartonwise.operators.filters import Filters, in_band, line_filter, not_blank
 from cartonwise.operators.kpi import chart_months, per_day
+from cartonwise.operators.numbering import number_list
 from cartonwise.operators.rates import add_ranks, rates
 from cartonwise.schema import STATUSES
 
@@ -119,8 +120,7 @@ def rate_trend(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
 
     monthly = facts(picked).groupBy("month").agg(
         rate(region == "BD").alias("bd"), rate(region == "CN").alias("cn"), rate(F.lit(True)).alias("all"))
-    column = "handover_date" if "handover_date" in rows.columns else "month"
-    bounds = rows.agg(F.min(column).alias("first"))
+    bounds = beginning(rows)
     grid = F.when(F.col("first").isNull(), F.array(F.lit(f.month))).otherwise(
         month_grid(F.col("first"), f.month, rules.chart_months))
     months = bounds.select(F.explode(grid).alias("month"))
@@ -128,13 +128,14 @@ def rate_trend(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
 
 
 def country_bars(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
-    """Rate per country, best first; the region filter applies to the country. Sorting is by the raw rate."""
+    """Rate per country with its position, best first by the raw rate; the region filter applies to the country."""
     f = filters.cleaned()
     picked = in_months(rows, f.month, f.month).where(line_filter(f)).where(not_blank("origin_country"))
     if f.region:
         picked = picked.where(country_region(F.col("origin_country"), rules) == f.region)
     rated = rates(picked, F.col("origin_country").alias("country"))
-    return rated.orderBy(F.col("rate").desc(), "country").select("country", rounded(F.col("rate")).alias("rate"))
+    return number_list(rated, ("rate", False), [("country", True)], "position").select(
+        "position", "country", rounded(F.col("rate")).alias("rate"))
 
 
 def supplier_table(suppliers: DataFrame, band: str = "all") -> tuple[DataFrame, list[tuple[str, bool]]]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartonwise.config import Rules, materialized
@@ -35,10 +35,10 @@ def hero(rows: DataFrame, rules: Rules) -> DataFrame:
     return rated.withColumn("band", rate_band(F.col("rate"), rules))
 
 
-def report_sections(lines: DataFrame, base: DataFrame, history: DataFrame, month: dt.date, rules: Rules,
+def report_sections(lines: DataFrame, base: DataFrame, firsts: DataFrame | None, month: dt.date, rules: Rules,
                     with_transactions: bool = False) -> dict[str, DataFrame]:
-    """Section name -> metric of the month with a supplier column. `base` is the month's rollup, `history` gives the
-    series; distinct POs and the transactions need the lines."""
+    """Section name -> metric of the month with a supplier column. `base` is the month's rollup; distinct POs, series and
+    transactions need the lines, `firsts` tells when series begin."""
     factories = S.supplier_factories(base, rules)
     details = S.line_details(in_months(lines, month, month), "month", "supplier", "factory")
     sections = {
@@ -52,7 +52,7 @@ def report_sections(lines: DataFrame, base: DataFrame, history: DataFrame, month
         "line_details": details,
         "line_totals": S.line_totals(details, "month", "supplier"),
         "carton_usage": S.carton_usage(base),
-        "series": S.supplier_series(history, month, rules).join(
+        "series": S.supplier_series(lines, month, rules, firsts).join(
             base.select("supplier").distinct(), "supplier", "left_semi"),
     }
     if with_transactions:
@@ -61,17 +61,16 @@ def report_sections(lines: DataFrame, base: DataFrame, history: DataFrame, month
 
 
 def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None,
-                 with_transactions: bool = False, history: DataFrame | None = None) -> DataFrame:
+                 with_transactions: bool = False, firsts: DataFrame | None = None) -> DataFrame:
     """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it. A series starts at
-    its supplier's first month, which takes all months' lines to know: pass the published rollup as `history` to read
-    that instead."""
+    its supplier's first month, which takes all months' lines to know: pass the published first months instead."""
     base = materialized(rollup(in_months(lines.drop("approved_by"), month, month), "lines", "compliant",
                                "non_compliant", "approved", "approved_qty", "board"))
     regions = report_regions(base, rules)
     if suppliers is not None:
         regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")
     # Ranks compare all suppliers, so the selection is applied to the items, not to the lines.
-    sections = report_sections(lines, base, lines if history is None else history, month, rules, with_transactions)
+    sections = report_sections(lines, base, firsts, month, rules, with_transactions)
     items = reduce(DataFrame.unionByName, (
         df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
         for name, df in sections.items()))
@@ -84,6 +83,8 @@ def write_reports(items: DataFrame, folder: str) -> DataFrame:
     named = items.withColumn("supplier_file", file_safe(F.col("supplier")))
     spread = named.hint("rebalance", "region", "supplier_file")
     spread.write.mode("overwrite").partitionBy("region", "supplier_file").json(folder)
-    written = items.sparkSession.read.schema(
-        "supplier string, section string, item string, region string, supplier_file string").json(folder)
-    return written.groupBy("region", "supplier_file").agg(F.count("*").alias("items"))
+    return read_reports(items.sparkSession, folder).groupBy("region", "supplier_file").agg(F.count("*").alias("items"))
+
+
+def read_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("supplier string, section string, item string, region string, supplier_file string").json(folder)

@@ -32,9 +32,9 @@ def derive(lines: DataFrame, updated: Column | None) -> DataFrame:
         added["carton_type"] = carton_type(F.col("carton_matrix_code"))
     if {"carton_length_mm", "carton_width_mm", "carton_height_mm"} <= have:
         cbm = carton_volume(*sides)
-        added["cbm"] = cbm.cast("decimal(10,4)")
+        added["cbm"] = cbm.try_cast("decimal(10,4)")
         if "units_per_carton" in have:
-            added["density"] = carton_density(F.col("units_per_carton"), cbm).cast("decimal(10,2)")
+            added["density"] = carton_density(F.col("units_per_carton"), cbm).try_cast("decimal(10,2)")
     if {"packaging_status", "handover_date"} <= have and updated is not None:
         added["compliance_status"] = verdict(F.col("packaging_status"), F.col("handover_date"), updated)
     return lines.withColumns(added)

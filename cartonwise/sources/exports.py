@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,23 +14,43 @@ from cartonwise.schema import HEADERS, INTEGER_COLUMNS, LINE_COLUMNS, LINES, MAN
 from cartonwise.sources.derive import derive
 
 
+# Date texts that are read besides ISO ones, the first that fits; a time may follow. Where day and month could be either, the
+# month comes first.
+DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy")
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+UNREADABLE = "unreadable_cells"
+
+
 class BadExport(ValueError):
     """A file that is not a transaction export."""
 
 
+@dataclass(frozen=True)
+class Layout:
+    """What exports must share to be read by one scan."""
+
+    header: tuple[str, ...]
+    parquet: bool
+    folder: bool  # written by Spark in parts: the export is the folder
+
+
 def _reader(spark: SparkSession):
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    # Quoted cells may hold line breaks, so a file is read by one task; exports are many, none is large.
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
 
 
-def header_of(spark: SparkSession, path: str, with_rows: bool = False) -> tuple[str, ...]:
-    """Column names of one export; only its first line (CSV) or footer (Parquet) is read. `with_rows` also asks for a
+def layout_of(spark: SparkSession, path: str, with_rows: bool = False) -> Layout:
+    """The layout of one export; only its first line (CSV) or footer (Parquet) is read. `with_rows` also asks for a
     first row."""
-    cells = spark.read.parquet(path) if path.endswith(".parquet") else _reader(spark).csv(path)
+    parquet = path.endswith(".parquet")
+    cells = spark.read.parquet(path) if parquet else _reader(spark).csv(path)
     if MANDATORY_HEADER not in cells.columns:
         raise BadExport(f"no column {MANDATORY_HEADER!r}")
     if with_rows and cells.isEmpty():
         raise BadExport("no rows")
-    return tuple(cells.columns)
+    own = path.rstrip("/").rsplit("/", 1)[-1]
+    files = [unquote(f).rsplit("/", 2)[1:] for f in cells.inputFiles()]
+    return Layout(tuple(cells.columns), parquet, not (len(files) == 1 and files[0][1] == own and files[0][0] != own))
 
 
 def export_name(path: str) -> str:
@@ -36,22 +58,20 @@ def export_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1].removeprefix("source_file=")
 
 
-def _source_file() -> Column:
+def _source_file(folder: bool) -> Column:
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    steps = F.split(decoded, "/")
-    folder = F.regexp_replace(F.element_at(steps, -2), "^source_file=", "")
-    return F.when(F.element_at(steps, -1).startswith("part-"), folder).otherwise(F.element_at(steps, -1))
+    return F.regexp_replace(F.element_at(F.split(decoded, "/"), -2 if folder else -1), "^source_file=", "")
 
 
-def read_layout(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
-    """Raw cells of exports that share one header, under target names; headers that are absent become nulls and
-    unknown ones are ignored."""
-    if paths[0].endswith(".parquet"):
+def read_layout(spark: SparkSession, paths: list[str], layout: Layout) -> DataFrame:
+    """Raw cells of exports of one layout, under target names; headers that are absent become nulls and unknown ones are
+    ignored."""
+    if layout.parquet:
         cells = spark.read.parquet(*paths)
     else:
-        schema = ", ".join(f"`{h.replace('`', '``')}` string" for h in header)
+        schema = ", ".join(f"`{h.replace('`', '``')}` string" for h in layout.header)
         cells = _reader(spark).schema(schema).csv(paths)
-    return select_cells(cells.withColumn("source_file", _source_file()))
+    return select_cells(cells.withColumn("source_file", _source_file(layout.folder)))
 
 
 def select_cells(cells: DataFrame) -> DataFrame:
@@ -64,12 +84,12 @@ def select_cells(cells: DataFrame) -> DataFrame:
     return cells.select(*(cell(h).alias(name) for h, name in HEADERS.items()), "source_file")
 
 
-def read_exports(spark: SparkSession, headers: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Raw cells of many exports (path -> header): one scan per distinct layout, not per file."""
-    layouts: dict[tuple, list[str]] = {}
-    for path, header in headers.items():
-        layouts.setdefault((header, path.endswith(".parquet")), []).append(path)
-    return reduce(DataFrame.unionByName, (read_layout(spark, paths, key[0]) for key, paths in layouts.items()))
+def read_exports(spark: SparkSession, layouts: dict[str, Layout]) -> DataFrame:
+    """Raw cells of many exports (path -> layout): one scan per distinct layout, not per file."""
+    paths: dict[Layout, list[str]] = {}
+    for path, layout in layouts.items():
+        paths.setdefault(layout, []).append(path)
+    return reduce(DataFrame.unionByName, (read_layout(spark, own, layout) for layout, own in paths.items()))
 
 
 def canonical_supplier(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:
@@ -83,20 +103,34 @@ def canonical_supplier(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:
                           for c in rows.columns))
 
 
-def conform(raw: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """Raw text cells -> lines. A cell that cannot be read as its type becomes null, never an error. Volume and
-    density use the numbers as written; integers are rounded only when stored."""
+def _number(cell: Column) -> Column:
+    """A plain decimal number, or null: the cast alone would also take the suffixes and names that Java knows."""
+    return F.when(cell.rlike(_NUMBER), cell.try_cast("double"))
+
+
+def _other_dates(cell: Column) -> list[Column]:
+    return [F.try_to_timestamp(cell, F.lit(f"{f}[ H:mm[:ss]]")) for f in DATE_FORMATS]
+
+
+def _wall_clock(cell: Column) -> Column:
+    """The time as written, whatever its zone."""
+    return F.coalesce(cell.try_cast("timestamp_ntz"), *(d.cast("timestamp_ntz") for d in _other_dates(cell)))
+
+
+def conform(raw: DataFrame, aliases: DataFrame | None = None, with_unreadable: bool = False) -> DataFrame:
+    """Raw text cells -> lines. A cell that cannot be read as its type, or whose value does not fit it, becomes null, never
+    an error; with_unreadable adds how many of a line's cells these are. Volume and density use the numbers as written;
+    integers are rounded only when stored."""
     text = raw.select(*(clean_text(F.col(c)).alias(c) if c != "source_file" else F.col(c) for c in raw.columns))
     named = canonical_supplier(text, aliases)
-    typed = named.withColumns({
-        **{c: F.col(c).try_cast("double") for c in INTEGER_COLUMNS},
-        "handover_date": F.col("handover_date").try_cast("timestamp_ntz").cast("date"),
-        "_updated": F.col("updated_date").try_cast("timestamp_ntz"),
-        **{c: F.col(c).try_cast("timestamp") for c in TIME_COLUMNS},
-    })
+    dated = {"handover_date": _wall_clock(F.col("handover_date")).cast("date"),
+             **{c: F.coalesce(F.col(c).try_cast("timestamp"), *_other_dates(F.col(c))) for c in TIME_COLUMNS}}
+    read = {c: _number(F.col(c)) for c in INTEGER_COLUMNS} | dated
+    lost = sum((F.col(c).isNotNull() & value.isNull()).cast("int") for c, value in read.items())
+    typed = named.withColumns({**read, "_updated": _wall_clock(F.col("updated_date")), UNREADABLE: lost})
     lines = derive(typed, F.col("_updated"))
     stored = lines.withColumns({c: F.bround(c, 0).try_cast("int") for c in INTEGER_COLUMNS})
-    return stored.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in LINES.fields))
+    return stored.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in LINES.fields), *([UNREADABLE] if with_unreadable else []))
 
 
 def to_export(lines: DataFrame) -> DataFrame:

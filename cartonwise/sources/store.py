@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -10,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartonwise.config import materialized, remove
 from cartonwise.functions.dates import month_of
 from cartonwise.operators.facts import rollup
+from cartonwise.operators.supplier import first_months
 from cartonwise.schema import LINES
-from cartonwise.sources.exports import conform, export_name, header_of, read_exports
+from cartonwise.sources.exports import UNREADABLE, Layout, conform, export_name, layout_of, read_exports
 
 # Files whose first line is read at the same time.
 PROBES = 16
-REPORT = "source_file string, status string, error string"
+FIRST_MONTHS = T.StructType([T.StructField("supplier", T.StringType()), T.StructField("first_month", T.DateType())])
+REPORT = "path string, source_file string, status string, error string"
 
 
 def replace_files(lines: DataFrame, path: str) -> None:
@@ -48,8 +52,9 @@ def publish(lines: DataFrame, path: str) -> None:
 
 
 def publish_rollup(lines: DataFrame, path: str) -> None:
-    """Monthly totals per country, supplier, factory and approver for every metric that adds up."""
-    (rollup(lines).hint("rebalance", "month").write.mode("overwrite")
+    """Monthly totals per country, supplier and factory for every metric that adds up. Approvers would make nearly every
+    line a group of its own."""
+    (rollup(lines.drop("approved_by")).hint("rebalance", "month").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
 
 
@@ -58,6 +63,41 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, T.StructType([*LINES.fields, T.StructField("handover_month", T.DateType())]))
 
 
+def months_of(lines: DataFrame) -> set[dt.date | None]:
+    """The months that lines fall into, None for undated ones: a handful for an export."""
+    return {r.month for r in lines.select(month_of(F.col("handover_date")).alias("month")).distinct().collect()}
+
+
+@dataclass(frozen=True)
+class Published:
+    """What the monthly jobs read: lines by month, and each supplier's first month."""
+
+    spark: SparkSession
+    path: str
+
+    @property
+    def lines(self) -> DataFrame:
+        return read_published(self.spark, f"{self.path}/lines")
+
+    @property
+    def firsts(self) -> DataFrame:
+        return read_table(self.spark, f"{self.path}/first_months", FIRST_MONTHS)
+
+    def replace(self, names: list[str], fresh: DataFrame, months: set[dt.date | None]) -> None:
+        """Publish the months again that the named files' earlier or new rows (fresh) fall into; no other month is read or
+        written. A month that is left without lines disappears."""
+        dated = [m for m in months if m is not None]
+        asked = F.col("handover_month").isin(*dated)
+        kept = self.lines.where(asked | F.col("handover_month").isNull() if None in months else asked)
+        kept = kept.where(~F.col("source_file").isin(*names)).select(*LINES.names)
+        whole = materialized(kept.unionByName(fresh.select(*LINES.names)))
+        publish(whole, f"{self.path}/lines")
+        for month in months - months_of(whole):
+            remove(self.spark, f"{self.path}/lines/handover_month={month or '__HIVE_DEFAULT_PARTITION__'}")
+        firsts = materialized(first_months(self.lines))
+        firsts.write.mode("overwrite").parquet(f"{self.path}/first_months")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at the path; an empty one if nothing was written there yet."""
     try:
@@ -81,60 +121,75 @@ class LineStore:
         return self.read().where(F.col("source_file").isin(*names))
 
     def load(self, paths: list[str], aliases: DataFrame | None = None, reprocess: bool = False) -> DataFrame:
-        """Load exports; returns one report row per file: Loaded with its rows, Skipped (already loaded) or Failed
-        with the reason. A bad file never stops the others, and never touches what was loaded before."""
-        named = {export_name(p): p for p in paths}
-        todo = dict(named)
+        """Load exports; returns one report row per offered path: Loaded with its rows and how many of their cells could not
+        be read, Skipped (already loaded, or another path of that name is taken) or Failed with the reason. A bad file never
+        stops the others, and never touches what was loaded before.
+
+        Rows are kept by file name. Of several paths with one name the first is loaded, or the last if files are processed
+        again, as if they were loaded one after the other."""
+        taken: dict[str, str] = {}
+        for path in paths:
+            if reprocess or export_name(path) not in taken:
+                taken[export_name(path)] = path
+        todo = dict(taken)
         if not reprocess:
             # At most one row per offered file.
-            offered = self.spark.createDataFrame([(n,) for n in named], "source_file string")
-            pending = pending_files(offered, self.rows_of(named)).collect()
-            todo = {r.source_file: named[r.source_file] for r in pending}
-        skipped = named.keys() - todo.keys()
-        headers, failed = self._headers(todo, reprocess)
-        failed |= self._write(headers, aliases)
-        return self._report(named, skipped, failed)
-
-    def _headers(self, todo: dict[str, str], reprocess: bool) -> tuple[dict[str, tuple], dict[str, str]]:
-        """Headers of the good files and reasons for the bad ones; the first lines are fetched concurrently. A file that
+            offered = self.spark.createDataFrame([(n,) for n in taken], "source_file string")
+            pending = pending_files(offered, self.rows_of(taken)).collect()
+            todo = {r.source_file: taken[r.source_file] for r in pending}
+        layouts, failed = self._layouts(todo, reprocess)
+        failed |= self._write(layouts, aliases)
+        return self._report(paths, taken, todo, failed)
+
+    def _layouts(self, todo: dict[str, str], reprocess: bool) -> tuple[dict[str, Layout], dict[str, str]]:
+        """Layouts of the good files and reasons for the bad ones; the first lines are fetched concurrently. A file that
         may have stored rows is looked into for a first row, because without one there is nothing to replace them."""
         def probe(item):
             name, path = item
             try:
-                return path, header_of(self.spark, path, with_rows=reprocess), None
+                return path, layout_of(self.spark, path, with_rows=reprocess), None
             except Exception as error:
                 return name, None, _reason(error)
 
         with ThreadPoolExecutor(PROBES) as pool:
             found = list(pool.map(probe, todo.items()))
-        return {k: header for k, header, _ in found if header}, {k: error for k, _, error in found if error}
+        return {k: layout for k, layout, _ in found if layout}, {k: error for k, _, error in found if error}
 
-    def _write(self, headers: dict, aliases: DataFrame | None) -> dict[str, str]:
-        """One job for all files; only if it fails, one per file to find those at fault."""
-        if not headers:
+    def _write(self, layouts: dict[str, Layout], aliases: DataFrame | None) -> dict[str, str]:
+        """One job for all files; if it fails, one for each half, down to the files at fault."""
+        if not layouts:
             return {}
         try:
-            replace_files(conform(read_exports(self.spark, headers), aliases), self.path)
+            replace_files(conform(read_exports(self.spark, layouts), aliases, with_unreadable=True), self.path)
             return {}
         except Exception as error:
-            if len(headers) == 1:
-                return {export_name(next(iter(headers))): _reason(error)}
-        failed = {}
-        for path, header in headers.items():
-            failed |= self._write({path: header}, aliases)
-        return failed
-
-    def _report(self, named: dict, skipped: set, failed: dict) -> DataFrame:
-        states = [(n, "Skipped" if n in skipped else "Failed" if n in failed else "Loaded", failed.get(n))
-                  for n in named]
+            if len(layouts) == 1:
+                return {export_name(next(iter(layouts))): _reason(error)}
+        items = list(layouts.items())
+        middle = len(items) // 2
+        return self._write(dict(items[:middle]), aliases) | self._write(dict(items[middle:]), aliases)
+
+    def _report(self, paths: list[str], taken: dict[str, str], todo: dict[str, str], failed: dict[str, str]) -> DataFrame:
+        states, told = [], set()
+        for path in paths:
+            name = export_name(path)
+            if path != taken[name] or path in told:
+                states.append((path, name, "Skipped", f"another path has this name: {taken[name]}"))
+            elif name not in todo:
+                states.append((path, name, "Skipped", None))
+            else:
+                states.append((path, name, "Failed" if name in failed else "Loaded", failed.get(name)))
+            told |= {path} if path == taken[name] else set()
         report = self.spark.createDataFrame(states, REPORT)
-        loaded = [name for name, status, _ in states if status == "Loaded"]
-        counts = self.rows_of(loaded).groupBy("source_file").agg(F.count("*").alias("rows"))
-        full = report.join(counts, "source_file", "left")
+        loaded = [name for _, name, status, _ in states if status == "Loaded"]
+        rows = read_table(self.spark, self.path, T.StructType([*LINES.fields, T.StructField(UNREADABLE, T.IntegerType())]))
+        counts = rows.where(F.col("source_file").isin(*loaded)).groupBy("source_file").agg(
+            F.count("*").alias("rows"), F.sum(F.coalesce(UNREADABLE, F.lit(0))).alias(UNREADABLE))
+        full = report.join(counts.withColumn("status", F.lit("Loaded")), ["source_file", "status"], "left")
         empty = (F.col("status") == "Loaded") & F.col("rows").isNull()
-        return full.select("source_file", F.when(empty, "Failed").otherwise(F.col("status")).alias("status"), "rows",
-                           F.when(empty, "no rows").otherwise(F.col("error")).alias("error"))
+        return full.select("source_file", F.when(empty, "Failed").otherwise(F.col("status")).alias("status"), "rows", UNREADABLE,
+                           F.when(empty, "no rows").otherwise(F.col("error")).alias("error"), "path")
 
 
 def _reason(error: Exception) -> str:
-    return str(error).strip().splitlines()[0][:300] if str(error).strip() else type(error).__name__
+    return str(error).strip() or type(error).__name__

@@ -26,19 +26,18 @@ def arriving_files(spark: SparkSession, folder: str, pattern: str = "*", per_bat
     return reader.load(folder).select("path")
 
 
-def export_paths(files: DataFrame) -> list[str]:
-    """The exports behind new files: one that Spark wrote in parts is its folder. One entry per export."""
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    name = F.element_at(F.split("path", "/"), -1)
-    rows = files.select(F.when(name.startswith("part-"), folder).otherwise(F.col("path")).alias("path")).distinct()
-    return sorted(r.path for r in rows.collect())
+def export_paths(files: DataFrame, folders: bool = False) -> list[str]:
+    """The exports behind new files, one entry each: the files themselves, or with folders the folders that Spark wrote them
+    into."""
+    path = F.regexp_replace("path", "/[^/]*$", "") if folders else F.col("path")
+    return sorted(r.path for r in files.select(path.alias("path")).distinct().collect())
 
 
 def start_ingest(store: LineStore, folder: str, checkpoint: str, aliases: DataFrame | None = None,
-                 pattern: str = "*", per_batch: int | None = None) -> StreamingQuery:
-    """Load everything that has arrived since the last run, then stop."""
+                 pattern: str = "*", per_batch: int | None = None, folders: bool = False) -> StreamingQuery:
+    """Load everything that has arrived since the last run, then stop. folders: exports arrive as folders of parts."""
     def load(files: DataFrame, batch_id: int) -> None:
-        paths = export_paths(files)
+        paths = export_paths(files, folders)
         if paths:
             store.load(paths, aliases, reprocess=True)
 

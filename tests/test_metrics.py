@@ -1,4 +1,4 @@
-"""The seven-group fixture with hand-computed results, and the rule that dashboards agree with reports."""
+"""The fixture of conftest with hand-computed results, and the rule that dashboards agree with reports."""
 
 import datetime as dt
 
@@ -24,53 +24,59 @@ def rows(request, spec):
 
 def test_rates_and_ranks(rows):
     got = rows_of(rates.global_rank(rows).select("month", "supplier", F.round("rate", 1), "rank", "total", "shared"))
-    one = [("S_BD", 50.0, 2, 5, True), ("S_CN", 50.0, 2, 5, True), ("S_LOW", 20.0, 4, 5, False),
-           ("S_MIX", 33.3, 3, 5, False), ("S_TOP", 100.0, 1, 5, False)]
-    assert got == [(m, *r) for m in MONTHS for r in one]
+    april = [("Aurum", 50.0, 3), ("Borea", 75.0, 2), ("Cedar", 100.0, 1), ("Delta", 16.7, 4), ("Echo", 0.0, 5)]
+    may = [("Aurum", 87.5, 2), ("Borea", 30.0, 4), ("Cedar", 100.0, 1), ("Delta", 22.2, 5), ("Echo", 50.0, 3)]
+    assert got == [(m, *r, 5, False) for m, month in zip(MONTHS, (april, may)) for r in month]
     local = rows_of(rates.local_rank(in_months(rows, MAY, MAY)), "origin_country", "supplier", "rank", "total")
-    assert local == [("Bangladesh", "S_BD", 1, 2), ("Bangladesh", "S_MIX", 2, 2), ("China", "S_CN", 2, 3),
-                     ("China", "S_MIX", 3, 3), ("China", "S_TOP", 1, 3), ("India", "S_BD", 1, 1),
-                     ("Vietnam", "S_LOW", 1, 1)]
+    assert local == [("China", "Borea", 1, 2), ("China", "Delta", 2, 2), ("India", "Aurum", 1, 2), ("India", "Borea", 2, 2),
+                     ("Pakistan", "Aurum", 1, 1), ("Portugal", "Cedar", 1, 1), ("Turkey", "Echo", 1, 1)]
+
+
+def test_shared_ranks(spark):
+    data = frame(spark, [line(supplier=s, handover_date=MAY, compliance_status="Compliant" if ok else "Non-compliant")
+                         for s, oks in (("A", (1, 0)), ("B", (1, 0, 1, 0)), ("C", (1,)), ("D", (0,))) for ok in oks])
+    assert rows_of(rates.global_rank(data).select("supplier", "rank", "total", "shared")) == [
+        ("A", 2, 4, True), ("B", 2, 4, True), ("C", 1, 4, False), ("D", 3, 4, False)]
 
 
 def test_countries(rows):
     assert rows_of(summary.country_compliance(in_months(rows, MAY, MAY)), "country", "rate") == [
-        ("Bangladesh", 44.44), ("China", 71.43), ("India", 50.0), ("Vietnam", 20.0)]
-    assert rows_of(summary.country_average(rows, MAY)) == [(46.47, 0.0)]
-    assert rows_of(summary.country_average(rows, APRIL)) == [(46.47, None)]
+        ("China", 23.53), ("India", 71.43), ("Pakistan", 100.0), ("Portugal", 100.0), ("Turkey", 50.0)]
+    assert rows_of(summary.country_average(rows, MAY)) == [(68.99, 13.99)]
+    assert rows_of(summary.country_average(rows, APRIL)) == [(55.0, None)]
 
 
 def test_kpi(rows, rules):
     totals = kpi.monthly_totals(kpi.monthly_tables(rows, MAY))
-    assert rows_of(totals) == [(m, 7, 7, 39) for m in MONTHS]
+    assert rows_of(totals) == [(APRIL, 6, 6, 28), (MAY, 7, 7, 38)]
     trend = kpi.supplier_factory_trend(rows, MAY, rules)
     columns = ("month", "suppliers", "factories", "bd_suppliers", "bd_factories", "cn_suppliers", "cn_factories")
-    assert rows_of(trend, *columns) == [(m, 5, 7, 2, 3, 4, 4) for m in MONTHS]
+    assert rows_of(trend, *columns) == [(APRIL, 5, 6, 2, 3, 3, 3), (MAY, 5, 7, 3, 4, 3, 3)]
     regions = kpi.region_lines(rows, MAY, rules)
-    assert rows_of(regions, "month", "bd", "cn") == [(m, 13, 26) for m in MONTHS]
-    assert rows_of(kpi.lines_per_working_day(rows, MAY, rules)) == [("BD", 12, 21, 1), ("CN", 26, 21, 2)]
-    assert rows_of(kpi.lines_per_working_day(rows, APRIL, rules)) == [("BD", 12, 22, 1), ("CN", 26, 22, 2)]
+    assert rows_of(regions, "month", "bd", "cn") == [(APRIL, 9, 19), (MAY, 14, 24)]
+    assert rows_of(kpi.lines_per_working_day(rows, MAY, rules)) == [("BD", 14, 21, 1), ("CN", 24, 21, 2)]
+    assert rows_of(kpi.lines_per_working_day(rows, APRIL, rules)) == [("BD", 9, 22, 1), ("CN", 19, 22, 1)]
     assert rows_of(kpi.headline(trend, regions, MAY)) == [
-        ("factories", 7, 7, 0, 33, 67), ("lines", 39, 39, 0, 33, 67), ("suppliers", 5, 5, 0, 33, 67)]
-    assert rows_of(kpi.approver_performance(rows, MAY)) == [("alice", 19, 19, None, 1.0), ("bob", 19, 19, None, 1.0)]
-    assert rows_of(dashboard.approver_change(rows, APRIL)) == [("alice", 19, 0, None), ("bob", 19, 0, None)]
+        ("factories", 7, 6, 17, 37, 63), ("lines", 38, 28, 36, 37, 63), ("suppliers", 5, 5, 0, 37, 63)]
+    assert rows_of(kpi.approver_performance(rows, MAY)) == [("carol", 15, 14, None, 0.9375), ("dave", 16, 14, None, 1.0)]
+    assert rows_of(dashboard.approver_change(rows, APRIL)) == [("carol", 14, 0, None), ("dave", 14, 0, None)]
     compared = rows_of(kpi.month_comparison(rows, MAY, rules))
-    assert compared == [("Bangladesh", "BD", 9, 9, None, 23), ("China", "CN", 21, 21, None, 54),
-                        ("India", "BD", 4, 4, None, 10), ("Vietnam", "CN", 5, 5, None, 13)]
+    assert compared == [("China", "CN", 17, 14, None, 45), ("India", "BD", 7, 4, None, 18), ("Pakistan", "BD", 3, 2, None, 8),
+                        ("Portugal", "CN", 7, 5, None, 18), ("Turkey", "BD", 4, 3, None, 11)]
 
 
 def test_headline_without_a_month_before(spec, rules):
     trend, lines = kpi.supplier_factory_trend(spec, APRIL, rules), kpi.region_lines(spec, APRIL, rules)
     assert rows_of(kpi.headline(trend, lines, APRIL), "measure", "now", "before", "change_pct") == [
-        ("factories", 7, None, None), ("lines", 39, None, None), ("suppliers", 5, None, None)]
+        ("factories", 6, None, None), ("lines", 28, None, None), ("suppliers", 5, None, None)]
 
 
 def test_top_and_follow_up(spec, rules):
     top = rows_of(summary.top_suppliers(spec, MAY, rules))
-    assert top == [(1, "S_TOP", "China", 1, 1, 10, 100.0)]
+    assert top == [(1, "Cedar", "Portugal", 1, 3, 7, 100.0)]
     low = summary.follow_up(spec, MAY, rules)
     assert rows_of(low, "sl", "supplier", "rate", "prev_1", "prev_2", "avg_3month") == [
-        (1, "S_LOW", 20.0, 20.0, None, 20.0), (2, "S_MIX", 33.3, 33.3, None, 33.3)]
+        (1, "Delta", 22.2, 16.7, None, 19.4)]
 
 
 def test_follow_up_needs_month_and_mean_below(spark, rules):
@@ -95,14 +101,14 @@ def test_follow_up_needs_month_and_mean_below(spark, rules):
 def test_dashboard_equals_reports(rows, spec, rules):
     shown = dashboard.dashboard_suppliers(rows, Filters(MAY), rules)
     assert rows_of(shown, "supplier", "region", "compliance", "band", "change", "rank") == [
-        ("S_BD", "BD", 50.0, "mid", 0.0, 2), ("S_CN", "CN", 50.0, "mid", 0.0, 2), ("S_LOW", "CN", 20.0, "low", 0.0, 4),
-        ("S_MIX", "CN", 33.3, "low", 0.0, 3), ("S_TOP", "CN", 100.0, "high", 0.0, 1)]
+        ("Aurum", "BD", 87.5, "high", 37.5, 2), ("Borea", "CN", 30.0, "low", -45.0, 4), ("Cedar", "CN", 100.0, "high", 0.0, 1),
+        ("Delta", "CN", 22.2, "low", 5.6, 5), ("Echo", "BD", 50.0, "mid", 50.0, 3)]
     assert rows_of(shown, "supplier", "rank") == rows_of(
         rates.global_rank(in_months(rows, MAY, MAY)), "supplier", "rank")
     cards = dashboard.dashboard_cards(rows, Filters(MAY), rules).first().asDict()
-    assert cards == {"compliance": 56.4, "compliance_change": 0.0, "top_count": 1, "top_change": 0,
-                     "follow_up_count": 2, "pending": 1, "approved": 38, "rejected": 0, "escalated": 0, "total": 39,
-                     "all": 5, "high": 1, "mid": 2, "low": 2}
+    assert cards == {"compliance": 55.3, "compliance_change": 1.7, "top_count": 1, "top_change": 0,
+                     "follow_up_count": 1, "pending": 0, "approved": 31, "rejected": 0, "escalated": 7, "total": 38,
+                     "all": 5, "high": 2, "mid": 1, "low": 2}
     assert cards["follow_up_count"] == summary.follow_up(spec, MAY, rules).count()
     first = dashboard.dashboard_cards(rows, Filters(APRIL), rules).first()
     assert (first.compliance_change, first.top_change) == (None, None)
@@ -112,39 +118,39 @@ def test_dashboard_filters(rows, rules):
     def names(**asked):
         return [r[0] for r in rows_of(dashboard.dashboard_suppliers(rows, Filters(MAY, **asked), rules), "supplier")]
 
-    assert names(region="bd") == ["S_BD"]
-    assert names(region="all", country="") == ["S_BD", "S_CN", "S_LOW", "S_MIX", "S_TOP"]
-    assert names(country="Bangladesh") == ["S_BD", "S_MIX"]
-    # Filtered to one country S_MIX still is a CN supplier: its region comes from all its lines.
-    assert names(country="Bangladesh", region="CN") == ["S_MIX"]
-    assert names(supplier="s_t") == ["S_TOP"] and names(supplier="s%") == [] and names(factory="f1") == ["S_BD"]
-    filtered = dashboard.dashboard_suppliers(rows, Filters(MAY, factory="F2"), rules)
-    assert rows_of(filtered, "supplier", "countries", "lines", "rank") == [("S_BD", "India", 4, 2)]
+    assert names(region="bd") == ["Aurum", "Echo"]
+    assert names(region="all", country="") == ["Aurum", "Borea", "Cedar", "Delta", "Echo"]
+    assert names(country="India") == ["Aurum", "Borea"]
+    # Filtered to one country Borea still is a CN supplier: its region comes from all its lines.
+    assert names(country="India", region="CN") == ["Borea"]
+    assert names(supplier="cE") == ["Cedar"] and names(supplier="c%") == [] and names(factory="a1") == ["Aurum"]
+    filtered = dashboard.dashboard_suppliers(rows, Filters(MAY, factory="B2"), rules)
+    assert rows_of(filtered, "supplier", "countries", "lines", "rank") == [("Borea", "India", 2, 4)]
     empty = dashboard.dashboard_cards(rows, Filters(MAY, supplier="nobody"), rules).first()
     assert (empty.compliance, empty.top_count, empty.top_change, empty.total) == (None, 0, None, 0)
 
 
 def test_dashboard_charts(rows, rules):
-    assert rows_of(dashboard.rate_trend(rows, Filters(MAY), rules)) == [(m, 46.2, 61.5, 56.4) for m in MONTHS]
+    assert rows_of(dashboard.rate_trend(rows, Filters(MAY), rules)) == [(APRIL, 33.3, 63.2, 53.6), (MAY, 71.4, 45.8, 55.3)]
     assert rows_of(dashboard.rate_trend(rows, Filters(MAY, country="India"), rules)) == [
-        (m, 50.0, None, 50.0) for m in MONTHS]
+        (APRIL, 25.0, None, 25.0), (MAY, 71.4, None, 71.4)]
     assert dashboard.rate_trend(rows, Filters(dt.date(2020, 1, 1)), rules).count() == 0
-    assert [tuple(r) for r in dashboard.country_bars(rows, Filters(MAY), rules).collect()] == [
-        ("China", 71.4), ("India", 50.0), ("Bangladesh", 44.4), ("Vietnam", 20.0)]
+    assert rows_of(dashboard.country_bars(rows, Filters(MAY), rules)) == [
+        (1, "Pakistan", 100.0), (2, "Portugal", 100.0), (3, "India", 71.4), (4, "Turkey", 50.0), (5, "China", 23.5)]
 
 
 def test_kpi_dashboard_equals_kpi_report(rows, rules):
     shown = dashboard.kpi_dashboard(rows, Filters(MAY), rules)
     cards = shown.cards.first().asDict()
-    assert cards == {"lines": 39, "lines_change_pct": 0, "suppliers": 5, "suppliers_change": 0, "factories": 7,
-                     "factories_change": 0, "bd_lines": 12, "bd_working_days": 21, "bd_avg": 1, "cn_lines": 26,
+    assert cards == {"lines": 38, "lines_change_pct": 36, "suppliers": 5, "suppliers_change": 0, "factories": 7,
+                     "factories_change": 1, "bd_lines": 14, "bd_working_days": 21, "bd_avg": 1, "cn_lines": 24,
                      "cn_working_days": 21, "cn_avg": 2}
     assert rows_of(shown.people, "month", "bd_lines", "cn_lines") == rows_of(
         kpi.region_lines(rows, MAY, rules), "month", "bd", "cn")
     assert rows_of(shown.countries, "country", "lines_m0", "share") == rows_of(
         kpi.month_comparison(rows, MAY, rules), "country", "lines_m0", "share")
-    assert rows_of(shown.approvers) == [("alice", 19, 19, 0), ("bob", 19, 19, 0)]
-    one = dashboard.kpi_dashboard(rows, Filters(MAY, region="BD", approved_by="bob"), rules)
+    assert rows_of(shown.approvers) == [("carol", 15, 14, 7), ("dave", 16, 14, 14)]
+    one = dashboard.kpi_dashboard(rows, Filters(MAY, region="BD", approved_by="dave"), rules)
     assert one.cards.first().lines == one.people.where(F.col("month") == MAY).first().bd_lines > 0
     before = dashboard.kpi_dashboard(rows, Filters(dt.date(2020, 1, 1)), rules).cards.first()
     assert (before.lines, before.lines_change_pct, before.suppliers_change) == (0, None, None)
@@ -208,37 +214,37 @@ def test_null_groups(spark, rules):
 
 
 def test_directory(spark, spec, rules):
-    contacts = spark.createDataFrame([("s_top", "b@x.com"), ("s_top", "a@x.com"), ("gone ltd", "g@x.com")],
+    contacts = spark.createDataFrame([("cedar", "b@x.com"), ("cedar", "a@x.com"), ("bygone ltd", "g@x.com")],
                                      "supplier_name string, email string")
     countries = directory.supplier_countries(spec)
     listed = directory.supplier_directory(countries, contacts, rules)
-    assert rows_of(listed) == [("S_BD", "", "BD"), ("S_CN", "", "CN"), ("S_LOW", "", "CN"), ("S_MIX", "", "CN"),
-                               ("S_TOP", "a@x.com, b@x.com", "CN"), ("gone ltd", "g@x.com", None)]
-    found = directory.directory_rows(countries, listed, rules, "S_", "2026-04", "CN")
-    assert rows_of(found, "name") == [("S_CN",), ("S_LOW",), ("S_MIX",), ("S_TOP",)]
-    assert rows_of(directory.directory_rows(countries, listed, rules, "LTD"), "name") == [("gone ltd",)]
-    assert [r.month for r in directory.directory_months(countries).collect()] == ["2026-05", "2026-04"]
-    low = summary.add_emails(spark.createDataFrame([("S_TOP",), ("S_LOW",)], "supplier string"), contacts)
-    assert rows_of(low) == [("S_LOW", ""), ("S_TOP", "a@x.com, b@x.com")]
+    assert rows_of(listed) == [(1, "Aurum", "", "BD"), (2, "Borea", "", "CN"), (3, "bygone ltd", "g@x.com", None),
+                               (4, "Cedar", "a@x.com, b@x.com", "CN"), (5, "Delta", "", "CN"), (6, "Echo", "", "BD")]
+    found = directory.directory_rows(countries, listed, rules, "E", "2026-04", "CN")
+    assert rows_of(found, "name") == [("Borea",), ("Cedar",), ("Delta",)]
+    assert rows_of(directory.directory_rows(countries, listed, rules, "LTD"), "name") == [("bygone ltd",)]
+    assert rows_of(directory.directory_months(countries)) == [(1, "2026-05"), (2, "2026-04")]
+    low = summary.add_emails(spark.createDataFrame([("Cedar",), ("Delta",)], "supplier string"), contacts)
+    assert rows_of(low) == [("Cedar", "a@x.com, b@x.com"), ("Delta", "")]
 
 
 def test_search(spec):
-    assert rows_of(directory.search_names(spec, MAY, " s_m ")) == [("supplier", "S_MIX", "S_MIX")]
-    assert rows_of(directory.search_names(spec, MAY, "F4")) == [("factory", "F4", "S_MIX")]
+    assert rows_of(directory.search_names(spec, MAY, " eD ")) == [("supplier", "Cedar", "Cedar")]
+    assert rows_of(directory.search_names(spec, MAY, "b2")) == [("factory", "B2", "Borea")]
     assert directory.search_names(spec, MAY, "  ").count() == 0
     assert directory.search_names(spec, MAY, "%").count() == 0
-    assert rows_of(directory.filter_options(spec, MAY)) == [
-        ("approver", "alice"), ("approver", "bob"), ("country", "Bangladesh"), ("country", "China"),
-        ("country", "India"), ("country", "Vietnam")]
+    assert rows_of(directory.filter_options(spec, MAY), "kind", "position", "value") == [
+        ("approver", 1, "carol"), ("approver", 2, "dave"), ("country", 1, "China"), ("country", 2, "India"),
+        ("country", 3, "Pakistan"), ("country", 4, "Portugal"), ("country", 5, "Turkey")]
 
 
 def test_bundles(spark, spec, rules):
     contacts = spark.createDataFrame([], "supplier_name string, email string")
     summary_tables = month_summary(spec, contacts, MAY, rules)
     assert rows_of(summary_tables["sources"]) == [(5, 7)]
-    assert rows_of(summary_tables["line_totals"], "reflected_lines", "dest_po_count") == [(39, 4)]
+    assert rows_of(summary_tables["line_totals"], "reflected_lines", "dest_po_count") == [(38, 15)]
     assert rows_of(summary_tables["country_order"], "position", "country") == [
-        (1, "Bangladesh"), (2, "China"), (3, "India"), (4, "Vietnam")]
+        (1, "China"), (2, "India"), (3, "Pakistan"), (4, "Portugal"), (5, "Turkey")]
     assert rows_of(summary_tables["working_days"], "cn_days", "calendar_days") == [(21, 31)]
     assert all(df.count() > 0 for df in summary_tables.values())
     assert all(df.count() > 0 for df in kpi_report(spec, MAY, rules).values())
@@ -249,15 +255,15 @@ def test_bundles(spark, spec, rules):
 def test_supplier_reports(spark, spec, rules):
     import json
 
-    chosen = spark.createDataFrame([("S_MIX",), ("S_MIX",), ("nobody",)], "supplier string")
+    chosen = spark.createDataFrame([("Borea",), ("Borea",), ("nobody",)], "supplier string")
     items = report_items(spec, MAY, rules, chosen, with_transactions=True)
     got = [(r.region, r.supplier, r.section, json.loads(r.item)) for r in items.collect()]
-    assert {g[:2] for g in got} == {("CN", "S_MIX")}
+    assert {g[:2] for g in got} == {("CN", "Borea")}
     by_section = {}
     for g in got:
         by_section.setdefault(g[2], []).append(g[3])
-    assert by_section["headline"] == [{"month": "2026-05-01", "lines": 6, "compliant": 2, "rate": 33.33, "band": "low"}]
-    assert [(r["rank"], r["total"], r["shared"]) for r in by_section["ranking"]] == [(3, 5, False)]
+    assert by_section["headline"] == [{"month": "2026-05-01", "lines": 10, "compliant": 3, "rate": 30.0, "band": "low"}]
+    assert [(r["rank"], r["total"], r["shared"]) for r in by_section["ranking"]] == [(4, 5, False)]
     assert {k: len(v) for k, v in by_section.items()} == {
-        "headline": 1, "kpis": 1, "ranking": 1, "local_ranking": 2, "factories": 2, "factory_bands": 1,
-        "line_details": 2, "line_totals": 1, "carton_usage": 2, "series": 2, "transactions": 6}
+        "headline": 1, "kpis": 1, "ranking": 1, "local_ranking": 2, "factories": 2, "factory_bands": 2,
+        "line_details": 2, "line_totals": 1, "carton_usage": 2, "series": 2, "transactions": 10}

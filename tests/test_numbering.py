@@ -3,8 +3,7 @@ import random
 import pytest
 from conftest import rows_of
 
-from cartonwise.operators import numbering
-from cartonwise.operators.numbering import number_rows, page_of, sort_columns
+from cartonwise.operators.numbering import number_list, number_rows, page_of, sort_columns
 
 ORDER = [("a", False), ("b", True)]
 
@@ -26,15 +25,18 @@ def test_number_rows_is_the_global_position(data):
     assert got == [(i, *r) for i, r in enumerate(expected(rows), start=1)]
 
 
+def test_number_list_is_the_same(data):
+    df, rows = data
+    got = rows_of(number_list(df, ORDER[0], ORDER[1:]))
+    assert got == [(i, *r) for i, r in enumerate(expected(rows), start=1)]
+
+
 def test_number_rows_of_nothing(data):
     assert number_rows(data[0].where("b is null"), sort_columns(ORDER)).count() == 0
 
 
-@pytest.mark.parametrize("top_k", [10_000, 300])
 @pytest.mark.parametrize("page, shown", [(1, 1), (2, 2), (55, 55), (99, 99), (100, 100), (500, 100), (-3, 1)])
-def test_pages(monkeypatch, data, top_k, page, shown):
-    """top_k 300 sends the first pages, the last pages and those in between down their three ways."""
-    monkeypatch.setattr(numbering, "TOP_K_ROWS", top_k)
+def test_pages(data, page, shown):
     df, rows = data
     got, number, total = page_of(df, ORDER, page, 50)
     assert (number, total) == (shown, 5000)

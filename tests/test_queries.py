@@ -5,12 +5,13 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from cartonwise import catalog, oracle
 from cartonwise.catalog import MONTH, month_report
 from cartonwise.sources.tables import read_lines
 from parity import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.oracle_sql()
 @pytest.fixture(scope="module")
 def tables():
     return connect(FOLDER)
@@ -29,6 +30,10 @@ def test_query_equals_sql(spark, tables, name):
     assert differences(df, tables, SQL[name]) == []
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["sl", "supplier"]
 

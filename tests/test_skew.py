@@ -77,10 +77,7 @@ def test_rollup_and_trend(lines, rows, rules):
             len({r["supplier"] for r in mine if r["origin_country"] not in bd}))
 
 
-def test_pages_of_the_hot_supplier(monkeypatch, lines, rows):
-    from cartonwise.operators import numbering
-
-    monkeypatch.setattr(numbering, "TOP_K_ROWS", 100)
+def test_pages_of_the_hot_supplier(lines, rows):
     hot = [r for r in in_may(rows) if r["supplier"] == "HOT"]
     blank = {c: None for c, _ in ORDER}
     ordered = sorted((tuple((v is None, "" if v is None else str(v)) for v in (blank | r).values()
