@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from cartonwise.llm.tables import map_texts
 
 _WINDOW_DOUBLINGS = 5  # the rolling hash sees 2**5 bytes
+_ROWS = 256  # texts whose ids are held at a time
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -63,7 +64,7 @@ def cuts(data: np.ndarray, mean_bytes: int, least_bytes: int) -> list[int]:
 class Encoder:
     """Encodes texts as a vocabulary file's tokenizer does without added tokens; its special strings become their ids."""
 
-    def __init__(self, path: str, mean_bytes: int = 1024, least_bytes: int = 256, store_bytes: int = 32 << 20):
+    def __init__(self, path: str, mean_bytes: int = 1024, least_bytes: int = 256, store_bytes: int = 8 << 20):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         alphabet = byte_alphabet()
@@ -148,7 +149,7 @@ def encoder(path: str, mean_bytes: int, least_bytes: int, store_bytes: int) -> E
     return Encoder(path, mean_bytes, least_bytes, store_bytes)
 
 
-def encode(docs: DataFrame, path: str, mean_bytes: int = 1024, least_bytes: int = 256, store_bytes: int = 32 << 20,
+def encode(docs: DataFrame, path: str, mean_bytes: int = 1024, least_bytes: int = 256, store_bytes: int = 8 << 20,
            with_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256 (the decoded text in
     UTF-8) and, if asked for, ids, for each row of docs; a null text counts as an empty one. Rows are independent: nothing is
@@ -158,20 +159,19 @@ def encode(docs: DataFrame, path: str, mean_bytes: int = 1024, least_bytes: int
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, mean_bytes, least_bytes, store_bytes)
         for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                ids = own.encode(text.as_py() or "")
-                decoded = own.decode(ids).encode()
-                rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                             hashlib.sha256(decoded).hexdigest(), ids.astype(np.int32) if with_ids else None))
-            counts, hashes, decoded_hashes, all_ids = zip(*rows) if rows else ((),) * 4
-            columns = [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()),
-                       pa.array(decoded_hashes, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for start in range(0, batch.num_rows, _ROWS):
+                yield encoded(own, batch.slice(start, _ROWS))
+
+    def encoded(own: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [own.encode(text.as_py() or "") for text in batch.column(1)]
+        counts = np.array([len(i) for i in ids], np.int64)
+        columns = [batch.column(0).cast(pa.int64()), pa.array(counts),
+                   pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids], pa.string()),
+                   pa.array([hashlib.sha256(own.decode(i).encode()).hexdigest() for i in ids], pa.string())]
+        if with_ids:
+            places = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32))))
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     return map_texts(docs, work, schema)
 
@@ -180,7 +180,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """doc_id and text of rows that hold doc_id and token ids; null ids give a null text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, 1024, 256, 32 << 20)
+        own = encoder(path, 1024, 256, 8 << 20)
         for batch in batches:
             texts = [None if x is None else own.decode(np.array(x, np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])

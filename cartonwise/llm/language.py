@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartonwise.llm.tables import held_out, map_texts
+from cartonwise.llm.tables import held_out, map_texts, small_batches
 from cartonwise.llm.text_arrays import texts_of
 
 UNKNOWN = "und"
@@ -200,6 +200,7 @@ def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.4)
             keep = pa.array([x != UNKNOWN for x in found], pa.bool_()).to_numpy(zero_copy_only=False) & (scores >= least_score)
             yield batch.filter(pa.array(keep))
 
+    small_batches(docs.sparkSession)
     return docs if network is None else docs.mapInArrow(work, docs.schema)
 
 

@@ -26,9 +26,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Python workers get at most so many texts at a time, as texts are long: they and the executor beside them then hold a few
+    megabytes of a table, not a tenth of a partition each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_texts(docs: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType,
               columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """work over Arrow batches of the named columns only: whatever else docs has cannot clash with the result."""
+    small_batches(docs.sparkSession)
     return docs.select(*columns).mapInArrow(work, schema)
 
 
