@@ -154,13 +154,13 @@ def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, splits:
     Two thirds of the rows grow a rule: the condition of the highest gain is added until the rule covers low texts only. The
     other third prunes it: of the rule's beginnings the one that separates best is kept. The rule is taken if it covers at
     least least_covered rows with least_precision, then its rows are removed and the next one is grown. Thresholds are
-    quantiles, of low and of all rows; a row is kept as the places of its rates among them. Without low rows the list is
+    quantiles, extremes included, of low and of all rows; a row is kept as the places of its rates among them. Without low rows the list is
     empty.
     """
     rows = materialized(rows.where("label is not null").select(
         "label", F.expr("pmod(xxhash64(doc_id), 3) <> 0").alias("grows"),
         F.array(*(F.expr(sql).cast("double") for sql in RATES.values())).alias("rates")))
-    names, shares = list(RATES), [i / splits for i in range(1, splits)]
+    names, shares = list(RATES), [i / splits for i in range(splits + 1)]
     asked = [F.percentile_approx(F.when(F.expr(kind), F.element_at("rates", i + 1)), shares, 2000).alias(f"{name}_{k}")
              for i, name in enumerate(names) for k, kind in enumerate(("true", "label = 0"))]
     quantiles = rows.where("grows").agg(*asked).first()
