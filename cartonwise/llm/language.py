@@ -201,7 +201,8 @@ def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.4)
             yield batch.filter(pa.array(keep))
 
     small_batches(docs.sparkSession)
-    return docs if network is None else docs.mapInArrow(work, docs.schema)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # mapInArrow does not take names with dots
+    return docs if network is None else plain.mapInArrow(work, plain.schema).toDF(*docs.columns)
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:
