@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartonwise.config import materialized
 
 
-def _stars(edges: DataFrame, towards_all: bool) -> DataFrame:
+def _tied(edges: DataFrame, towards_all: bool) -> DataFrame:
     """Tie neighbours to the least vertex around: every vertex's larger neighbours (towards_all), or its smaller ones and
     itself. A vertex's least neighbour comes from an aggregation, so hubs are no hot groups."""
     if towards_all:
@@ -21,20 +21,26 @@ def _stars(edges: DataFrame, towards_all: bool) -> DataFrame:
         tied = tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         tied = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return tied.where("u <> v").distinct()
+    return tied.where("u <> v")
+
+
+def _has_chains(edges: DataFrame) -> bool:
+    """Whether a vertex u has several edges, or is the v of another one."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("centre")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    found = ends.groupBy("x").agg(F.sum("n").alias("n"), F.max("centre").alias("centre"))
+    return not found.where("n > 1 or n = 1 and centre = 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) of every vertex of edges (u, v): component is the least vertex reached. Edges are turned into
-    stars by alternating rounds until nothing changes, a number of rounds that grows with the logarithm of the longest path;
-    each round is kept as a table, as lineage would otherwise grow."""
-    edges = materialized(edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct())
-    seen = None
+    stars by alternating rounds, a number that grows with the logarithm of the longest path; each round is kept as a
+    table, as lineage would otherwise grow."""
+    edges = edges.where("u is not null and v is not null and u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        edges = materialized(_tied(_tied(edges, True), False).distinct())
+        if not _has_chains(edges):
             break
-        seen = state
-        edges = materialized(_stars(_stars(edges, True), False))
     stars = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
     return materialized(stars.union(stars.select(F.col("component").alias("vertex"), "component")).distinct())
