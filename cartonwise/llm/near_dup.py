@@ -33,7 +33,7 @@ TREES = 16
 _FIRST_TREES = 4
 _LEAF = 256  # documents of a node that are compared exhaustively
 _SIDE = 512  # documents of a large cluster that are compared at once with the others of a node
-_PIVOTS = 8
+_PIVOTS = 2
 _BRANCHES = 2  # coordinates by which a larger node is branched
 _DEPTH = 12  # levels at most; larger nodes that are left are compared exhaustively, in blocks
 _COMPARISONS = 1024  # for each document; branching ends when the nodes that are left take no more
