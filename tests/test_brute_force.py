@@ -5,7 +5,7 @@ import math
 import random
 
 import pytest
-from conftest import MAY, frame, line, rows_of
+from line_rows import MAY, frame, line, rows_of
 
 from cartonwise.config import BD_COUNTRIES
 from cartonwise.functions.dates import shift_month

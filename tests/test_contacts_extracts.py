@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import APRIL, MAY, frame, line, rows_of
+from line_rows import APRIL, MAY, frame, line, rows_of
 
 from cartonwise.config import NoData
 from cartonwise.functions.dates import shift_month

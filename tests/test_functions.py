@@ -2,7 +2,7 @@ import calendar
 import datetime as dt
 
 import pytest
-from conftest import rows_of
+from line_rows import rows_of
 from pyspark.sql import functions as F
 
 from cartonwise.functions import dates, numbers, regions, text

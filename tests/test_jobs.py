@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import MAY, rows_of
+from line_rows import MAY, rows_of
 from test_loading import BASE, write
 
 from cartonwise.config import NoData

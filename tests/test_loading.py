@@ -3,7 +3,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import MAY, rows_of
+from line_rows import MAY, rows_of
 
 from cartonwise.operators import rates
 from cartonwise.operators.facts import in_months

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import APRIL, MAY, frame, line, rows_of
+from line_rows import APRIL, MAY, frame, line, rows_of
 from pyspark.sql import functions as F
 
 from cartonwise.operators import directory, kpi, rates, summary, supplier

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows_of
+from line_rows import rows_of
 
 from cartonwise.operators.numbering import number_list, number_rows, page_of, sort_columns
 

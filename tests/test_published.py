@@ -3,7 +3,7 @@
 import datetime as dt
 import re
 
-from conftest import MAY, rows_of
+from line_rows import MAY, rows_of
 from test_loading import BASE, write
 
 from cartonwise.functions.dates import shift_month

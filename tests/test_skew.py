@@ -6,7 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import MAY, frame, line, rows_of
+from line_rows import MAY, frame, line, rows_of
 from pyspark.sql import functions as F
 
 from cartonwise.operators import kpi, rates, summary, supplier
