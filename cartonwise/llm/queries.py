@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartonwise.llm import (bpe, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
+from cartonwise.llm import (bpe, infill, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
                             toxicity, urls)
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -53,8 +53,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(tables.read(spark, sf_dir, "pages"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(tables.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_quality_rules, op4_line_dedup, op5_substring_dedup, op6_near_duplicates,
-    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter)}
+    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter, op12_fill_in_middle)}
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL, "op12_fill_in_middle": infill.ORACLE_SQL}
