@@ -9,31 +9,21 @@ with the tokens of the chunks.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartonwise.llm.ranks import Ranks
 from cartonwise.llm.tables import map_texts
 
 _WINDOW_DOUBLINGS = 5  # the rolling hash sees 2**5 bytes
 _ROWS = 256  # texts whose ids are held at a time
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The characters that stand for bytes in vocabulary files: printable bytes stand for themselves, the others are
-    numbered from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @cache
 def _gear() -> np.ndarray:
     return np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64)
@@ -65,14 +55,10 @@ class Encoder:
     """Encodes texts as a vocabulary file's tokenizer does without added tokens; its special strings become their ids."""
 
     def __init__(self, path: str, mean_bytes: int = 1024, least_bytes: int = 256, store_bytes: int = 8 << 20):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        alphabet = byte_alphabet()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
-        self.bpe = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.lengths = np.zeros(max([*ranks.values(), *self.special.values()]) + 1, np.int64)
-        for token, i in ranks.items():
+        self.ranks = Ranks(path)
+        self.special = self.ranks.special
+        self.lengths = np.zeros(max([*self.ranks.tokens.values(), *self.special.values()]) + 1, np.int64)
+        for token, i in self.ranks.tokens.items():
             self.lengths[i] = len(token)
         self.mean_bytes, self.least_bytes, self.store_bytes = mean_bytes, least_bytes, store_bytes
         self.store: dict[bytes, np.ndarray] = {}
@@ -80,7 +66,7 @@ class Encoder:
         self.held = 0
 
     def _plain(self, data: bytes) -> np.ndarray:
-        return np.array(self.bpe.encode_ordinary(data.decode()), np.uint32)
+        return np.array(self.ranks.encode(data.decode()), np.uint32)
 
     def _chunk(self, chunk: bytes) -> np.ndarray:
         """A chunk's ids from the store. The store holds two generations of store_bytes; what is asked for again stays."""
@@ -140,7 +126,7 @@ class Encoder:
             at = found[0] + len(found[2])
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.bpe.decode_bytes(ids.tolist()).decode(errors="replace")
+        return self.ranks.bpe.decode_bytes(ids.tolist()).decode(errors="replace")
 
 
 @cache

@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartonwise.llm import (bpe, infill, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
+from cartonwise.llm import (alignment, bpe, infill, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
                             toxicity, urls)
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +58,13 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(tables.documents(spark, sf_dir))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(tables.documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES),
+                           with_groups=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_quality_rules, op4_line_dedup, op5_substring_dedup, op6_near_duplicates,
-    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter, op12_fill_in_middle)}
+    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter, op12_fill_in_middle, op13_token_alignment)}
 
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL, "op12_fill_in_middle": infill.ORACLE_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +27,26 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Python workers get at most so many texts at a time, as texts are long: they and the executor beside them then hold a few
-    megabytes of a table, not a tenth of a partition each."""
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark deletes the shuffle files of a job when the job ends: for steps whose results are written as tables, so
+    that the files of earlier steps don't pile up beside them. A result that is asked for again is computed again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> None:
+    """Python workers get at most so many rows and about so many bytes at a time, as texts are long: they and the executor
+    beside them then hold a few megabytes of a table, not a tenth of a partition each."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def map_texts(docs: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType,
