@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartonwise.llm import (alignment, bpe, infill, language, leaks, lines, near_dup, passages, quality, secret_scan, tables,
+from cartonwise.llm import (alignment, bpe, infill, language, leaks, lines, near_dup, passages, quality, secret_scan, suffixes, tables,
                             toxicity, urls)
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,6 +54,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(tables.read(spark, sf_dir, "pages"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(tables.documents(spark, sf_dir))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(tables.documents(spark, sf_dir))
 
@@ -65,6 +69,6 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_quality_rules, op4_line_dedup, op5_substring_dedup, op6_near_duplicates,
-    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter, op12_fill_in_middle, op13_token_alignment)}
+    op7_benchmark_leaks, op8_language_id, op9_bpe_round_trip, op10_url_filter, op11_suffix_dedup, op12_fill_in_middle, op13_token_alignment)}
 
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL, "op12_fill_in_middle": infill.ORACLE_SQL}
