@@ -154,8 +154,9 @@ def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, splits:
     Two thirds of the rows grow a rule: the condition of the highest gain is added until the rule covers low texts only. The
     other third prunes it: of the rule's beginnings the one that separates best is kept. The rule is taken if it covers at
     least least_covered rows with least_precision, then its rows are removed and the next one is grown. Thresholds are
-    quantiles, extremes included, of low and of all rows; a row is kept as the places of its rates among them. Without low rows the list is
-    empty.
+    quantiles, extremes included, of low and of all rows; a row is kept as the places of its rates among them. Of conditions
+    with the same gain the first in the order of RATES is taken, of one rate's that with the lowest threshold, and of one
+    threshold's the one for values above. Without low rows the list is empty.
     """
     rows = materialized(rows.where("label is not null").select(
         "label", F.expr("pmod(xxhash64(doc_id), 3) <> 0").alias("grows"),

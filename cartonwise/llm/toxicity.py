@@ -60,7 +60,8 @@ def terms(text: bytes) -> set[bytes]:
 
 
 def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
-    """FEATURES of a text. Densities are per word or per character; the empty text has zeros."""
+    """FEATURES of a text. Densities are per word or per character and count every occurrence, n_ features count different words;
+    the empty text has zeros."""
     words = _words(text)
     if not words:
         return [0.0] * len(FEATURES)
@@ -77,7 +78,10 @@ def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
         at = np.searchsorted(second, places)
         ends = np.array([-10**9, *second, 10**9])
         near = int((np.minimum(np.abs(ends[at] - places), np.abs(ends[at + 1] - places)) <= _NEAR_WORDS).sum())
-    weight = sum(max(learned.get(t, 0.0) for t in (w, *_stems(w))) for w in by_word | by_stem)
+    weights = {w: max(learned.get(t, 0.0) for t in (w, *_stems(w))) for w in by_word | by_stem}
+    found = [words[i] for i in places]  # with repetitions: a text that says one insult over and over is as dense as it reads
+    weight = sum(weights.get(w, 0.0) for w in found)
+    n_bad, n_word, n_stem = (sum(w in kind for w in found) for kind in (bad, by_word, by_stem))
     n_upper = size - len(text.translate(None, _UPPER))
     n_letters = n_upper + size - len(text.translate(None, _LOWER_LETTERS))
     marks, digits = size - len(text.translate(None, _PUNCTUATION)), size - len(text.translate(None, b"0123456789"))
@@ -90,7 +94,7 @@ def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
             disguised_hits += plain in _LEXICON or any(t in learned for t in (plain, *_stems(plain)))
     upper_words = sum(w.isupper() and len(w) > 1 for w in text.split()) if n_upper > 1 else 0
     stretched = len(_STRETCHED.findall(text.lower()))
-    return [float(np.log1p(count)), len(bad) / count, len(by_word) / count, len(by_stem) / count, weight / count,
+    return [float(np.log1p(count)), n_bad / count, n_word / count, n_stem / count, weight / count,
             float(np.log1p(len(places))), float(len(bad)),
             float(len(by_word)), float(len(by_stem)), len(second) / count, near / count, n_upper / max(1, n_letters), upper_words / count,
             marks / size, text.count(b"!") / count, odd / size, digits / size, disguised / count, disguised_hits / count,

@@ -38,7 +38,8 @@ def labelled(frame, prose):
     docs, labels = [], []
     for i in range(600):
         good, words = i % 3 > 0, prose(own.randint(60, 120))
-        docs.append((i, " ".join(words if good else [w + own.choice(["###", "|"]) for w in words])))
+        marks = [own.choice(["###", "|"]) for _ in words]
+        docs.append((i, " ".join(words if good else [w[:-len(m)] + m for w, m in zip(words, marks)])))  # words keep their length
         labels.append((i, int(good)))
     return docs, labels
 
@@ -54,6 +55,19 @@ def test_rules_separate_labelled_texts(frame, prose):
     assert quality.learn(rows.where("label = 1")) == [] and quality.learn(rows.where("false")) == []
 
 
+def test_equal_gains_go_to_the_first_rate(frame, prose):
+    """Longer words, more symbols and fewer words a line tell the same texts apart: RATES has the length first."""
+    docs, labels = [], []
+    for i in range(300):
+        words = prose(80)
+        docs.append((i, " ".join(words) if i % 2 else "\n".join(w + "###" for w in words)))
+        labels.append((i, i % 2))
+    rows = quality.statistics(frame(docs)).join(frame(labels, "doc_id long, label int"), "doc_id")
+    rules = quality.learn(rows)
+    assert [(c.rate, c.above) for c in rules[0].conditions] == [("mean_word_length", True)]
+    assert quality.learn(rows.repartition(3)) == rules
+
+
 def test_counts_tell_what_conditions_cover(frame, prose):
     """The histogram's sums against counting rows under the rule's own SQL."""
     docs, labels = labelled(frame, prose)
