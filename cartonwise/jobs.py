@@ -2,6 +2,7 @@
 
     python -m cartonwise.jobs --home DIR load FILE... [--reprocess]
     python -m cartonwise.jobs --home DIR watch FOLDER
+    python -m cartonwise.jobs --home DIR recover
     python -m cartonwise.jobs --home DIR import-aliases|import-contacts FILE
     python -m cartonwise.jobs --home DIR set-contact SUPPLIER ADDRESSES
     python -m cartonwise.jobs --home DIR export-contacts FOLDER
@@ -29,8 +30,8 @@ from cartonwise.plans.month_summary import kpi_report, month_summary
 from cartonwise.plans.supplier_report import report_items, write_reports
 from cartonwise.schema import ALIASES, CONTACTS
 from cartonwise.sources import contacts, extracts
-from cartonwise.sources.exports import export_name
-from cartonwise.sources.store import LineStore, Published, clear, months_of, read_table
+from cartonwise.sources.journal import Journal, read_table
+from cartonwise.sources.store import LineStore, Published, clear
 from cartonwise.streaming.ingest import arriving_files, export_paths
 
 
@@ -45,7 +46,11 @@ class Home:
 
     @property
     def store(self) -> LineStore:
-        return LineStore(self.spark, f"{self.path}/lines")
+        return LineStore(self.spark, f"{self.path}/lines", self.journal)
+
+    @property
+    def journal(self) -> Journal:
+        return Journal(self.spark, f"{self.path}/journal")
 
     @property
     def published(self) -> Published:
@@ -64,16 +69,25 @@ class Home:
         return latest_month(self.published.lines.select(F.col("handover_month").alias("handover_date")), default).first().latest_month
 
     def load(self, paths: list[str], reprocess: bool = False) -> DataFrame:
-        """Load exports under the stored aliases and publish the months they change."""
-        names = [export_name(p) for p in paths]
-        earlier = months_of(self.store.rows_of(names))
+        """Load exports under the stored aliases and publish the months they change. What an earlier load has stored but not
+        published, because it stopped, is published first: a file is Skipped only if its rows are published."""
+        self.recover()
         report = materialized(self.store.load(paths, self.aliases(), reprocess))
-        loaded = sorted({r.source_file for r in report.where("status = 'Loaded'").collect()})  # one row per offered path
-        if loaded:
-            fresh = self.store.rows_of(loaded)
-            self.published.replace(loaded, fresh, earlier | months_of(fresh))
+        self._publish(repair=False)
         return report
 
+    def recover(self) -> list[str]:
+        """Publish the files of loads that stopped; returns their names."""
+        return self._publish(repair=True)
+
+    def _publish(self, repair: bool) -> list[str]:
+        entries = self.journal.unfinished()
+        names = set().union(*entries.values())
+        if entries:
+            self.published.publish_files(self.store, names, repair)
+            self.journal.finish(entries)
+        return sorted(names)
+
     def watch(self, folder: str, checkpoint: str | None = None) -> None:
         """Load what has arrived in the folder since the last call."""
         def arrive(files: DataFrame, batch_id: int) -> None:
@@ -84,8 +98,9 @@ class Home:
          .trigger(availableNow=True).foreachBatch(arrive).start().awaitTermination())
 
     def clear(self) -> None:
-        clear(self.spark, self.store.path)
         remove(self.spark, self.published.path)
+        clear(self.spark, self.store.path)
+        remove(self.spark, self.journal.path)
 
     def import_aliases(self, path: str) -> None:
         """Replace the aliases by those of a CSV file with the columns raw_name and canonical_name. They hold for files loaded
@@ -165,6 +180,7 @@ def _parser() -> argparse.ArgumentParser:
     contact.add_argument("addresses")
     jobs.add_parser("export-contacts").add_argument("folder")
     jobs.add_parser("clear")
+    jobs.add_parser("recover")
     for name in ("supplier-reports", "summary", "kpi", "extract", "all-supplier-data"):
         monthly = jobs.add_parser(name)
         monthly.add_argument("--month", type=_month, help="YYYY-MM; the newest month with data if left out")
@@ -191,6 +207,8 @@ def main(arguments: list[str] | None = None) -> None:
         home.export_contacts(asked.folder)
     elif asked.job == "clear":
         home.clear()
+    elif asked.job == "recover":
+        print(len(home.recover()), "files published again")
     else:
         # Without data, the month of reports is the one before the current month.
         month = asked.month or home.latest_month(shift_month(dt.date.today().replace(day=1), -1))

@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 from cartonwise.config import materialized, remove
 from cartonwise.functions.dates import month_of
 from cartonwise.operators.facts import rollup
-from cartonwise.operators.supplier import first_months
 from cartonwise.schema import LINES
+from cartonwise.sources.journal import Journal, read_table
 from cartonwise.sources.exports import UNREADABLE, Layout, conform, export_name, layout_of, read_exports
 
 # Files whose first line is read at the same time.
 PROBES = 16
+CONTENTS = T.StructType([T.StructField("supplier", T.StringType()), T.StructField("month", T.DateType()), T.StructField("lines", T.LongType()),
+                         T.StructField("source_file", T.StringType())])
 FIRST_MONTHS = T.StructType([T.StructField("supplier", T.StringType()), T.StructField("first_month", T.DateType())])
 REPORT = "path string, source_file string, status string, error string"
 
@@ -63,14 +65,17 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, T.StructType([*LINES.fields, T.StructField("handover_month", T.DateType())]))
 
 
-def months_of(lines: DataFrame) -> set[dt.date | None]:
-    """The months that lines fall into, None for undated ones: a handful for an export."""
-    return {r.month for r in lines.select(month_of(F.col("handover_date")).alias("month")).distinct().collect()}
+def content_of(lines: DataFrame) -> DataFrame:
+    """What files hold: their lines per supplier and month, far fewer rows than the lines."""
+    return lines.groupBy("source_file", "supplier", month_of(F.col("handover_date")).alias("month")).agg(F.count("*").alias("lines"))
 
 
 @dataclass(frozen=True)
 class Published:
-    """What the monthly jobs read: lines by month, and each supplier's first month."""
+    """What the monthly jobs read: lines by month, and each supplier's first month.
+
+    `contents` tells what of each file is published. With it the months and suppliers that a file's earlier rows fell into are
+    known without reading lines, and so are the files that hold a month."""
 
     spark: SparkSession
     path: str
@@ -83,35 +88,56 @@ class Published:
     def firsts(self) -> DataFrame:
         return read_table(self.spark, f"{self.path}/first_months", FIRST_MONTHS)
 
-    def replace(self, names: list[str], fresh: DataFrame, months: set[dt.date | None]) -> None:
-        """Publish the months again that the named files' earlier or new rows (fresh) fall into; no other month is read or
-        written. A month that is left without lines disappears."""
+    @property
+    def contents(self) -> DataFrame:
+        return read_table(self.spark, f"{self.path}/contents", CONTENTS).where("lines > 0")
+
+    def publish_files(self, store: LineStore, names: set[str], repair: bool = False) -> None:
+        """Publish what the store holds of the named files, which may be nothing any more, in the place of what was published of
+        them. Months that neither held are not read or written. Every step can be repeated: the months are built from the
+        store, and `contents`, which tells what the earlier rows were, is replaced last. With repair the first months are
+        built from all contents, as a stopped run may have lost some."""
+        named = F.col("source_file").isin(*names)
+        before = materialized(self.contents)  # the steps below replace it
+        earlier, fresh = before.where(named), materialized(content_of(store.rows_of(names)))
+        after = before.where(~named).unionByName(fresh)
+        months = {r.month for r in earlier.select("month").union(fresh.select("month")).distinct().collect()}
+        self._publish_months(store, after, months)
+        changed = earlier.select("supplier").union(fresh.select("supplier")).distinct()
+        self._publish_firsts(after, None if repair else changed)
+        nothing = self.spark.createDataFrame([(None, None, 0, name) for name in names], CONTENTS).join(fresh, "source_file", "left_anti")
+        replace_files(fresh.unionByName(nothing), f"{self.path}/contents")
+
+    def _publish_months(self, store: LineStore, contents: DataFrame, months: set[dt.date | None]) -> None:
         dated = [m for m in months if m is not None]
-        asked = F.col("handover_month").isin(*dated)
-        kept = self.lines.where(asked | F.col("handover_month").isNull() if None in months else asked)
-        kept = kept.where(~F.col("source_file").isin(*names)).select(*LINES.names)
-        whole = materialized(kept.unionByName(fresh.select(*LINES.names)))
-        publish(whole, f"{self.path}/lines")
-        for month in months - months_of(whole):
-            remove(self.spark, f"{self.path}/lines/handover_month={month or '__HIVE_DEFAULT_PARTITION__'}")
-        firsts = materialized(first_months(self.lines))
-        firsts.write.mode("overwrite").parquet(f"{self.path}/first_months")
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at the path; an empty one if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+        asked = F.col("month").isin(*dated)
+        holding = contents.where(asked | F.col("month").isNull() if None in months else asked).select("source_file").distinct()
+        month = month_of(F.col("handover_date"))
+        wanted = month.isin(*dated) | month.isNull() if None in months else month.isin(*dated)
+        publish(store.read().join(holding, "source_file", "left_semi").where(wanted).select(*LINES.names), f"{self.path}/lines")
+        held = {r.month for r in contents.where(asked | F.col("month").isNull()).select("month").distinct().collect()}
+        for gone in months - held:
+            remove(self.spark, f"{self.path}/lines/handover_month={gone or '__HIVE_DEFAULT_PARTITION__'}")
+
+    def _publish_firsts(self, contents: DataFrame, changed: DataFrame | None) -> None:
+        """First months of the changed suppliers, or of all: a file that goes may take a supplier's first month with it."""
+        dated = contents.where("month is not null and supplier is not null")
+        if changed is not None:
+            changed = changed.where("supplier is not null")
+            dated = dated.join(changed, "supplier", "left_semi")
+        firsts = dated.groupBy("supplier").agg(F.min("month").alias("first_month"))
+        if changed is not None:
+            firsts = self.firsts.join(changed, "supplier", "left_anti").unionByName(firsts)
+        materialized(firsts).write.mode("overwrite").parquet(f"{self.path}/first_months")
 
 
 @dataclass(frozen=True)
 class LineStore:
+    """Lines by source file. With a journal every load is entered there before it writes, until its files are published."""
+
     spark: SparkSession
     path: str
+    journal: Journal | None = None
 
     def read(self) -> DataFrame:
         return read_table(self.spark, self.path, LINES)
@@ -138,6 +164,8 @@ class LineStore:
             pending = pending_files(offered, self.rows_of(taken)).collect()
             todo = {r.source_file: taken[r.source_file] for r in pending}
         layouts, failed = self._layouts(todo, reprocess)
+        if self.journal and layouts:
+            self.journal.begin([export_name(path) for path in layouts])
         failed |= self._write(layouts, aliases)
         return self._report(paths, taken, todo, failed)
 
