@@ -11,6 +11,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,11 +32,12 @@ class ByteSide:
 
     def __init__(self, path: str):
         self.ranks = Ranks(path)
-        self.bytes = {i: token for token, i in self.ranks.tokens.items()}
+        tokens = {i: token for token, i in self.ranks.tokens.items()}
+        self.bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of a space and each text."""
-        return [self.ranks.encode(" " + text) for text in texts]
+        return [np.array(self.ranks.encode(" " + text), np.uint32) for text in texts]
 
 
 class PieceSide:
@@ -44,35 +46,32 @@ class PieceSide:
     No piece has a space after another character, so a text is cut before every run of spaces without a change of its tokens;
     each different stretch is encoded once while the store lasts. Another vocabulary encodes whole texts."""
 
-    def __init__(self, path: str, store: int = 100_000):
+    def __init__(self, path: str, store: int = 200_000):
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
-        self.bytes = {i: bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace("▁", " ").encode()
-                      for i, name in enumerate(names)}
+        self.bytes = [bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace("▁", " ").encode()
+                      for i, name in enumerate(names)]
         self.cut = not any(re.search("[^▁]▁", name) for name in names)
         self.size, self.store, self.older = store, {}, {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cut:
-            return self.pieces.encode(texts, num_threads=1)
+            return [np.array(ids, np.uint32) for ids in self.pieces.encode(texts, num_threads=1)]
         stretches = [_SEGMENTS.findall(" " + text) for text in texts]
-        fresh = {s for own in stretches for s in own if s not in self.store}
+        asked = set(chain.from_iterable(stretches))
+        fresh = asked.difference(self.store)
         if len(self.store) + len(fresh) > self.size:  # two generations: what is asked for again stays
-            self.older, self.store = self.store, {}
-            fresh = {s for own in stretches for s in own}
-        unknown = []
-        for stretch in fresh:
-            ids = self.older.get(stretch)
-            if ids is None:
-                unknown.append(stretch)
-            else:
-                self.store[stretch] = ids
+            self.older, self.store, fresh = self.store, {}, asked
+        again = {s: self.older[s] for s in fresh if s in self.older}
+        unknown = list(fresh.difference(again))
         # The space that starts a stretch is the one the library adds, but to nothing.
-        self.store.update(zip(unknown, self.pieces.encode([s[1:] for s in unknown], num_threads=1) if unknown else []))
+        found = self.pieces.encode([s[1:] for s in unknown], num_threads=1) if unknown else []
+        self.store.update(again)
+        self.store.update((s, np.array(ids, np.uint32).tobytes()) for s, ids in zip(unknown, found))
         if " " in self.store:
-            self.store[" "] = [self.pieces.piece_to_id("▁")]
-        store = self.store
-        return [[i for s in own for i in store[s]] if text else [] for text, own in zip(texts, stretches)]
+            self.store[" "] = np.array([self.pieces.piece_to_id("▁")], np.uint32).tobytes()
+        ids_of = self.store.__getitem__
+        return [np.frombuffer(b"".join(map(ids_of, own)) if text else b"", np.uint32) for text, own in zip(texts, stretches)]
 
 
 def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -115,7 +114,7 @@ class Aligned(NamedTuple):
     link_b: np.ndarray
 
 
-def _firsts(lists: list[list[int]]) -> np.ndarray:
+def _firsts(lists: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
 
 
@@ -125,10 +124,10 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) + np.repeat(starts - before, counts)
 
 
-def aligned(ids_a: list[list[int]], ids_b: list[list[int]], lengths_a: np.ndarray, lengths_b: np.ndarray) -> Aligned:
+def aligned(ids_a: list[np.ndarray], ids_b: list[np.ndarray], lengths_a: np.ndarray, lengths_b: np.ndarray) -> Aligned:
     """Texts whose tokens cover the same bytes on both sides, text by text; every token has a byte or more."""
-    a, b = (np.array([i for own in ids for i in own], np.int64) for ids in (ids_a, ids_b))
     first_a, first_b = _firsts(ids_a), _firsts(ids_b)
+    a, b = (np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int64) for ids in (ids_a, ids_b))
     ends_a, ends_b = np.cumsum(lengths_a[a]), np.cumsum(lengths_b[b])
     swapped = len(ends_a) > len(ends_b)
     short, long, first_short, first_long = (ends_b, ends_a, first_b, first_a) if swapped else (ends_a, ends_b, first_a, first_b)
@@ -149,8 +148,17 @@ def aligned(ids_a: list[list[int]], ids_b: list[list[int]], lengths_a: np.ndarra
     return Aligned(a, b, first_a, first_b, common_short, common_long, link_short, link_long)
 
 
-def group_texts(found: Aligned) -> list[str]:
-    """`a1,a2|b1;a3|b2,b3` of every text: the groups' ids in order."""
+_MARKS = ",|;"
+
+
+@cache
+def _written(count: int) -> list[str]:
+    """Every id below count with each of _MARKS after it."""
+    return [f"{i}{mark}" for i in range(count) for mark in _MARKS]
+
+
+def group_texts(found: Aligned, ids: int) -> list[str]:
+    """`a1,a2|b1;a3|b2,b3` of every text: the groups' ids, all below `ids`, in order."""
     na, nb = len(found.a), len(found.b)
     group_a = np.searchsorted(found.common_a, np.arange(na))  # groups before a token
     group_b = np.searchsorted(found.common_b, np.arange(nb))
@@ -158,13 +166,13 @@ def group_texts(found: Aligned) -> list[str]:
     until_b = np.concatenate([[0], found.common_b + 1])
     place_a = np.arange(na) + until_b[group_a]
     place_b = np.arange(nb) + (found.common_a + 1)[group_b] if nb else np.zeros(0, np.int64)
-    ids, marks = np.empty(na + nb, np.int64), np.full(na + nb, ",", "<U1")
-    ids[place_a], ids[place_b] = found.a, found.b
-    marks[place_a[found.common_a]] = "|"
-    marks[place_b[found.common_b]] = ";"
-    names, marks = ids.tolist(), marks.tolist()
+    codes = np.empty(na + nb, np.int64)
+    codes[place_a], codes[place_b] = found.a * len(_MARKS), found.b * len(_MARKS)
+    codes[place_a[found.common_a]] += 1
+    codes[place_b[found.common_b]] += 2
+    written, codes = _written(ids).__getitem__, codes.tolist()
     firsts = (found.first_a + found.first_b).tolist()
-    return ["".join([f"{i}{m}" for i, m in zip(names[s:e], marks[s:e])])[:-1] for s, e in zip(firsts, firsts[1:])]
+    return ["".join(map(written, codes[s:e]))[:-1] for s, e in zip(firsts, firsts[1:])]
 
 
 @cache
@@ -172,23 +180,17 @@ def _sides(path_a: str, path_b: str) -> tuple[ByteSide, PieceSide, np.ndarray, n
     """One pair for each Python worker."""
     a, b = ByteSide(path_a), PieceSide(path_b)
 
-    def lengths(side):
-        out = np.zeros(max(side.bytes) + 1, np.int64)
-        for i, token in side.bytes.items():
-            out[i] = len(token)
-        return out
-
-    return a, b, lengths(a), lengths(b)
+    return a, b, *(np.array([len(token) for token in side.bytes], np.int64) for side in (a, b))
 
 
-def _tokens(texts: list[str | None], a: ByteSide, b: PieceSide) -> tuple[list[list[int]], list[list[int]]]:
+def _tokens(texts: list[str | None], a: ByteSide, b: PieceSide) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Both sides' ids of each text; none where a side's bytes are not a space and the text."""
     known = [t or "" for t in texts]
-    both = []
+    none, both = np.zeros(0, np.uint32), []
     for text, own_a, own_b in zip(known, a.encode(known), b.encode(known)):
         data = b" " + text.encode()
-        same = text and all(b"".join([side.bytes.get(i, b"") for i in own]) == data for side, own in ((a, own_a), (b, own_b)))
-        both.append((own_a, own_b) if same else ([], []))
+        same = text and all(b"".join(map(side.bytes.__getitem__, own.tolist())) == data for side, own in ((a, own_a), (b, own_b)))
+        both.append((own_a, own_b) if same else (none, none))
     return [x for x, _ in both], [y for _, y in both]
 
 
@@ -227,7 +229,7 @@ def _block(ids: list[int | None], texts: list[str | None], path_a: str, path_b:
     n_a, n_b = np.diff(found.first_a), np.diff(found.first_b)
     n_groups = np.diff(np.searchsorted(found.common_a, found.first_a))
     first = np.searchsorted(found.link_a, found.first_a)
-    groups = group_texts(found)
+    groups = group_texts(found, max(len(lengths_a), len(lengths_b)))
     pairs, place = np.unique(found.a[found.link_a] << 32 | found.b[found.link_b], return_inverse=True)
     doc = np.repeat(np.arange(len(ids)), np.diff(first))
     own, counts = np.unique(doc * len(pairs) + place, return_counts=True)
