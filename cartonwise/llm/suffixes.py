@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from cartonwise.config import materialized
 from cartonwise.llm import text_arrays
 from cartonwise.llm.deep_shallow import deep_shallow
-from cartonwise.llm.tables import map_texts, released, small_batches
+from cartonwise.llm.tables import map_texts, released
 
+_BATCH = "4m"  # of texts or marks handed to a task's Python worker at a time
 _CHUNK = 1 << 19  # bytes of text whose arrays are held at a time
 _TOGETHER = 100_000  # contexts sorted at a time, and then the rest of the last key's
 _LAST = 2**63 - 1
@@ -122,43 +123,59 @@ def _rows(names: list[str], types: list[pa.DataType], rows: list[tuple]) -> pa.R
 
 
 def _repeated_keys(texts: DataFrame, buckets: int, key_bytes: int, window: int) -> DataFrame:
-    """(bucket, keys): the low halves of the key hashes that more than one row has, in order. A batch sends each key once, or
-    twice if two of its rows have it."""
+    """(bucket, keys, marks): the low halves of the key hashes that more than one row has, in order, and the number of all marks.
+    A batch sends each key once, or twice if two of its rows have it."""
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = marks(batch.column(1), key_bytes, window)
             by_key = np.argsort(found.key, kind="stable")  # and by row
             key, row = found.key[by_key], found.text[by_key]
-            new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-            starts = np.flatnonzero(new)
-            shared = row[starts] != row[np.concatenate([starts[1:], [len(key)]]) - 1] if len(starts) else np.zeros(0, bool)
-            key = np.repeat(key[starts], 1 + shared)
-            low = key.astype("<u4")
-            yield _rows(["bucket", "keys"], [pa.int64(), pa.binary()],
-                        [(b, low[part].tobytes()) for b, part in _parts(_buckets(key, buckets))])
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            counts = np.diff(np.concatenate([starts, [len(key)]]))
+            shared = row[starts] != row[starts + counts - 1]
+            low, bucket = key[starts].astype("<u4"), _buckets(key[starts], buckets)
+            yield _rows(["bucket", "keys", "marks"], [pa.int64(), pa.binary(), pa.int64()],
+                        [(b, np.repeat(low[part], 1 + shared[part]).tobytes(), int(counts[part].sum())) for b, part in _parts(bucket)])
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for bucket, lists in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for bucket, lists, count in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 keys = np.sort(np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in lists.values]))
-                out.append((bucket, np.unique(keys[1:][keys[1:] == keys[:-1]]).tobytes()))
-            yield _rows(["bucket", "keys"], [pa.int64(), pa.binary()], out)
+                out.append((bucket, np.unique(keys[1:][keys[1:] == keys[:-1]]).tobytes(), count))
+            yield _rows(["bucket", "keys", "marks"], [pa.int64(), pa.binary(), pa.int64()], out)
 
-    lists = map_texts(texts, sent, "bucket long, keys binary", ("row_key", "text")).groupBy("bucket").agg(F.collect_list("keys"))
-    return lists.mapInArrow(kept, "bucket long, keys binary")
+    lists = map_texts(texts, sent, "bucket long, keys binary, marks long", ("row_key", "text"), _BATCH).groupBy("bucket").agg(
+        F.collect_list("keys").alias("keys"), F.sum("marks").alias("marks"))
+    return lists.mapInArrow(kept, "bucket long, keys binary, marks long")
 
 
-_PACKED = "bucket long, keys binary, contexts binary, rows binary, places binary, sides binary, orders binary, row_keys binary"
+# The arrays of a packed row, each with its type; docs and row_keys have an item for each row, the others for each mark.
+_ARRAYS = (("docs", "<i8"), ("row_keys", "<i8"), ("contexts", "<i8"), ("keys", "<u4"), ("rows", "<u4"), ("places", "<u4"), ("sides", "<u4"))
 
 
-def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes: int, window: int) -> DataFrame:
-    """(bucket, key, context, doc, row_key, place, left, right) of every mark whose key is repeated. Marks travel packed by
-    batch and bucket, so a bucket with a hot key has many rows that a join can part."""
+def _pack(arrays: list[np.ndarray]) -> bytes:
+    sizes = np.array([len(arrays[0]), len(arrays[2])], "<i8")
+    return b"".join([sizes.tobytes(), *(x.astype(t, copy=False).tobytes() for x, (_, t) in zip(arrays, _ARRAYS))])
+
+
+def _unpack(data: bytes) -> dict[str, np.ndarray]:
+    rows, count = np.frombuffer(data, "<i8", 2).tolist()
+    out, at = {}, 16
+    for name, kind in _ARRAYS:
+        out[name] = np.frombuffer(data, kind, rows if name in ("docs", "row_keys") else count, at)
+        at += out[name].nbytes
+    return out
+
+
+def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes: int, window: int, most_marks: int) -> DataFrame:
+    """(bucket, key, context, doc, row_key, place, left, right) of every mark whose key is repeated.
+
+    Marks travel packed by batch and bucket, and meet the bucket's repeated keys, which come first, in one task. A bucket with
+    over most_marks marks, which a hot key makes, is dealt over several tasks, each with the repeated keys."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _PACKED.split(", ")]
         for batch in batches:
             row_key, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
             _, once = np.unique(row_key, return_index=True)  # copies of a row have the same marks
@@ -171,32 +188,37 @@ def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes:
             for b, part in _parts(bucket[order]):
                 own = order[part]
                 rows, dense = np.unique(found.text[own], return_inverse=True)
-                out.append((b, found.key[own].astype("<u4").tobytes(), found.context[own].astype("<u8").tobytes(),
-                            dense.astype("<u4").tobytes(), found.place[own].astype("<u4").tobytes(),
-                            (found.left[own] << 16 | found.right[own]).astype("<u4").tobytes(),
-                            doc[rows].astype("<i8").tobytes(), row_key[rows].astype("<i8").tobytes()))
-            yield _rows(names, [pa.int64()] + [pa.binary()] * 7, out)
+                data = _pack([doc[rows], row_key[rows], found.context[own].view(np.int64), found.key[own] & np.uint64(0xFFFFFFFF), dense,
+                              found.place[own], found.left[own] << 16 | found.right[own]])
+                out.append((b, int(row_key[rows[0]]), data))
+            yield _rows(["bucket", "batch", "data"], [pa.int64(), pa.int64(), pa.binary()], out)
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known = None, None
         for batch in batches:
-            for at in range(batch.num_rows):
-                bucket, keys, contexts, rows, places, sides, docs, row_keys, known = (batch.column(c)[at].as_py() for c in range(9))
-                keys, known = np.frombuffer(keys, "<u4"), np.frombuffer(known, "<u4")
-                if not len(known):
+            for bucket, first, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if first:
+                    at, known = bucket, np.frombuffer(data.as_py(), "<u4")
+                if first or at != bucket or not len(known):
                     continue
-                near = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                own = np.flatnonzero(known[near] == keys)
-                row = np.frombuffer(rows, "<u4")[own]
-                side = np.frombuffer(sides, "<u4")[own].astype(np.int32)
-                columns = [np.full(len(own), bucket, np.int64), keys[own].astype(np.int64), np.frombuffer(contexts, "<i8")[own],
-                           np.frombuffer(docs, "<i8")[row], np.frombuffer(row_keys, "<i8")[row], np.frombuffer(places, "<u4")[own].astype(np.int64),
-                           side >> 16, side & 0xFFFF]
+                found = _unpack(data.as_py())
+                near = np.minimum(np.searchsorted(known, found["keys"]), len(known) - 1)
+                own = np.flatnonzero(known[near] == found["keys"])
+                row, side = found["rows"][own], found["sides"][own].astype(np.int32)
+                columns = [np.full(len(own), bucket, np.int64), found["keys"][own].astype(np.int64), found["contexts"][own], found["docs"][row],
+                           found["row_keys"][row], found["places"][own].astype(np.int64), side >> 16, side & 0xFFFF]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
                                                  ["bucket", "key", "context", "doc", "row_key", "place", "left", "right"])
 
-    sent = map_texts(texts, packed, _PACKED, ("row_key", "text", "doc"))
-    joined = sent.join(repeated.withColumnRenamed("keys", "known"), "bucket").select(*sent.columns, "known")
-    return joined.mapInArrow(flat, "bucket long, key long, context long, doc long, row_key long, place long, left int, right int")
+    deals = F.ceil(F.col("marks") / most_marks).cast("int")
+    hot = materialized(repeated.where(F.col("marks") > most_marks).select("bucket", deals.alias("deals")))
+    keys = repeated.select("bucket", F.explode(F.sequence(F.lit(1), deals)).alias("deal"), F.lit(True).alias("first"), F.col("keys").alias("data"))
+    sent = map_texts(texts, packed, "bucket long, batch long, data binary", ("row_key", "text", "doc"), _BATCH)
+    sent = sent.join(hot, "bucket", "left").select(
+        "bucket", (F.pmod("batch", F.coalesce("deals", F.lit(1))) + 1).cast("int").alias("deal"), F.lit(False).alias("first"), "data")
+    dealt = keys.unionByName(sent).repartition("bucket", "deal").sortWithinPartitions("bucket", "deal", F.desc("first"))
+    return dealt.select("bucket", "first", "data").mapInArrow(
+        flat, "bucket long, key long, context long, doc long, row_key long, place long, left int, right int")
 
 
 _CONTEXT = "bucket long, key long, context long, doc long, last long, left int, right int, hot boolean"
@@ -310,7 +332,6 @@ def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -
         return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in taken] + [lists],
                                           ["bucket", "key", "context", "runs"])
 
-    small_batches(contexts.sparkSession, 20_000)
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "key")
     return dealt.select("bucket", "key", "context", "doc", "last", "left", "bytes").mapInArrow(work, _RUNS)
 
@@ -369,12 +390,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucke
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(1, -(-size // bucket_bytes))
         repeated = materialized(_repeated_keys(texts, buckets, key_bytes, window))
-        found = materialized(_occurrences(texts, repeated, buckets, key_bytes, window))
-        # left and right follow from the context.
-        first = F.min(F.struct("doc", "row_key", "place", "left", "right")).alias("first")
-        different = found.groupBy("bucket", "key", "context").agg(first, F.max("doc").alias("last")).select(
-            "bucket", "key", "context", "last", "first.*")
-        different = materialized(different)
+        most_marks = 4 * (1 + bucket_bytes * 2 // (window - key_bytes + 2))  # of the marks to expect in a bucket
+        found = materialized(_occurrences(texts, repeated, buckets, key_bytes, window, most_marks))
+        # The place of a context's bytes: any row's, and all of it from the same row.
+        place = [F.first(c).alias(c) for c in ("row_key", "place", "left", "right")]
+        different = materialized(found.groupBy("bucket", "key", "context").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), *place))
         hot = materialized(different.groupBy("bucket", "key").count().where(F.col("count") > most_contexts).select("bucket", "key", F.lit(True).alias("hot")))
         marked = different.join(hot, ["bucket", "key"], "left").withColumns({
             "hot": F.coalesce("hot", F.lit(False)), "start": F.col("place") - F.col("left"), "size": F.col("left") + key_bytes + F.col("right")})
@@ -386,7 +406,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucke
         ranges = found.join(resolved, ["bucket", "key", "context"]).select("row_key", F.explode(spans).alias("span"))
         removed = materialized(ranges.groupBy("row_key").agg(F.collect_set("span").alias("removed")))  # of one text
     rows = texts.join(removed, "row_key", "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "removed")
-    small_batches(spark)
     return rows.mapInArrow(_without, _KEPT)
 
 

@@ -50,9 +50,9 @@ def small_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> N
 
 
 def map_texts(docs: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType,
-              columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """work over Arrow batches of the named columns only: whatever else docs has cannot clash with the result."""
-    small_batches(docs.sparkSession)
+              columns: tuple[str, ...] = ("doc_id", "text"), size: str = "16m") -> DataFrame:
+    """work over Arrow batches (of about `size`) of the named columns only: whatever else docs has cannot clash with the result."""
+    small_batches(docs.sparkSession, size=size)
     return docs.select(*columns).mapInArrow(work, schema)
 
 
