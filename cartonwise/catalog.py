@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartonwise import oracle
-from cartonwise.config import Rules, scratch_path, session_setup
+from cartonwise.config import Rules, remove, scratch_path, session_setup
 from cartonwise.functions.dates import month_grid, month_label, month_of
 from cartonwise.functions.numbers import rounded
 from cartonwise.functions.regions import country_region, supplier_region
+from cartonwise.jobs import Home
 from cartonwise.operators import directory, kpi, rates, summary, supplier
 from cartonwise.operators.facts import facts, in_months, rollup
 from cartonwise.operators.filters import Filters, matching_text
@@ -88,8 +89,8 @@ SHOWN = ("destination_po", "kimball", "supplier", "factory", "po_qty", "handover
          "compliance_status", "source_file")
 
 
-def _shown(lines: DataFrame) -> DataFrame:
-    return lines.select(*(F.col(c).cast("double").alias(c) if c in ("cbm", "density") else c for c in SHOWN))
+def _shown(lines: DataFrame, *more: str) -> DataFrame:
+    return lines.select(*(F.col(c).cast("double").alias(c) if c in ("cbm", "density") else c for c in (*SHOWN, *more)))
 
 
 @query
@@ -209,6 +210,41 @@ def published_month(spark, folder):
         "supplier", "lines", "compliant", "rank")
 
 
+CHANGED = ("2001_10_1-15", "1995_01_1-15")
+
+
+def _stopped_loads(spark: SparkSession, folder: str) -> Home:
+    """Exports loaded in three parts, of which only the first is published: the second load stops when its rows are stored, the
+    third while it publishes, with a month's folder and the first months deleted for replacement. Then every export is offered
+    again, and at last two of them with fewer lines."""
+    lines = tables.read_lines(spark, folder)
+    paths = _write_exports(lines, scratch_path(spark, "exports"))
+    home = Home(spark, scratch_path(spark, "home"))
+    third = len(paths) // 3
+    home.load(paths[:third])
+    home.store.load(paths[third:2 * third])
+    home.store.load(paths[2 * third:])
+    remove(spark, f"{home.published.path}/lines/handover_month={dt.date(1993, 1, 1)}")
+    remove(spark, f"{home.published.path}/first_months")
+    home.load(paths)
+    changed = lines.where(F.col("source_file").isin(*CHANGED) & (F.col("packaging_status") == "Approved"))
+    home.load(_write_exports(changed, scratch_path(spark, "exports")), reprocess=True)
+    return home
+
+
+@query
+def load_resumed(spark, folder):
+    return _shown(_stopped_loads(spark, folder).published.lines, "handover_month")
+
+
+@query
+def load_resumed_contents(spark, folder):
+    published = _stopped_loads(spark, folder).published
+    return published.contents.join(published.firsts, "supplier", "left").groupBy("source_file", "month").agg(
+        F.sum("lines").alias("lines"), F.count("*").alias("suppliers"), F.min("first_month").alias("earliest"),
+        F.sum((F.col("first_month") == F.col("month")).cast("int")).alias("new_suppliers"))
+
+
 # --- contacts -----------------------------------------------------------------
 
 

@@ -302,6 +302,12 @@ def oracle_sql() -> dict[str, str]:
     q["clear_lines"] = _sql("SELECT CAST(0 AS BIGINT) AS lines_left, count(*) AS contacts_left FROM contacts",
                             contacts=True)
     q["stream_ingest"] = _sql(f"SELECT {_SHOWN} FROM lines")
+    kept = """SELECT * FROM lines WHERE source_file NOT IN ('2001_10_1-15', '1995_01_1-15') OR packaging_status = 'Approved'"""
+    q["load_resumed"] = _sql(f"SELECT {_SHOWN}, month AS handover_month FROM kept", kept=kept)
+    q["load_resumed_contents"] = _sql("""SELECT source_file, month, CAST(sum(lines) AS BIGINT) AS lines, count(*) AS suppliers, min(first_month) AS earliest,
+      count(*) FILTER (first_month = month) AS new_suppliers
+      FROM (SELECT source_file, month, supplier, count(*) AS lines FROM kept GROUP BY ALL)
+      JOIN (SELECT supplier, min(month) AS first_month FROM kept GROUP BY 1) USING (supplier) GROUP BY ALL""", kept=kept)
     q["published_month"] = _sql(f"""SELECT supplier, count(*) AS lines, {OK} AS compliant,
       dense_rank() OVER (ORDER BY {RATE} DESC) AS rank FROM m GROUP BY supplier""")
 
