@@ -160,6 +160,28 @@ def load_untidy_report(spark, folder):
     return _load_untidy(spark, folder)[1].select("source_file", "status", "rows", "unreadable_cells")
 
 
+@query
+def load_split_csv(spark, folder):
+    """A year's lines in one export, with line breaks and quotes in cells, each file read by several tasks."""
+    lines = tables.read_lines(spark, folder).withColumn("source_file", F.date_format("handover_date", "yyyy"))
+    cells = exports.to_export(lines).withColumn("Description", F.concat("Description", F.lit('\nsecond "line", of '), "Kimball"))
+    arrived = scratch_path(spark, "exports")
+    cells.write.option("header", True).option("escape", '"').partitionBy("source_file").csv(arrived)
+    years = sorted(r.source_file for r in lines.select("source_file").distinct().collect())  # a handful
+    target = store.LineStore(spark, scratch_path(spark, "lines"), split_bytes=1 << 18)
+    sizes = {"spark.sql.files.maxPartitionBytes": str(1 << 18), "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        target.load([f"{arrived}/source_file={year}" for year in years])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return target.read().select("destination_po", "kimball", "colour_code", "supplier", "description", "po_qty", "handover_date", "compliance_status",
+                                "source_file")
+
+
 @query
 def load_report(spark, folder):
     lines = tables.read_lines(spark, folder)

@@ -290,6 +290,9 @@ def oracle_sql() -> dict[str, str]:
       count(*) FILTER (l_partkey % 11 = 0) + count(*) FILTER (l_partkey % 17 = 0) AS unreadable_cells
       FROM untidy GROUP BY 1
       UNION ALL SELECT source_file, 'Skipped', NULL, NULL FROM (SELECT min(source_file) AS source_file FROM lines)""", untidy=untidy)
+    q["load_split_csv"] = _sql("""SELECT destination_po, kimball, colour_code, supplier,
+      description || chr(10) || 'second "line", of ' || kimball AS description, po_qty, handover_date, compliance_status,
+      strftime(handover_date, '%Y') AS source_file FROM lines""")
     q["supplier_alias"] = _sql(f"SELECT {_ALIASED} AS supplier, count(*) AS lines FROM lines GROUP BY 1")
     q["load_pending_files"] = _sql("""SELECT source_file FROM lines GROUP BY 1
       HAVING min(handover_date) >= DATE '2001-01-01'""")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cartonwise.functions.text import clean_text
 from cartonwise.schema import HEADERS, INTEGER_COLUMNS, LINE_COLUMNS, LINES, MANDATORY_HEADER, TIME_COLUMNS
 from cartonwise.sources.derive import derive
+from cartonwise.sources.records import read_records
 
 
 # Date texts that are read besides ISO ones, the first that fits; a time may follow. Where day and month could be either, the
@@ -19,6 +20,8 @@ from cartonwise.sources.derive import derive
 DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy")
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 UNREADABLE = "unreadable_cells"
+# CSV files over this size are read by several tasks, as Spark reads a file of several partitions.
+SPLIT_BYTES = 128 << 20
 
 
 class BadExport(ValueError):
@@ -34,9 +37,12 @@ class Layout:
     folder: bool  # written by Spark in parts: the export is the folder
 
 
+_QUOTING = {"quote": '"', "escape": '"'}
+
+
 def _reader(spark: SparkSession):
-    # Quoted cells may hold line breaks, so a file is read by one task; exports are many, none is large.
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+    # Quoted cells may hold line breaks, so a file read in this way is read by one task: files up to SPLIT_BYTES.
+    return spark.read.option("header", True).options(**_QUOTING).option("multiLine", True)
 
 
 def layout_of(spark: SparkSession, path: str, with_rows: bool = False) -> Layout:
@@ -58,20 +64,44 @@ def export_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1].removeprefix("source_file=")
 
 
-def _source_file(folder: bool) -> Column:
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _source_file(folder: bool, path: str = "_metadata.file_path") -> Column:
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(F.element_at(F.split(decoded, "/"), -2 if folder else -1), "^source_file=", "")
 
 
-def read_layout(spark: SparkSession, paths: list[str], layout: Layout) -> DataFrame:
+def large_files(spark: SparkSession, paths: list[str], split_bytes: int) -> list[str]:
+    """CSV files behind the paths that are larger than split_bytes; only their sizes are read."""
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(paths).where(F.col("length") > split_bytes)
+    return sorted(r.path for r in sizes.select("path").collect())  # at most the files of the exports offered
+
+
+def read_layout(spark: SparkSession, paths: list[str], layout: Layout, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Raw cells of exports of one layout, under target names; headers that are absent become nulls and unknown ones are
-    ignored."""
+    ignored. The large files among CSV exports are cut into records by many tasks, unless their quotes do not allow it."""
     if layout.parquet:
-        cells = spark.read.parquet(*paths)
-    else:
-        schema = ", ".join(f"`{h.replace('`', '``')}` string" for h in layout.header)
-        cells = _reader(spark).schema(schema).csv(paths)
-    return select_cells(cells.withColumn("source_file", _source_file(layout.folder)))
+        return select_cells(spark.read.parquet(*paths).withColumn("source_file", _source_file(layout.folder)))
+    schema = ", ".join(f"`{h.replace('`', '``')}` string" for h in layout.header)
+    large = large_files(spark, paths, split_bytes)
+    found = read_records(spark, large) if large else None
+    split = {spark_path(f) for f in large} - {spark_path(f) for f in found.irregular} if found else set()
+    whole = paths if not split else [f for f in csv_files(spark, paths) if spark_path(f) not in split]
+    parts = []
+    if whole:
+        parts.append(_reader(spark).schema(schema).csv(whole).withColumn("source_file", _source_file(layout.folder)))
+    if split:
+        cells = found.rows.select("file", F.from_csv("value", schema, _QUOTING).alias("cells"))
+        parts.append(cells.select("cells.*", _source_file(layout.folder, "file").alias("source_file")))
+    return select_cells(reduce(DataFrame.unionByName, parts))
+
+
+def csv_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files behind the paths, which may be folders."""
+    return [unquote(f) for f in _reader(spark).schema("cell string").csv(paths).inputFiles()]
+
+
+def spark_path(path: str) -> str:
+    """One form of a file's path, which Spark gives with escapes in some places and without in others."""
+    return unquote(path).replace("file:///", "file:/")
 
 
 def select_cells(cells: DataFrame) -> DataFrame:
@@ -84,12 +114,12 @@ def select_cells(cells: DataFrame) -> DataFrame:
     return cells.select(*(cell(h).alias(name) for h, name in HEADERS.items()), "source_file")
 
 
-def read_exports(spark: SparkSession, layouts: dict[str, Layout]) -> DataFrame:
+def read_exports(spark: SparkSession, layouts: dict[str, Layout], split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Raw cells of many exports (path -> layout): one scan per distinct layout, not per file."""
     paths: dict[Layout, list[str]] = {}
     for path, layout in layouts.items():
         paths.setdefault(layout, []).append(path)
-    return reduce(DataFrame.unionByName, (read_layout(spark, own, layout) for layout, own in paths.items()))
+    return reduce(DataFrame.unionByName, (read_layout(spark, own, layout, split_bytes) for layout, own in paths.items()))
 
 
 def canonical_supplier(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:

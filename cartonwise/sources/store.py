@@ -16,7 +16,7 @@ from cartonwise.functions.dates import month_of
 from cartonwise.operators.facts import rollup
 from cartonwise.schema import LINES
 from cartonwise.sources.journal import Journal, read_table
-from cartonwise.sources.exports import UNREADABLE, Layout, conform, export_name, layout_of, read_exports
+from cartonwise.sources.exports import SPLIT_BYTES, UNREADABLE, Layout, conform, export_name, layout_of, read_exports
 
 # Files whose first line is read at the same time.
 PROBES = 16
@@ -138,6 +138,7 @@ class LineStore:
     spark: SparkSession
     path: str
     journal: Journal | None = None
+    split_bytes: int = SPLIT_BYTES
 
     def read(self) -> DataFrame:
         return read_table(self.spark, self.path, LINES)
@@ -188,7 +189,7 @@ class LineStore:
         if not layouts:
             return {}
         try:
-            replace_files(conform(read_exports(self.spark, layouts), aliases, with_unreadable=True), self.path)
+            replace_files(conform(read_exports(self.spark, layouts, self.split_bytes), aliases, with_unreadable=True), self.path)
             return {}
         except Exception as error:
             if len(layouts) == 1:

@@ -43,11 +43,11 @@ def test_a_bad_file_is_found_by_halving(spark, tmp_path, monkeypatch):
     import cartonwise.sources.store as module
     whole = module.read_exports
 
-    def read(spark, layouts):
+    def read(spark, layouts, *more):
         calls.append(len(layouts))
         if bad in layouts:
             raise ValueError("unreadable\nin every line")
-        return whole(spark, layouts)
+        return whole(spark, layouts, *more)
 
     monkeypatch.setattr(module, "read_exports", read)
     got = {r.source_file: (r.status, r.error) for r in LineStore(spark, str(tmp_path / "store")).load(paths).collect()}
