@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cartonwise.config import materialized
 from cartonwise.llm import text_arrays
 from cartonwise.llm.deep_shallow import deep_shallow
-from cartonwise.llm.tables import map_texts, released
+from cartonwise.llm.tables import discard, map_texts, released
 
 _BATCH = "4m"  # of texts or marks handed to a task's Python worker at a time
 _CHUNK = 1 << 19  # bytes of text whose arrays are held at a time
@@ -78,7 +78,8 @@ def _marks_of(data: np.ndarray, offsets: np.ndarray, key_bytes: int, window: int
     with np.errstate(over="ignore"):
         content = (sums[stop] - sums[start]) * down[start]
         context = text_arrays.mix(content ^ text_arrays.mix((left * window + right + 1).astype(np.uint64)))
-    return Marks(own, place - offsets[own], left, right, hashes[place], context)
+    # Mixed again, as the least hashes are small ones and would fill a few buckets only.
+    return Marks(own, place - offsets[own], left, right, text_arrays.mix(hashes[place]), context)
 
 
 def marks(texts: pa.Array, key_bytes: int, window: int) -> Marks:
@@ -275,8 +276,15 @@ def least_documents(contents: pa.Array, left: np.ndarray, doc: np.ndarray, key_b
     after = Sorted(*deep_shallow(_matrix(data, keys, length, 1, window), length))
     before = Sorted(*deep_shallow(_matrix(data, keys - 1, left, -1, reach), left))
     least = np.full((count, reach + 1), _LAST)
+    # A context whose neighbours in the order have other keys shares no window.
+    near = np.concatenate([after.common >= key_bytes, [False]])
+    sharing = np.zeros(count, bool)
+    sharing[after.order] = near[:-1] | near[1:]
+    alone = np.flatnonzero(~sharing)
+    places = np.arange(reach + 1)
+    least[alone] = np.where((places <= left[alone, None]) & (places >= window - length[alone, None]), doc[alone, None], _LAST)
     for taken in range(reach + 1):
-        own = np.flatnonzero((left >= taken) & (length >= window - taken))
+        own = np.flatnonzero(sharing & (left >= taken) & (length >= window - taken))
         if not len(own):
             continue
         shared = before.classes(taken)[own] * (count + 1) + after.classes(window - taken)[own]
@@ -332,7 +340,7 @@ def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -
         return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in taken] + [lists],
                                           ["bucket", "key", "context", "runs"])
 
-    dealt = contexts.repartition("bucket").sortWithinPartitions("bucket", "key")
+    dealt = contexts.repartition("bucket", "key").sortWithinPartitions("bucket", "key")
     return dealt.select("bucket", "key", "context", "doc", "last", "left", "bytes").mapInArrow(work, _RUNS)
 
 
@@ -375,7 +383,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), span, pa.binary()], rows)
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucket_bytes: int = 16 << 20, most_contexts: int = 50_000,
+def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucket_bytes: int = 4 << 20, most_contexts: int = 20_000,
                    together: int = _TOGETHER) -> DataFrame:
     """For each row of docs: doc_id, n_bytes, spans (maximal removed ranges of bytes) and kept (the other bytes, which may part a
     character). A byte of a text is removed if a string of `window` bytes over it also starts in a document of a smaller doc_id;
@@ -398,13 +406,17 @@ def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucke
         hot = materialized(different.groupBy("bucket", "key").count().where(F.col("count") > most_contexts).select("bucket", "key", F.lit(True).alias("hot")))
         marked = different.join(hot, ["bucket", "key"], "left").withColumns({
             "hot": F.coalesce("hot", F.lit(False)), "start": F.col("place") - F.col("left"), "size": F.col("left") + key_bytes + F.col("right")})
+        discard(repeated)
         contexts = materialized(_contexts(texts, marked))
+        discard(different)
         resolved = materialized(_resolved(contexts.where("not hot"), key_bytes, window, together).unionByName(
             _resolved_by_window(contexts.where("hot"), key_bytes, window)))
+        discard(contexts, hot)
         later = F.filter("runs", lambda r: r["first"] < F.col("doc"))
         spans = F.transform(later, lambda r: F.struct((F.col("place") - r["high"]).alias("start"), (F.col("place") - r["low"] + window).alias("end")))
         ranges = found.join(resolved, ["bucket", "key", "context"]).select("row_key", F.explode(spans).alias("span"))
         removed = materialized(ranges.groupBy("row_key").agg(F.collect_set("span").alias("removed")))  # of one text
+        discard(found, resolved)
     rows = texts.join(removed, "row_key", "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "removed")
     return rows.mapInArrow(_without, _KEPT)
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartonwise.config import remove
+
 WORD_SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 BLANKS = " \t\n\x0b\f\r"
 
@@ -40,6 +42,13 @@ def released(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def discard(*written: DataFrame) -> None:
+    """Delete tables that `materialized` wrote, when all that reads them has run."""
+    for table in written:
+        for file in table.inputFiles()[:1]:
+            remove(table.sparkSession, file.rsplit("/", 1)[0])
+
+
 def small_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> None:
     """Python workers get at most so many rows and about so many bytes at a time, as texts are long: they and the executor
     beside them then hold a few megabytes of a table, not a tenth of a partition each."""
