@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cartonwise.config import materialized
 from cartonwise.llm.components import components
-from cartonwise.llm.tables import map_texts
+from cartonwise.llm.tables import discard, map_texts, released
 from cartonwise.llm.text_arrays import Words, mix, shingle_hashes, texts_of
 
 WIDTH = 5  # words in a shingle
@@ -262,7 +262,8 @@ def _walk(active: DataFrame, comps: DataFrame, trees: range) -> DataFrame:
         last = level == _DEPTH - 1 or work <= affordable
         if last and work:
             compared = compared.union(_blocks(rows, large))
-        found = _leaf_pairs(compared.join(active.select("doc", "profile"), "doc"))
+        # Written level by level: one plan of all levels would take the driver's memory.
+        found = materialized(_leaf_pairs(compared.join(active.select("doc", "profile"), "doc")))
         pairs = found if pairs is None else pairs.union(found)
         if last:
             break
@@ -364,6 +365,15 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     linked with nothing. Rows with one doc_id are one document, each with its own set. A null doc_id has component_id null
     and is kept, unlinked. Only doc_id and text are read.
     """
+    with released(docs.sparkSession):
+        sketched, classes, comps = _components_of(docs, percent)
+    found = sketched.join(classes, "set_hash", "left").join(comps, F.col("rep") == F.col("vertex"), "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _components_of(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketches of all rows, the document that stands for each set, components of these documents), as tables."""
     sketched = materialized(sketches(docs))
     known = sketched.where("doc_id is not null and set_hash is not null")
     classes = materialized(known.groupBy("set_hash").agg(F.min("doc_id").alias("rep")))
@@ -377,14 +387,13 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = materialized(docs.select(F.col("doc_id").alias("doc"), "text").join(ids, F.col("doc") == F.col("_doc"), "left_semi"))
     active = materialized(reps.join(_profiles(texts), "doc"))
 
-    tied = components(_first_pairs(active).toDF("u", "v"))
+    tied = components(materialized(_first_pairs(active)).toDF("u", "v"))
     more = _walk(active, tied, range(TREES)).toDF("u", "v")
     clusters = components(tied.select(F.col("vertex").alias("u"), F.col("component").alias("v")).union(more))
-    comps = components(_links(clusters, texts, percent).union(_same_documents(known, classes)))
-
-    found = sketched.join(classes, "set_hash", "left").join(comps, F.col("rep") == F.col("vertex"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    links = materialized(_links(clusters, texts, percent).union(_same_documents(known, classes)))
+    comps = components(links)
+    discard(texts, active, links)
+    return sketched, classes, comps
 
 
 def _same_documents(known: DataFrame, classes: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import public_tokenizers
 import tiktoken
@@ -33,7 +34,11 @@ class Ranks:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.bpe = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.tokens, special_tokens=self.special)
-        self.piece = tiktoken.Encoding(f"{path} whole", pat_str=r"[\s\S]+", mergeable_ranks=self.tokens, special_tokens={})
+
+    @cached_property
+    def piece(self) -> tiktoken.Encoding:
+        """The same merges on a whole text; few workers ever need it."""
+        return tiktoken.Encoding(f"{self.bpe.name} whole", pat_str=r"[\s\S]+", mergeable_ranks=self.tokens, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
         """The pattern gives a run of white space to one piece, but for the last character if the text goes on: long runs are

@@ -49,7 +49,7 @@ def discard(*written: DataFrame) -> None:
             remove(table.sparkSession, file.rsplit("/", 1)[0])
 
 
-def small_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> None:
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m") -> None:
     """Python workers get at most so many rows and about so many bytes at a time, as texts are long: they and the executor
     beside them then hold a few megabytes of a table, not a tenth of a partition each."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -59,7 +59,7 @@ def small_batches(spark: SparkSession, rows: int = 2000, size: str = "16m") -> N
 
 
 def map_texts(docs: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType,
-              columns: tuple[str, ...] = ("doc_id", "text"), size: str = "16m") -> DataFrame:
+              columns: tuple[str, ...] = ("doc_id", "text"), size: str = "4m") -> DataFrame:
     """work over Arrow batches (of about `size`) of the named columns only: whatever else docs has cannot clash with the result."""
     small_batches(docs.sparkSession, size=size)
     return docs.select(*columns).mapInArrow(work, schema)

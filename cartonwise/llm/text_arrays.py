@@ -32,11 +32,20 @@ def _space_flags() -> np.ndarray:
     return flags
 
 
-@cache
+_KEPT_POWERS = 1 << 20
+_kept: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; size is a power of two, so few tables are kept."""
-    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, b, np.uint64), dtype=np.uint64)])
+    """Powers of the base and of its inverse, up to `size`. One table serves the usual sizes; a longer one is made anew and not
+    kept, so that a worker does not hold tables of the longest texts it has met."""
+    if size <= _KEPT_POWERS and _kept:
+        return tuple(table[:size + 1] for table in _kept[0])
+    made = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(size, _KEPT_POWERS), b, np.uint64), dtype=np.uint64)])
                  for b in (_BASE, pow(_BASE, -1, 2**64)))
+    if size <= _KEPT_POWERS:
+        _kept.append(made)
+    return tuple(table[:size + 1] for table in made)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -85,7 +94,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def texts_of(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts_of(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows whose texts have about most_bytes together, so that the
     arrays made from them stay small; one longer text comes alone and whole. A null text has no bytes."""
     column = column.cast(pa.large_binary())
