@@ -1,13 +1,19 @@
 """Repeated line runs, by prefix doubling over the corpus as sequences of line ids.
 
 The suffix at each line is ranked by its first line, then by its first 2, 4, 8 ... lines: the rank of a doubled window is the
-rank of the pair of its halves. Suffixes of one rank share that many lines: they are an interval of the suffix array whose
-longest common prefixes reach that far. Suffixes that are alone are in their final place and leave, so a round works only on
-the runs that are still repeated, and the rounds end when the longest repeated run is passed.
+rank of the pair of its halves. Suffixes of one rank are an interval of the suffix array, whose longest common prefix reaches
+that far. Suffixes that are alone are in their final place and leave, so a round works only on the runs that are still
+repeated, and the rounds end when the longest repeated run is passed.
+
+A maximal run of any length is the union of the windows that stand in intervals of these depths: a window as long as the
+greatest power of two within it starts where the run starts, another ends where it ends. Only runs too short for their windows to have
+the words that are asked for need depths of their own; these are ranked too, as pairs of a power of two and a rest.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,25 +49,34 @@ def _ranked(rows: DataFrame) -> DataFrame:
         *_PLACE, "rank", "words", (F.col("first") < F.struct(*_PLACE)).alias("later"))
 
 
-def repeated_windows(lines: DataFrame) -> DataFrame:
-    """Windows of 1, 2, 4 ... lines that stand in several places: place, length, words, later (not the first place)."""
-    found, length = None, 1
+def _joined(head: DataFrame, length: int, tail: DataFrame) -> DataFrame:
+    """Windows that begin as those of head, which have `length` lines, and go on as those of tail: place, a, b, words."""
+    after = tail.select(*_DOC, (F.col("seq") - length).alias("seq"), F.col("rank").alias("b"), F.col("words").alias("more"))
+    return head.join(after, _PLACE).select(*_PLACE, F.col("rank").alias("a"), "b", (F.col("words") + F.col("more")).alias("words"))
+
+
+def repeated_windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """Windows that stand in several places, of 1, 2, 4 ... lines and of every length up to min_words: place, length, words, later
+    (not the first place). A line has a word at least, so a longer run has windows of min_words words at its ends."""
     # Repeated rows of one text hold the same places.
-    suffixes = materialized(_ranked(lines.select(*_PLACE, "a", "b", "words")).dropDuplicates(_PLACE))
-    while not suffixes.isEmpty():
-        windows = suffixes.select(*_PLACE, F.lit(length).alias("length"), "words", "later")
-        found = windows if found is None else found.union(windows)
-        after = suffixes.select(*_DOC, (F.col("seq") - length).alias("seq"), F.col("rank").alias("b"), F.col("words").alias("more"))
-        pairs = suffixes.join(after, _PLACE).select(*_PLACE, F.col("rank").alias("a"), "b", (F.col("words") + F.col("more")).alias("words"))
-        suffixes, length = materialized(_ranked(pairs)), length * 2
-    return lines.select(*_PLACE, F.lit(0).alias("length"), "words", F.lit(False).alias("later")).where("false") if found is None else found
+    ranked = {1: materialized(_ranked(lines.select(*_PLACE, "a", "b", "words")).dropDuplicates(_PLACE))}
+    length = 1
+    while not ranked[length].isEmpty():
+        ranked[length * 2] = materialized(_ranked(_joined(ranked[length], length, ranked[length])))
+        length *= 2
+    for odd in range(3, min_words + 1):
+        head = 1 << (odd.bit_length() - 1)
+        if odd != head and head in ranked:
+            ranked[odd] = materialized(_ranked(_joined(ranked[head], head, ranked[odd - head])))
+    windows = [rows.select(*_PLACE, F.lit(n).alias("length"), "words", "later") for n, rows in ranked.items()]
+    return reduce(DataFrame.union, windows)
 
 
 def later_lines(docs: DataFrame, min_words: int = 3) -> DataFrame:
-    """doc_id, version, dropped: the numbers of a text's lines that lie in a later copy of a window of min_words words or
-    more. A copy is later if its doc_id, then version, then line number is greater."""
+    """doc_id, version, dropped: the numbers of a text's lines that lie in a later copy of a run, of any number of lines, with
+    min_words words or more. A copy is later if its doc_id, then version, then line number is greater."""
     lines = materialized(sequences(docs))
-    windows = repeated_windows(lines)
+    windows = repeated_windows(lines, min_words)
     ends = windows.where(F.col("later") & (F.col("words") >= min_words)).groupBy(*_PLACE).agg(
         F.max(F.col("seq") + F.col("length")).alias("end"))
     # Every line of a repeated window is itself a repeated window of one line.
@@ -112,21 +127,24 @@ def clean(docs: DataFrame, min_words: int = 3) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-with texts as (select distinct doc_id, text from documents where doc_id is not null and text is not null),
+with recursive texts as (select distinct doc_id, text from documents where doc_id is not null and text is not null),
 split as (select doc_id, text, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) - 1 as line
           from texts),
-seqs as (select doc_id, text, line, x, row_number() over (partition by doc_id, text order by line) as seq,
+seqs as (select doc_id, text, md5(text) as t, line, x, md5(x) as xh, row_number() over (partition by doc_id, text order by line) as seq,
                 len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) as words
          from split where regexp_matches(x, '[^\x20\x09-\x0D]')),
-arrays as (select doc_id, text, list(x order by seq) as xs, list(words order by seq) as ws, count(*) as n from seqs group by all),
-sizes as (select cast(pow(2, unnest(range(16))) as bigint) as length),
-windows as (select doc_id, text, s as seq, length, list_sum(ws[s:s + length - 1]) as words, md5(array_to_string(xs[s:s + length - 1], chr(10))) as h
-            from (select *, unnest(range(1, n + 1)) as s from arrays) a join sizes on s + length - 1 <= n),
-firsts as (select h, length, min(struct_pack(d := doc_id, s := seq)) as f from windows group by all),
-late as (select w.doc_id, w.text, w.seq, w.length from windows w join firsts using (h, length)
-         where (f.d, f.s) < (w.doc_id, w.seq) and w.words >= 3),
+runs as (  -- windows of every length that stand in several places, each a line longer than one before
+  select doc_id, t, seq, 1 as length, words, h, f from (
+    select doc_id, t, seq, words, xh as h, count(*) over (partition by xh) as n,
+           min(struct_pack(d := doc_id, s := seq)) over (partition by xh) as f from seqs) where n > 1
+  union all
+  select doc_id, t, seq, length, words, h, f from (
+    select r.doc_id, r.t, r.seq, r.length + 1 as length, r.words + q.words as words, md5(r.h || q.xh) as h,
+           count(*) over (partition by md5(r.h || q.xh)) as n, min(struct_pack(d := r.doc_id, s := r.seq)) over (partition by md5(r.h || q.xh)) as f
+    from runs r join seqs q on q.doc_id = r.doc_id and q.t = r.t and q.seq = r.seq + r.length) where n > 1),
+late as (select doc_id, t, seq, max(length) as length from runs where (f.d, f.s) < (doc_id, seq) and words >= 3 group by all),
 dropped as (select distinct q.doc_id, q.text, q.line from seqs q join late l
-            on q.doc_id = l.doc_id and q.text = l.text and q.seq between l.seq and l.seq + l.length - 1),
+            on q.doc_id = l.doc_id and q.t = l.t and q.seq between l.seq and l.seq + l.length - 1),
 kept as (select s.doc_id, s.text, count(*) as n_lines, count(d.line) as n_dropped,
                 coalesce(string_agg(case when d.line is null then s.x end, chr(10) order by s.line), '') as rest
          from split s left join dropped d on s.doc_id = d.doc_id and s.text = d.text and s.line = d.line group by all)

@@ -10,23 +10,21 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def plain(docs, min_words=3):
-    """By every window of 1, 2, 4 ... lines."""
+    """By every window of every length."""
     rows = {(i, t): t.split("\n") for i, t in docs if i is not None and t is not None}
     sequences = {key: [(n, x) for n, x in enumerate(text) if WORD.search(x)] for key, text in rows.items()}
     places = defaultdict(list)
     for (doc, text), own in sequences.items():
-        length = 1
-        while length <= len(own):
+        for length in range(1, len(own) + 1):
             for s in range(len(own) - length + 1):
-                places[tuple(x for _, x in own[s:s + length])].append((doc, text, s))
-            length *= 2
+                places[hash(tuple(x for _, x in own[s:s + length])), length].append((doc, text, s))
     dropped = defaultdict(set)
-    for window, found in places.items():
+    for (_, length), found in places.items():
         first = min((d, s) for d, _, s in found)
-        if sum(len(WORD.findall(x)) for x in window) >= min_words:
-            for doc, text, s in found:
-                if (doc, s) > first:
-                    dropped[doc, text] |= {n for n, _ in sequences[doc, text][s:s + len(window)]}
+        for doc, text, s in found if len(found) > 1 else ():
+            window = sequences[doc, text][s:s + length]
+            if (doc, s) > first and sum(len(WORD.findall(x)) for _, x in window) >= min_words:
+                dropped[doc, text] |= {n for n, _ in window}
     result = []
     for doc, text in docs:
         own = text.split("\n") if text is not None else []
@@ -49,6 +47,9 @@ def test_against_every_window(frame):
         docs = [(i, "\n".join(own.choices(["a", "b c", "d e f", "", " ", "g h", "i"], k=own.randint(0, 12)))) for i in range(25)]
         assert key(found(frame, docs)) == key(plain(docs))
     assert key(found(frame, docs, min_words=1)) == key(plain(docs, 1))
+    words = [(i, "\n".join(own.choices(["a", "b", "c", "d", "e f", "g"], k=own.randint(0, 25)))) for i in range(30)]
+    for least in (2, 3, 6, 7, 12):
+        assert key(found(frame, words, min_words=least)) == key(plain(words, least))
 
 
 def test_short_lines_go_only_with_their_run(frame):
@@ -56,8 +57,13 @@ def test_short_lines_go_only_with_their_run(frame):
     assert key(found(frame, docs)) == [(1, 4, 0, docs[0][1]), (2, 6, 4, "x\ny"), (3, 2, 0, docs[2][1])]
 
 
+def test_three_lines_of_one_word_each(frame):
+    docs = [(1, "x\none\ntwo\nthree\ny"), (2, "one\ntwo\nthree"), (3, "one\ntwo\nother"), (4, "z\nthree\none\ntwo\nthree")]
+    assert key(found(frame, docs)) == [(1, 5, 0, docs[0][1]), (2, 3, 3, ""), (3, 3, 0, docs[2][1]), (4, 5, 3, "z\nthree")]
+
+
 def test_odd_rows(frame):
-    long = "\n".join(f"line number {i}" for i in range(3000))
+    long = "\n".join(f"line number {i}" for i in range(300))
     docs = [(5, None), (6, ""), (7, "same line again\nsame line again\n\nsame line again"), (8, long), (9, long), (9, long), (None, long),
             (10, "one more line\r"), (11, "one more line")]
     assert key(found(frame, docs)) == key(plain(docs))
