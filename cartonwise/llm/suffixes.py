@@ -28,7 +28,7 @@ from cartonwise.llm.tables import discard, map_texts, released
 
 _BATCH = "4m"  # of texts or marks handed to a task's Python worker at a time
 _CHUNK = 1 << 19  # bytes of text whose arrays are held at a time
-_TOGETHER = 100_000  # contexts sorted at a time, and then the rest of the last key's
+_TOGETHER = 50_000  # contexts sorted at a time, and then the rest of the last key's
 _LAST = 2**63 - 1
 
 
@@ -171,7 +171,7 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
 
 
 def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes: int, window: int, most_marks: int) -> DataFrame:
-    """(bucket, key, context, doc, row_key, place, left, right) of every mark whose key is repeated.
+    """(key, context, doc, row_key, place, left, right) of every mark whose key is repeated; key holds the bucket too.
 
     Marks travel packed by batch and bucket, and meet the bucket's repeated keys, which come first, in one task. A bucket with
     over most_marks marks, which a hot key makes, is dealt over several tasks, each with the repeated keys."""
@@ -206,10 +206,10 @@ def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes:
                 near = np.minimum(np.searchsorted(known, found["keys"]), len(known) - 1)
                 own = np.flatnonzero(known[near] == found["keys"])
                 row, side = found["rows"][own], found["sides"][own].astype(np.int32)
-                columns = [np.full(len(own), bucket, np.int64), found["keys"][own].astype(np.int64), found["contexts"][own], found["docs"][row],
-                           found["row_keys"][row], found["places"][own].astype(np.int64), side >> 16, side & 0xFFFF]
+                columns = [bucket << 32 | found["keys"][own].astype(np.int64), found["contexts"][own], found["docs"][row], found["row_keys"][row],
+                           found["places"][own].astype(np.int32), side >> 16, side & 0xFFFF]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
-                                                 ["bucket", "key", "context", "doc", "row_key", "place", "left", "right"])
+                                                 ["key", "context", "doc", "row_key", "place", "left", "right"])
 
     deals = F.ceil(F.col("marks") / most_marks).cast("int")
     hot = materialized(repeated.where(F.col("marks") > most_marks).select("bucket", deals.alias("deals")))
@@ -219,13 +219,13 @@ def _occurrences(texts: DataFrame, repeated: DataFrame, buckets: int, key_bytes:
         "bucket", (F.pmod("batch", F.coalesce("deals", F.lit(1))) + 1).cast("int").alias("deal"), F.lit(False).alias("first"), "data")
     dealt = keys.unionByName(sent).repartition("bucket", "deal").sortWithinPartitions("bucket", "deal", F.desc("first"))
     return dealt.select("bucket", "first", "data").mapInArrow(
-        flat, "bucket long, key long, context long, doc long, row_key long, place long, left int, right int")
+        flat, "key long, context long, doc long, row_key long, place int, left int, right int")
 
 
-_CONTEXT = "bucket long, key long, context long, doc long, last long, left int, right int, hot boolean"
+_CONTEXT = "key long, context long, doc long, several boolean, hot boolean, left int, right int"
 
 
-def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _contexts(texts: DataFrame, wanted: DataFrame, key_bytes: int) -> DataFrame:
     """The bytes of each wanted context, cut from the first row that has it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,14 +233,13 @@ def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             for text, asked in zip(batch.column(0), batch.column(1)):
                 data = text.as_py().encode()
                 own = pa.RecordBatch.from_struct_array(asked.values)
-                starts = own.column("start").to_pylist()
-                sizes = own.column("size").to_pylist()
-                content = pa.array([data[s:s + n] for s, n in zip(starts, sizes)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*own.columns[:-2], content], [*own.schema.names[:-2], "bytes"])
+                places, left, right = (own.column(c).to_pylist() for c in ("place", "left", "right"))
+                content = pa.array([data[p - x:p + key_bytes + y] for p, x, y in zip(places, left, right)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], content], [*own.schema.names[:-1], "bytes"])
 
     one = texts.groupBy("row_key").agg(F.any_value("text").alias("text"))  # repeated rows are one text
     names = [c.split()[0] for c in _CONTEXT.split(", ")]
-    lists = wanted.groupBy("row_key").agg(F.collect_list(F.struct(*names, "start", "size")).alias("asked"))  # of one text
+    lists = wanted.groupBy("row_key").agg(F.collect_list(F.struct(*names, "place")).alias("asked"))  # of one text
     return one.join(lists, "row_key").select("text", "asked").mapInArrow(cut, f"{_CONTEXT}, bytes binary")
 
 
@@ -295,11 +294,11 @@ def least_documents(contents: pa.Array, left: np.ndarray, doc: np.ndarray, key_b
     return least
 
 
-_RUNS = "bucket long, key long, context long, runs array<struct<low: int, high: int, first: long>>"
+_RUNS = "key long, context long, runs array<struct<low: int, high: int, first: long>>"
 
 
 def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -> DataFrame:
-    """(bucket, key, context, runs): for the bytes taken before the key from low up to high, the least document of the window. Runs
+    """(key, context, runs): for the bytes taken before the key from low up to high, the least document of the window. Runs
     that no document of this context is later than are left out. A key's contexts are sorted together, in one task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,9 +310,7 @@ def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             key = table["key"].to_numpy()
-            bucket = table["bucket"].to_numpy()
-            # Up to the last key, of which more may come.
-            end = int(np.flatnonzero((key != key[-1]) | (bucket != bucket[-1])).max(initial=-1)) + 1
+            end = int(np.flatnonzero(key != key[-1]).max(initial=-1)) + 1  # of the last key more may come
             if end:
                 yield runs(table.slice(0, end))
                 held, count = table.slice(end).to_batches(), len(key) - end
@@ -322,7 +319,7 @@ def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -
 
     def runs(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        left, doc, last = (table[c].to_numpy() for c in ("left", "doc", "last"))
+        left, doc, several = (table[c].to_numpy() for c in ("left", "doc", "several"))
         contents = table["bytes"].combine_chunks()
         contents = contents if isinstance(contents, pa.Array) else pa.concat_arrays(contents.chunks)
         least = least_documents(contents, left.astype(np.int64), doc, key_bytes, window)
@@ -331,27 +328,27 @@ def _resolved(contexts: DataFrame, key_bytes: int, window: int, together: int) -
         high = np.concatenate([low[1:], [0]]) - 1
         high[high < low] = window - key_bytes  # the last run of a context
         first = least[row, low]
-        of_use = first < last[row]
+        of_use = (first < doc[row]) | (first == doc[row]) & several[row]
         row, low, high, first = row[of_use], low[of_use], high[of_use], first[of_use]
         kept = np.unique(row)
         struct = pa.StructArray.from_arrays([pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(first)], ["low", "high", "first"])
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([np.searchsorted(row, kept), [len(row)]]), pa.int32()), struct)
-        taken = [table[c].combine_chunks().take(pa.array(kept)) for c in ("bucket", "key", "context")]
+        taken = [table[c].combine_chunks().take(pa.array(kept)) for c in ("key", "context")]
         return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in taken] + [lists],
-                                          ["bucket", "key", "context", "runs"])
+                                          ["key", "context", "runs"])
 
-    dealt = contexts.repartition("bucket", "key").sortWithinPartitions("bucket", "key")
-    return dealt.select("bucket", "key", "context", "doc", "last", "left", "bytes").mapInArrow(work, _RUNS)
+    dealt = contexts.repartition("key").sortWithinPartitions("key")
+    return dealt.select("key", "context", "doc", "several", "left", "bytes").mapInArrow(work, _RUNS)
 
 
 def _resolved_by_window(contexts: DataFrame, key_bytes: int, window: int) -> DataFrame:
     """The same for keys with too many contexts for one task: every window of them is grouped by its bytes."""
     taken = F.sequence(F.greatest(F.lit(0), F.lit(window - key_bytes) - F.col("right")), F.least(F.col("left"), F.lit(window - key_bytes)))
-    each = contexts.select("bucket", "key", "context", "doc", "last", "left", "bytes", F.explode(taken).alias("low"))
+    each = contexts.select("key", "context", "doc", "several", "left", "bytes", F.explode(taken).alias("low"))
     each = each.withColumn("window", F.expr(f"substring(bytes, left - low + 1, {window})"))
     least = each.groupBy("window").agg(F.min("doc").alias("first"))
-    known = each.join(least, "window").where("first < last")
-    return known.groupBy("bucket", "key", "context").agg(F.collect_list(F.struct("low", F.col("low").alias("high"), "first")).alias("runs"))
+    known = each.join(least, "window").where("first < doc or first = doc and several")
+    return known.groupBy("key", "context").agg(F.collect_list(F.struct("low", F.col("low").alias("high"), "first")).alias("runs"))
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -402,19 +399,19 @@ def remove_repeats(docs: DataFrame, window: int = 50, key_bytes: int = 16, bucke
         found = materialized(_occurrences(texts, repeated, buckets, key_bytes, window, most_marks))
         # The place of a context's bytes: any row's, and all of it from the same row.
         place = [F.first(c).alias(c) for c in ("row_key", "place", "left", "right")]
-        different = materialized(found.groupBy("bucket", "key", "context").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), *place))
-        hot = materialized(different.groupBy("bucket", "key").count().where(F.col("count") > most_contexts).select("bucket", "key", F.lit(True).alias("hot")))
-        marked = different.join(hot, ["bucket", "key"], "left").withColumns({
-            "hot": F.coalesce("hot", F.lit(False)), "start": F.col("place") - F.col("left"), "size": F.col("left") + key_bytes + F.col("right")})
+        several = (F.min("doc") < F.max("doc")).alias("several")
+        different = materialized(found.groupBy("key", "context").agg(F.min("doc").alias("doc"), several, *place))
+        hot = materialized(different.groupBy("key").count().where(F.col("count") > most_contexts).select("key", F.lit(True).alias("hot")))
+        marked = different.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
         discard(repeated)
-        contexts = materialized(_contexts(texts, marked))
+        contexts = materialized(_contexts(texts, marked, key_bytes))
         discard(different)
         resolved = materialized(_resolved(contexts.where("not hot"), key_bytes, window, together).unionByName(
             _resolved_by_window(contexts.where("hot"), key_bytes, window)))
         discard(contexts, hot)
         later = F.filter("runs", lambda r: r["first"] < F.col("doc"))
         spans = F.transform(later, lambda r: F.struct((F.col("place") - r["high"]).alias("start"), (F.col("place") - r["low"] + window).alias("end")))
-        ranges = found.join(resolved, ["bucket", "key", "context"]).select("row_key", F.explode(spans).alias("span"))
+        ranges = found.join(resolved, ["key", "context"]).select("row_key", F.explode(spans).alias("span"))
         removed = materialized(ranges.groupBy("row_key").agg(F.collect_set("span").alias("removed")))  # of one text
         discard(found, resolved)
     rows = texts.join(removed, "row_key", "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "removed")
