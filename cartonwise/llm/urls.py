@@ -1,8 +1,9 @@
 """URL filter by association rules.
 
-Spark's FP-growth mines which URL tokens go together with a label. Rules under a confidence or support are pruned, and so are
+Tokens that stand in the same labelled URLs always apply together, so they are one item. Spark's FP-growth mines which items
+go together with a label. Rules under a confidence or support are pruned, and so are
 rules that a shorter one implies. The rest is an inverted index: a rule is filed under its rarest token, a URL looks up its
-own tokens there, and the rules whose other tokens the URL has too apply.
+own items there, and the rules whose other items the URL has too apply.
 """
 
 from __future__ import annotations
@@ -74,21 +75,44 @@ def url_tokens(host: Column, path: Column, query: Column) -> Column:
     return F.array_distinct(F.concat(hosts, paths, keys))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8,
+def same_tokens(labelled: DataFrame) -> DataFrame:
+    """(token, item, count): the tokens of rows (tokens, label), and for each the first of those that stand in the same rows. Rows
+    are told apart by a hash of what they hold, which is all that decides which tokens they have."""
+    rows = labelled.select("tokens", F.xxhash64(F.array_sort("tokens"), "label").alias("row"))
+    each = rows.select(F.explode("tokens").alias("token"), "row")
+    found = each.groupBy("token").agg(F.count("*").alias("count"), F.bit_xor("row").alias("xor"),
+                                      F.sum(F.pmod("row", F.lit(2**31 - 1))).alias("sum"))
+    items = found.groupBy("count", "xor", "sum").agg(F.min("token").alias("item"))
+    return found.join(items, ["count", "xor", "sum"]).select("token", "item", "count")
+
+
+def items_of(sets: DataFrame, same: DataFrame) -> DataFrame:
+    """(tokens, items, own) of different token sets: their tokens as items, those that no labelled row has left out, and which
+    token stands for which item. A set has as many as its URL has tokens."""
+    each = sets.select("tokens", F.explode("tokens").alias("token"))
+    return each.join(same.select("token", "item"), "token").groupBy("tokens").agg(
+        F.collect_set("item").alias("items"), F.collect_set(F.struct("item", "token")).alias("own"))
+
+
+def mine_rules(labelled: DataFrame, same: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8,
                common_share: float = 0.95) -> DataFrame:
-    """(rule_tokens, verdict, confidence, support, anchor, anchor_count) from rows (tokens, label). Tokens in over
-    common_share of the rows tell nothing and are left out. There are at most t over k of t tokens, divided by min_support,
-    item sets of k tokens, whatever the number of rows. No labelled row: no rule."""
+    """(rule_tokens, verdict, confidence, support, anchor, anchor_count) from rows (tokens, label) and their same_tokens.
+
+    A rule holds for any token of its items; rule_tokens names the first one of each. Items in over common_share of the rows
+    tell nothing and are left out. A long URL's many tokens that no other labelled URL has, or that only URLs of the same path
+    have, are one item; the number of item sets is exponential only in items that go together in some rows and not in others.
+    No labelled row: no rule."""
     spark = labelled.sparkSession
     empty = "rule_tokens array<string>, verdict string, confidence double, support double, anchor string, anchor_count long"
-    labelled = materialized(labelled.where(F.col("label").isNotNull()).select("tokens", "label"))
     total = labelled.count()
     if not total:
         return spark.createDataFrame([], empty)
-    counts = materialized(labelled.select(F.explode("tokens").alias("token")).groupBy("token").count())
-    common = [r.token for r in counts.where(F.col("count") > common_share * total).collect()]  # bounded: t / common_share
-    tokens = F.array_except("tokens", F.lit(common).cast("array<string>")) if common else F.col("tokens")
-    baskets = labelled.select(F.concat(tokens, F.array(F.concat(F.lit("label:"), "label"))).alias("items"))
+    counts = same.where(F.col("token") == F.col("item")).select("token", "count")
+    telling = same.join(counts.where(F.col("count") <= common_share * total).select(F.col("token").alias("item")), "item", "left_semi")
+    sets = items_of(labelled.select("tokens").distinct(), telling)
+    mapped = labelled.join(sets.withColumnRenamed("tokens", "_tokens"), (F.xxhash64("tokens") == F.xxhash64("_tokens")) & (F.col("tokens") == F.col("_tokens")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    baskets = materialized(mapped.select(F.concat(items, F.array(F.concat(F.lit("label:"), "label"))).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent")[0].startswith("label:")).where(
         ~F.exists("antecedent", lambda x: x.startswith("label:")))
@@ -113,7 +137,8 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence:
 def judge_urls(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
                list_rules: tuple[ListRule, ...] = LIST_RULES, min_support: float = 0.002, min_confidence: float = 0.8,
                default: str = ALLOW) -> DataFrame:
-    """One row for each row of pages: its id, host, path, list rule, verdict, mined rule and confidence.
+    """One row for each row of pages: its id, host, path, list rule, verdict, mined rule (the URL's
+    own tokens that stand for the rule's) and confidence.
 
     The pages that a list rule fits are the labelled ones; what is mined from them judges the others: the applying rule of
     the highest confidence, then support, then fewest tokens, then last in order, decides, and `default` where none applies. URLs with
@@ -127,13 +152,16 @@ def judge_urls(pages: DataFrame, id_column: str = "page_id", url_column: str = "
     parsed = parsed.select("page_id", "host", "path", url_tokens(F.col("host"), F.col("path"), F.col("query")).alias("tokens"),
                            list_rule(F.col("host"), F.col("path"), list_rules).alias("listed"))
     parsed = materialized(parsed)
-    rules = mine_rules(parsed.select("tokens", F.col("listed.verdict").alias("label")), min_support, min_confidence)
+    labelled = parsed.where("listed is not null").select("tokens", F.col("listed.verdict").alias("label"))
+    same = materialized(same_tokens(labelled))
+    rules = mine_rules(labelled, same, min_support, min_confidence)
 
-    sets = parsed.where("listed is null").select("tokens").distinct()
-    hits = (sets.select("tokens", F.explode("tokens").alias("anchor")).join(rules, "anchor")
-            .where(F.size(F.array_except("rule_tokens", "tokens")) == 0))
+    sets = items_of(parsed.where("listed is null").select("tokens").distinct(), same)
+    hits = (sets.select("tokens", "items", "own", F.explode("items").alias("anchor")).join(rules, "anchor")
+            .where(F.size(F.array_except("rule_tokens", "items")) == 0))
     best = hits.groupBy("tokens").agg(F.max_by(
-        F.struct("verdict", "confidence", "rule_tokens"),
+        F.struct("verdict", "confidence", F.sort_array(F.transform(F.filter("own", lambda o: F.array_contains("rule_tokens", o["item"])),
+                                                                   lambda o: o["token"])).alias("rule_tokens")),
         F.struct("confidence", "support", -F.size("rule_tokens"), "rule_tokens")).alias("mined"))
     judged = parsed.join(best.withColumnRenamed("tokens", "_tokens"),
                          F.col("listed").isNull() & (F.xxhash64("tokens") == F.xxhash64("_tokens"))

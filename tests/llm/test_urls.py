@@ -46,8 +46,27 @@ def test_rules_against_brute_force(spark, frame):
     host, path, query = urls.url_host(pages.url), urls.url_path(pages.url), urls.url_query(pages.url)
     rows = pages.select(urls.url_tokens(host, path, query).alias("tokens"), urls.list_rule(host, path).verdict.alias("label"))
     known = [(set(r.tokens), r.label) for r in rows.collect() if r.label]
-    rules = urls.mine_rules(rows, min_support=0.02).collect()
+    labelled = rows.where("label is not null")
+    same = urls.same_tokens(labelled)
+    rules = urls.mine_rules(labelled, same, min_support=0.02).collect()
     assert rules
+    holders = {}
+    for place, (tokens, _) in enumerate(known):
+        for token in tokens:
+            holders.setdefault(token, set()).add(place)
+    items = {r.token: r.item for r in same.collect()}
+    assert items == {t: min(o for o in holders if holders[o] == holders[t]) for t in holders}
+    # All of them: every set of up to two items that passes the limits is a rule, or a shorter one says the same.
+    own = {t for t in items.values() if len(holders[t]) <= 0.95 * len(known)}
+    told = {(frozenset(r.rule_tokens), r.verdict): r.confidence for r in rules}
+    for a in own:
+        for b in own:
+            rows_of_both = holders[a] & holders[b]
+            for verdict in ("allow", "block"):
+                right = sum(known[i][1] == verdict for i in rows_of_both)
+                if right / len(known) >= 0.02 and right >= 0.8 * len(rows_of_both):
+                    subsets = [frozenset(s) for s in ({a}, {b}, {a, b})]
+                    assert max(told.get((s, verdict), 0) for s in subsets) >= right / len(rows_of_both) - 1e-9
     for rule in rules:
         covered = [label for tokens, label in known if tokens >= set(rule.rule_tokens)]
         right = covered.count(rule.verdict)
@@ -55,6 +74,17 @@ def test_rules_against_brute_force(spark, frame):
         assert not [r for r in rules if set(r.rule_tokens) < set(rule.rule_tokens) and r.verdict == rule.verdict and r.confidence >= rule.confidence]
 
 
+def test_long_urls(frame):
+    """Paths of 40 segments, shared by many pages or by none: 2 to the power of 40 item sets, but few items."""
+    shared, own = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)), [f"k{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)]
+    pages = [(i, f"http://w{i}.com/de/{shared}/{i}") for i in range(30)] + [(100 + i, f"http://w{i}.org/fr/{i}") for i in range(30)]
+    pages += [(200, "http://long.org/" + "/".join(own)), (300, f"http://x.net/{shared}"), (301, "http://y.net/saa"), (302, "http://z.net/kaa/kba"),
+              (303, "http://x.net/" + "segment/" * 50_000)]
+    found = {r.page_id: r for r in urls.judge_urls(frame(pages, "page_id long, url string")).collect()}
+    assert len(found) == len(pages) and found[300].verdict == found[301].verdict == "block" and found[302].verdict == "allow"
+    assert found[301].mined_rule == ["path:saa"] and len(found[300].mined_rule) == 40 and found[303].verdict == "allow"
+
+
 def test_empty_repeated_and_clashing(spark, frame):
     assert urls.judge_urls(frame([], "page_id long, url string")).count() == 0
     rows = urls.judge_urls(frame([(1, "http://q.net/"), (1, "http://q.net/"), (None, None)], "page_id long, url string").selectExpr(
