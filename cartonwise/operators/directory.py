@@ -14,7 +14,7 @@ from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import matching_key
 from cartonwise.operators.facts import in_months
 from cartonwise.operators.filters import contains, named_like, not_blank
-from cartonwise.operators.numbering import number_rows, sort_columns
+from cartonwise.operators.numbering import number_names
 from cartonwise.operators.summary import joined_emails
 
 SEARCH_LIMIT = 20
@@ -44,7 +44,7 @@ def supplier_directory(countries: DataFrame, contacts: DataFrame, rules: Rules)
     both = known.join(emails, F.col("_key") == F.col("supplier_name"), "full_outer")
     listed = both.select(F.coalesce("name", "supplier_name").alias("name"), F.coalesce("emails", F.lit("")).alias("emails"),
                          "region", F.lower(F.coalesce("name", "supplier_name")).alias("_by"))
-    numbered = number_rows(listed, sort_columns([("_by", True), ("name", True)]), "position")
+    numbered = number_names(listed, [("_by", True), ("name", True)], "position")
     return numbered.select("position", "name", "emails", "region")
 
 

@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartonwise.config import Rules
+from cartonwise.config import Rules, materialized
 from cartonwise.functions.dates import month_grid, shift_month
 from cartonwise.functions.numbers import heat_band, mean_of_rounded, percent, rounded
 from cartonwise.functions.text import joined, matching_key
 from cartonwise.operators.facts import facts, first_day, in_months, total
 from cartonwise.operators.filters import named_like
-from cartonwise.operators.numbering import number_list, number_rows, sort_columns
+from cartonwise.operators.numbering import number_list, number_names
 from cartonwise.operators.rates import rates
 from cartonwise.operators.supplier import densified
 
@@ -55,7 +55,7 @@ def supplier_trend(rows: DataFrame, month: dt.date, rules: Rules, history: DataF
 
 def numbered_suppliers(trend: DataFrame, text: str = "") -> DataFrame:
     """Suppliers of the yearly grid numbered by name; those a search leaves keep their numbers."""
-    numbered = number_rows(trend.select("supplier").distinct(), sort_columns([("supplier", True)]))
+    numbered = number_names(trend.select("supplier").distinct(), [("supplier", True)])
     return named_like(numbered, text.strip())
 
 
@@ -97,6 +97,7 @@ def top_suppliers(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     rated = grouped.withColumn("raw", percent(F.col("compliant"), F.col("reflected_lines")))
     listed = rated.where(F.col("raw") >= rules.top_rate)
     shown = listed.withColumn("rate", rounded(F.col("raw")))
+    shown = materialized(shown)  # a short list, used twice; several distinct counts keep Spark from seeing that both are one
     return number_list(shown, ("raw", False), [("reflected_lines", False), ("supplier", True)]).drop("raw", "compliant")
 
 
@@ -127,7 +128,7 @@ def follow_up(lines: DataFrame, month: dt.date, rules: Rules) -> DataFrame:
     shown = listed.select(
         "*", rounded(raws[0]).alias("rate"), rounded(raws[1]).alias("prev_1"), rounded(raws[2]).alias("prev_2"),
         rounded(F.col("raw_avg")).alias("avg_3month"))
-    numbered = number_list(shown, ("raw_avg", True), [("raw_0", True), ("supplier", True)])
+    numbered = number_list(materialized(shown), ("raw_avg", True), [("raw_0", True), ("supplier", True)])
     return numbered.drop("raw_0", "raw_1", "raw_2", "raw_avg")
 
 

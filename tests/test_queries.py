@@ -51,6 +51,26 @@ def test_only_needed_tables_and_columns_are_read(spark):
     assert "orders" not in read and "part" not in read
 
 
+def executed(df):
+    """The lines of the plan that ran, subqueries included, without the plans that adaptive execution started from."""
+    df.collect()
+    kept, skipped = [], None
+    for row in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(row) - len(row.lstrip(" :+-"))
+        if skipped is not None and depth >= skipped:
+            continue
+        skipped = depth if "== Initial Plan ==" in row else None
+        kept.append(row)
+    return kept
+
+
+@pytest.mark.parametrize("name, times", [("top_suppliers", 0), ("follow_up", 0),  # lists that are kept when they are built
+                                         ("country_bars", 1), ("supplier_directory", 1),
+                                         ("country_order", 2), ("yearly_search", 2)])  # grids look for the first day once more
+def test_numbered_lists_read_the_lines_once(spark, name, times):
+    assert sum("FileScan parquet [l_" in row for row in executed(QUERIES[name](spark, FOLDER))) == times
+
+
 def test_month_filter_reaches_the_scan(spark, capsys):
     QUERIES["supplier_kpis"](spark, FOLDER).explain("formatted")
     plan = capsys.readouterr().out
