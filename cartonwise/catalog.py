@@ -350,6 +350,10 @@ def supplier_json(spark, folder):
     return supplier_report.report_items(tables.read_lines(spark, folder), MONTH, rules_for(spark, folder))
 
 
+TRANSACTION_FIELDS = ("factory", "destination_po", "kimball", "description", "po_qty", "handover_text", "updated_text", "approved_text", "carton_size",
+                      "packaging_status", "compliance_status")
+
+
 @query
 def report_fan_out(spark, folder):
     items = supplier_report.report_items(tables.read_lines(spark, folder), MONTH, rules_for(spark, folder),
@@ -357,11 +361,22 @@ def report_fan_out(spark, folder):
     path = scratch_path(spark, "reports")
     supplier_report.write_reports(items, path)
     written = supplier_report.read_reports(spark, path).select("region", "supplier", "section", "item")
-    moves = written.where("section = 'transactions'").groupBy("region", "supplier", "section").agg(
-        F.count("*").cast("string").alias("item"))
+    fields = F.from_json("item", ", ".join(f"{f} string" for f in TRANSACTION_FIELDS))
+    moves = written.where("section = 'transactions'").withColumn("f", fields).select(
+        "region", "supplier", "section", F.concat_ws("|", *(F.col(f"f.{f}") for f in TRANSACTION_FIELDS)).alias("item"))
     return written.where("section <> 'transactions'").unionByName(moves)
 
 
+@query
+def report_failures(spark, folder):
+    """Reports of which a section cannot be made for some suppliers: what became of each, after the others were written."""
+    lines = tables.read_lines(spark, folder)
+    checked = in_months(lines, MONTH, MONTH).groupBy("supplier").agg(F.count("*").alias("lines")).withColumn(
+        "lines", F.when(F.col("supplier").endswith("013"), F.raise_error(F.lit("not to be counted"))).otherwise(F.col("lines")))
+    parts = supplier_report.report_parts(lines, MONTH, rules_for(spark, folder), more={"checked": checked})
+    return supplier_report.write_each_report(parts, scratch_path(spark, "reports")).select("supplier", "status", "items", "failed_sections")
+
+
 # --- functions ----------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@
     python -m cartonwise.jobs --home DIR set-contact SUPPLIER ADDRESSES
     python -m cartonwise.jobs --home DIR export-contacts FOLDER
     python -m cartonwise.jobs --home DIR supplier-reports|extract [--month 2026-05] [--suppliers NAME...]
-    python -m cartonwise.jobs --home DIR summary|kpi|all-supplier-data [--month 2026-05]
+    python -m cartonwise.jobs --home DIR summary|kpi|all-supplier-data|retry-reports [--month 2026-05]
 
 DIR holds the line store, what is published of it by month, the contacts, the aliases and, per month, the output; any file
 system Spark reaches will do.
@@ -27,7 +27,7 @@ from cartonwise.functions.dates import shift_month
 from cartonwise.operators.directory import supplier_countries, supplier_directory
 from cartonwise.operators.kpi import latest_month
 from cartonwise.plans.month_summary import kpi_report, month_summary
-from cartonwise.plans.supplier_report import report_items, write_reports
+from cartonwise.plans.supplier_report import REPORT_STATUS, report_parts, write_each_report
 from cartonwise.schema import ALIASES, CONTACTS
 from cartonwise.sources import contacts, extracts
 from cartonwise.sources.journal import Journal, read_table
@@ -125,10 +125,30 @@ class Home:
         contacts.contacts_sheet(listed).write.mode("overwrite").option("header", True).csv(folder)
 
     def supplier_reports(self, month: dt.date, suppliers: DataFrame | None = None) -> DataFrame:
-        """One folder per supplier; a run for some suppliers does not touch the full run's output."""
-        items = report_items(self.published.lines, month, self.rules, suppliers, with_transactions=True, firsts=self.published.firsts)
+        """One folder per supplier; a run for some suppliers does not touch the full run's output. A supplier whose report fails
+        stops no other; returns the status of each report, which is kept for `retry_reports`."""
         name = "Supplier_Reports" if suppliers is None else "Selected_Supplier_Reports"
-        return write_reports(items, self.folder(month, name))
+        return self._report(month, name, suppliers, True)
+
+    def retry_reports(self, month: dt.date) -> DataFrame:
+        """Make the reports again that were not written whole by the last full run of the month."""
+        status = materialized(read_table(self.spark, self._status(month), REPORT_STATUS))
+        done = status.where("status = 'Written'")
+        again = self._report(month, "Supplier_Reports", status.where("status <> 'Written'").select("supplier"), False)
+        return self._kept_status(month, done.unionByName(again))
+
+    def _report(self, month: dt.date, name: str, suppliers: DataFrame | None, replace_all: bool) -> DataFrame:
+        parts = report_parts(self.published.lines, month, self.rules, suppliers, with_transactions=True, firsts=self.published.firsts)
+        status = write_each_report(parts, self.folder(month, name), replace_all)
+        return self._kept_status(month, status) if suppliers is None else materialized(status)
+
+    def _kept_status(self, month: dt.date, status: DataFrame) -> DataFrame:
+        status = materialized(status)
+        status.write.mode("overwrite").parquet(self._status(month))
+        return status
+
+    def _status(self, month: dt.date) -> str:
+        return self.folder(month, "Supplier_Reports_status")
 
     def summary(self, month: dt.date) -> list[str]:
         tables = month_summary(self.published.lines, self.contacts(), month, self.rules)
@@ -181,7 +201,7 @@ def _parser() -> argparse.ArgumentParser:
     jobs.add_parser("export-contacts").add_argument("folder")
     jobs.add_parser("clear")
     jobs.add_parser("recover")
-    for name in ("supplier-reports", "summary", "kpi", "extract", "all-supplier-data"):
+    for name in ("supplier-reports", "summary", "kpi", "extract", "all-supplier-data", "retry-reports"):
         monthly = jobs.add_parser(name)
         monthly.add_argument("--month", type=_month, help="YYYY-MM; the newest month with data if left out")
         if name in ("supplier-reports", "extract"):
@@ -217,7 +237,8 @@ def main(arguments: list[str] | None = None) -> None:
             options["suppliers"] = spark.createDataFrame([(s,) for s in asked.suppliers], "supplier string")
         result = getattr(home, asked.job.replace("-", "_"))(month, **options)
         if isinstance(result, DataFrame):
-            print(result.count(), "reports in", home.path)
+            counts = {r.status: r["count"] for r in result.groupBy("status").count().collect()}
+            print(counts.pop("Written", 0), "reports in", home.path, *(f"({n} {status.lower()})" for status, n in counts.items()))
         else:
             print(*([result] if isinstance(result, str) else result), sep="\n")
     remove_scratch(spark)

@@ -556,8 +556,12 @@ def oracle_sql() -> dict[str, str]:
       AS position, handover_date, supplier, destination_po, kimball FROM lines""")
     q["supplier_json"] = _documents(q)
     q["report_fan_out"] = f"""{q["supplier_json"]}
-      UNION ALL SELECT region, supplier, 'transactions', CAST(count(*) AS VARCHAR) FROM (
-        SELECT m.supplier, f.region FROM m JOIN folders f USING (supplier)) GROUP BY ALL"""
+      UNION ALL SELECT region, supplier, 'transactions', concat_ws('|', factory, destination_po, kimball, description, po_qty,
+        handover_text, updated_text, approved_text, carton_size, packaging_status, compliance_status)
+      FROM ({q["transaction_list"]}) JOIN folders USING (supplier)"""
+    q["report_failures"] = f"""SELECT supplier, CASE WHEN supplier LIKE '%013' THEN 'Incomplete' ELSE 'Written' END AS status,
+      count(*) + CASE WHEN supplier LIKE '%013' THEN 0 ELSE 1 END AS items,
+      CASE WHEN supplier LIKE '%013' THEN 'checked' END AS failed_sections FROM ({q["supplier_json"]}) GROUP BY supplier"""
     q["month_summary_tables"] = _bundle(q, SUMMARY_TABLES)
     q["kpi_report_tables"] = _bundle(q, KPI_TABLES)
     return q

@@ -8,12 +8,14 @@ third of all lines, or a long transaction list, is spread like any other data.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cartonwise.config import Rules, materialized
+from cartonwise.config import Rules, materialized, remove
 from cartonwise.functions.numbers import rate_band
 from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import file_safe
@@ -60,30 +62,111 @@ def report_sections(lines: DataFrame, base: DataFrame, firsts: DataFrame | None,
     return sections
 
 
-def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None,
-                 with_transactions: bool = False, firsts: DataFrame | None = None) -> DataFrame:
-    """region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it. A series starts at
-    its supplier's first month, which takes all months' lines to know: pass the published first months instead."""
+def report_parts(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None, with_transactions: bool = False,
+                 firsts: DataFrame | None = None, more: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Section name -> region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it, `more` adds
+    sections, tables with a supplier column. A series starts at its supplier's first month, which takes all months' lines to
+    know: pass the published first months instead."""
     base = materialized(rollup(in_months(lines.drop("approved_by"), month, month), "lines", "compliant",
                                "non_compliant", "approved", "approved_qty", "board"))
     regions = report_regions(base, rules)
     if suppliers is not None:
         regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")
     # Ranks compare all suppliers, so the selection is applied to the items, not to the lines.
-    sections = report_sections(lines, base, firsts, month, rules, with_transactions)
-    items = reduce(DataFrame.unionByName, (
-        df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
-        for name, df in sections.items()))
-    return items.join(regions, "supplier").select("region", "supplier", "section", "item")
+    sections = report_sections(lines, base, firsts, month, rules, with_transactions) | (more or {})
+    return {name: df.select("supplier", F.lit(name).alias("section"), to_item(df, skip=("supplier",)).alias("item"))
+            .join(regions, "supplier").select("region", "supplier", "section", "item") for name, df in sections.items()}
+
+
+def report_items(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None,
+                 with_transactions: bool = False, firsts: DataFrame | None = None) -> DataFrame:
+    """region, supplier, section, item of all sections."""
+    return reduce(DataFrame.unionByName, report_parts(lines, month, rules, suppliers, with_transactions, firsts).values())
+
+
+_HASHES = 1 << 31
+
+
+def _hash() -> Column:
+    return F.pmod(F.xxhash64("supplier"), F.lit(_HASHES))
+
+
+def isolated(suppliers: DataFrame, attempt: Callable[[Column], None], most_failures: int) -> list[tuple[str, Exception]]:
+    """attempt(condition) for all suppliers at once; where it fails, for each half of them, down to the suppliers at fault, which
+    are returned with their errors. Halves are ranges of a hash of the name, so no list of suppliers is held. With more than
+    most_failures suppliers at fault the error is not theirs, and is raised."""
+    failed: list[tuple[str, Exception]] = []
+
+    def run(low: int, high: int) -> None:
+        part = (_hash() >= low) & (_hash() < high)
+        try:
+            attempt(part)
+            return
+        except Exception as error:
+            found = suppliers.where(part).select("supplier").distinct().limit(2).collect()
+            if len(found) == 2 and high - low > 1:
+                cause = None
+            elif len(failed) < most_failures:
+                failed.extend((r.supplier, error) for r in found)
+                return
+            else:
+                cause = error
+        if cause is not None:
+            raise cause
+        middle = (low + high) // 2
+        run(low, middle)
+        run(middle, high)
+
+    run(0, _HASHES)
+    return failed
 
 
 def write_reports(items: DataFrame, folder: str) -> DataFrame:
     """Write the items as JSON lines under region=/supplier_file=; returns the items per report. A supplier with very
     many items gets several files instead of one long task."""
+    _write(items, folder, "static")
+    return read_reports(items.sparkSession, folder).groupBy("region", "supplier_file").agg(F.count("*").alias("items"))
+
+
+def _write(items: DataFrame, folder: str, replaced: str) -> None:
     named = items.withColumn("supplier_file", file_safe(F.col("supplier")))
     spread = named.hint("rebalance", "region", "supplier_file")
-    spread.write.mode("overwrite").partitionBy("region", "supplier_file").json(folder)
-    return read_reports(items.sparkSession, folder).groupBy("region", "supplier_file").agg(F.count("*").alias("items"))
+    (spread.write.mode("overwrite").option("partitionOverwriteMode", replaced).partitionBy("region", "supplier_file")
+     .json(folder))
+
+
+REPORT_STATUS = T.StructType([T.StructField(n, T.LongType() if n == "items" else T.StringType())
+                              for n in ("supplier", "status", "items", "failed_sections", "error")])
+_FAULTS = "supplier string, status string, failed_sections string, error string"
+
+
+def write_each_report(parts: dict[str, DataFrame], folder: str, replace_all: bool = True, most_failures: int = 20) -> DataFrame:
+    """Write the items of all sections like write_reports, but a supplier whose items cannot be made stops no other: of its
+    report the sections that fail are left out. Returns supplier, status (Written, Incomplete or Failed), items, failed_sections
+    and the first error. Only with replace_all are the reports of other suppliers deleted first."""
+    spark = next(iter(parts.values())).sparkSession
+    whole = reduce(DataFrame.unionByName, parts.values())
+    if replace_all:
+        remove(spark, folder)
+    # The names come from the headline, as every supplier of the month has one.
+    names = parts["headline"].select("supplier")
+    failed = isolated(names, lambda part: _write(whole.where(part), folder, "dynamic"), most_failures)
+    told = []
+    for supplier, error in failed:
+        good, bad = {}, {}
+        for section, items in parts.items():
+            try:
+                good[section] = materialized(items.where(F.col("supplier") == supplier))
+            except Exception as own:
+                bad[section] = own
+        if good:
+            _write(reduce(DataFrame.unionByName, good.values()), folder, "dynamic")
+        reason = str(next(iter(bad.values()), error)).split("\n")[0]
+        told.append((supplier, "Incomplete" if good else "Failed", ", ".join(bad), reason))
+    faults = spark.createDataFrame(told, _FAULTS)  # most_failures at most
+    written = read_reports(spark, folder).join(names.distinct(), "supplier", "left_semi").groupBy("supplier").agg(F.count("*").alias("items"))
+    return written.join(faults, "supplier", "full_outer").select(
+        "supplier", F.coalesce("status", F.lit("Written")).alias("status"), F.coalesce("items", F.lit(0)).alias("items"), "failed_sections", "error")
 
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
