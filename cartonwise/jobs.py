@@ -138,7 +138,8 @@ class Home:
         return self._kept_status(month, done.unionByName(again))
 
     def _report(self, month: dt.date, name: str, suppliers: DataFrame | None, replace_all: bool) -> DataFrame:
-        parts = report_parts(self.published.lines, month, self.rules, suppliers, with_transactions=True, firsts=self.published.firsts)
+        parts = report_parts(self.published.lines, month, self.rules, suppliers, with_transactions=True, firsts=self.published.firsts,
+                             published=self.published.rollup)
         status = write_each_report(parts, self.folder(month, name), replace_all)
         return self._kept_status(month, status) if suppliers is None else materialized(status)
 
@@ -151,7 +152,7 @@ class Home:
         return self.folder(month, "Supplier_Reports_status")
 
     def summary(self, month: dt.date) -> list[str]:
-        tables = month_summary(self.published.lines, self.contacts(), month, self.rules)
+        tables = month_summary(self.published.lines, self.contacts(), month, self.rules, self.published.rollup)
         return self._write(tables, month, "Summary_Report")
 
     def kpi(self, month: dt.date) -> list[str]:

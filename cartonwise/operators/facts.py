@@ -14,6 +14,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartonwise.functions.dates import month_of, shift_month, within
 from cartonwise.functions.numbers import board_area
@@ -66,6 +67,12 @@ def total(*names: str) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
+def rollup_measures() -> list[T.StructField]:
+    """The measures of a rollup of whole lines, with their types."""
+    decimals = {"board": T.DecimalType(30, 0), "density_sum": T.DecimalType(20, 2)}
+    return [T.StructField(m, decimals.get(m, T.LongType())) for m in _MEASURES]
+
+
 def rollup(lines: DataFrame, *measures: str) -> DataFrame:
     """One row per month, country, supplier, factory and approver with the named measures, or all there are. Partial
     sums are made before the shuffle, so a supplier holding a third of the lines sends a few rows per task like any

@@ -153,39 +153,42 @@ class KpiDashboard:
     approvers: DataFrame
 
 
-def kpi_rows(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
-    """Rollup of the lines the KPI dashboard counts: month before last year's to the report month."""
+def kpi_lines(rows: DataFrame, filters: Filters, rules: Rules) -> DataFrame:
+    """The lines the KPI dashboard counts: month before last year's to the report month."""
     f = filters.cleaned()
     picked = in_months(rows, shift_month(f.month, -12), f.month).where(line_filter(f))
-    if f.region:
-        picked = picked.where(country_region(F.col("origin_country"), rules) == f.region)
-    return rollup(picked, "lines", "active")
+    return picked.where(country_region(F.col("origin_country"), rules) == f.region) if f.region else picked
 
 
 def kpi_dashboard(rows: DataFrame, filters: Filters, rules: Rules) -> KpiDashboard:
+    """All counts come from a rollup by month, country, supplier and factory. Approvers, who would make nearly every line a group
+    of its own there, are counted apart, from the lines of two months."""
     f = filters.cleaned()
-    base = materialized(kpi_rows(rows, f, rules))
+    picked = kpi_lines(rows, f, rules)
+    base = materialized(rollup(picked.drop("approved_by"), "lines", "active"))
     people = kpi_people(rows, base, f, rules)
     return KpiDashboard(kpi_cards(people, base, f, rules), people, kpi_countries(base, f, rules),
-                        approver_change(base, f.month))
+                        approver_change(picked, f.month))
+
+
+def _names_per_month(base: DataFrame, column: str, name: str, rules: Rules) -> DataFrame:
+    """month, <name>, bd_<name>, cn_<name>: distinct values of the column, overall and with lines in each region. One row per month
+    and value says in which regions it is, so that three counts take one pass."""
+    region = country_region(F.col("origin_country"), rules)
+    regions = {r.lower(): F.max((region == r).cast("int")).alias(r.lower()) for r in ("BD", "CN")}
+    keyed = base.where(F.col(column).isNotNull()).groupBy("month", column).agg(*regions.values())
+    return keyed.groupBy("month").agg(F.count("*").alias(name), *(F.sum(r).alias(f"{r}_{name}") for r in regions))
 
 
 def kpi_people(rows: DataFrame, base: DataFrame, f: Filters, rules: Rules) -> DataFrame:
     """Per chart month: lines, suppliers and factories, overall and per region; 0 without data."""
     region = country_region(F.col("origin_country"), rules)
-    first = shift_month(f.month, 1 - rules.chart_months)
-    keyed = in_months(base, first, f.month).groupBy(
-        "month", region.alias("region"), "supplier", "factory").agg(*total("lines"))
-
-    def per_region(function, column: str, name: str):
-        return [function(F.when(F.col("region") == r, F.col(column))).alias(f"{r.lower()}_{name}") for r in ("BD", "CN")]
-
-    monthly = keyed.groupBy("month").agg(
-        F.sum("lines").alias("lines"), F.count_distinct("supplier").alias("suppliers"),
-        F.count_distinct("factory").alias("factories"), *per_region(F.sum, "lines", "lines"),
-        *per_region(F.count_distinct, "supplier", "suppliers"),
-        *per_region(F.count_distinct, "factory", "factories"))
-    return chart_months(rows, f.month, rules).join(monthly, "month", "left").na.fill(0)
+    shown = in_months(base, shift_month(f.month, 1 - rules.chart_months), f.month)
+    lines = shown.groupBy("month").agg(*total("lines"), *(F.sum(F.when(region == r, F.col("lines"))).alias(f"{r.lower()}_lines") for r in ("BD", "CN")))
+    out = chart_months(rows, f.month, rules)
+    for counts in (lines, _names_per_month(shown, "supplier", "suppliers", rules), _names_per_month(shown, "factory", "factories", rules)):
+        out = out.join(counts, "month", "left")
+    return out.na.fill(0)
 
 
 def kpi_cards(people: DataFrame, base: DataFrame, f: Filters, rules: Rules) -> DataFrame:

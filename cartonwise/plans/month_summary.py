@@ -14,10 +14,12 @@ from cartonwise.operators.facts import in_months, rollup
 from cartonwise.operators.supplier import line_details, line_totals
 
 
-def month_summary(lines: DataFrame, contacts: DataFrame, month: dt.date, rules: Rules) -> dict[str, DataFrame]:
-    """Whatever adds up comes from one rollup of the chart's months; only what counts POs reads the lines again."""
+def month_summary(lines: DataFrame, contacts: DataFrame, month: dt.date, rules: Rules, published: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Whatever adds up comes from one rollup of the chart's months, the published one if it is given; only what counts POs reads
+    the lines again."""
     first = shift_month(month, 1 - rules.chart_months)
-    base = materialized(rollup(in_months(lines.drop("approved_by"), first, month), "lines", "compliant"))
+    base = in_months(published, first, month) if published is not None else materialized(
+        rollup(in_months(lines.drop("approved_by"), first, month), "lines", "compliant"))
     details = line_details(in_months(lines, month, month), "month", F.col("origin_country").alias("country"))
     trend = summary.country_trend(base, month, rules, lines)
     yearly = summary.supplier_trend(base, month, rules, lines)

@@ -63,12 +63,12 @@ def report_sections(lines: DataFrame, base: DataFrame, firsts: DataFrame | None,
 
 
 def report_parts(lines: DataFrame, month: dt.date, rules: Rules, suppliers: DataFrame | None = None, with_transactions: bool = False,
-                 firsts: DataFrame | None = None, more: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                 firsts: DataFrame | None = None, more: dict[str, DataFrame] | None = None, published: DataFrame | None = None) -> dict[str, DataFrame]:
     """Section name -> region, supplier, section, item (JSON). `suppliers` limits the run to the names listed in it, `more` adds
     sections, tables with a supplier column. A series starts at its supplier's first month, which takes all months' lines to
-    know: pass the published first months instead."""
-    base = materialized(rollup(in_months(lines.drop("approved_by"), month, month), "lines", "compliant",
-                               "non_compliant", "approved", "approved_qty", "board"))
+    know: pass the published first months instead, and the published rollup, so that lines are not rolled up again."""
+    base = in_months(published, month, month) if published is not None else materialized(
+        rollup(in_months(lines.drop("approved_by"), month, month), "lines", "compliant", "non_compliant", "approved", "approved_qty", "board"))
     regions = report_regions(base, rules)
     if suppliers is not None:
         regions = regions.join(suppliers.select("supplier").distinct(), "supplier", "left_semi")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cartonwise.config import materialized, remove
 from cartonwise.functions.dates import month_of
-from cartonwise.operators.facts import rollup
+from cartonwise.operators.facts import rollup, rollup_measures
 from cartonwise.schema import LINES
 from cartonwise.sources.journal import Journal, read_table
 from cartonwise.sources.exports import SPLIT_BYTES, UNREADABLE, Layout, conform, export_name, layout_of, read_exports
@@ -22,6 +22,9 @@ from cartonwise.sources.exports import SPLIT_BYTES, UNREADABLE, Layout, conform,
 PROBES = 16
 CONTENTS = T.StructType([T.StructField("supplier", T.StringType()), T.StructField("month", T.DateType()), T.StructField("lines", T.LongType()),
                          T.StructField("source_file", T.StringType())])
+# month comes last, as the table is partitioned by it.
+ROLLUP = T.StructType([*(T.StructField(c, T.StringType()) for c in ("origin_country", "supplier", "factory")), *rollup_measures(),
+                       T.StructField("month", T.DateType())])
 FIRST_MONTHS = T.StructType([T.StructField("supplier", T.StringType()), T.StructField("first_month", T.DateType())])
 REPORT = "path string, source_file string, status string, error string"
 
@@ -72,7 +75,7 @@ def content_of(lines: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Published:
-    """What the monthly jobs read: lines by month, and each supplier's first month.
+    """What the monthly jobs read: lines by month, their rollup, and each supplier's first month.
 
     `contents` tells what of each file is published. With it the months and suppliers that a file's earlier rows fell into are
     known without reading lines, and so are the files that hold a month."""
@@ -84,6 +87,11 @@ class Published:
     def lines(self) -> DataFrame:
         return read_published(self.spark, f"{self.path}/lines")
 
+    @property
+    def rollup(self) -> DataFrame:
+        """Monthly totals per country, supplier and factory, of all measures."""
+        return read_table(self.spark, f"{self.path}/rollup", ROLLUP)
+
     @property
     def firsts(self) -> DataFrame:
         return read_table(self.spark, f"{self.path}/first_months", FIRST_MONTHS)
@@ -115,9 +123,13 @@ class Published:
         month = month_of(F.col("handover_date"))
         wanted = month.isin(*dated) | month.isNull() if None in months else month.isin(*dated)
         publish(store.read().join(holding, "source_file", "left_semi").where(wanted).select(*LINES.names), f"{self.path}/lines")
+        published = F.col("handover_month")
+        fresh = self.lines.where(published.isin(*dated) | published.isNull() if None in months else published.isin(*dated))
+        publish_rollup(fresh.drop("handover_month"), f"{self.path}/rollup")
         held = {r.month for r in contents.where(asked | F.col("month").isNull()).select("month").distinct().collect()}
         for gone in months - held:
             remove(self.spark, f"{self.path}/lines/handover_month={gone or '__HIVE_DEFAULT_PARTITION__'}")
+            remove(self.spark, f"{self.path}/rollup/month={gone or '__HIVE_DEFAULT_PARTITION__'}")
 
     def _publish_firsts(self, contents: DataFrame, changed: DataFrame | None) -> None:
         """First months of the changed suppliers, or of all: a file that goes may take a supplier's first month with it."""

@@ -9,6 +9,7 @@ from test_loading import BASE, write
 import cartonwise.sources.store as store_module
 from cartonwise.functions.dates import shift_month
 from cartonwise.jobs import Home
+from cartonwise.operators.facts import rollup
 from cartonwise.sources.journal import Journal
 from cartonwise.sources.store import LineStore, Published
 
@@ -26,6 +27,8 @@ class Stop(Exception):
 def state(home):
     published = rows_of(home.published.lines, "source_file", "handover_month", "kimball", "supplier")
     contents = rows_of(home.published.contents, "source_file", "supplier", "month", "lines")
+    totals = rows_of(home.published.rollup.select("month", "supplier", "lines", "compliant"))
+    assert totals == rows_of(rollup(home.published.lines.drop("handover_month", "approved_by")).select("month", "supplier", "lines", "compliant"))
     return published, rows_of(home.published.firsts), contents, home.journal.unfinished()
 
 
@@ -66,6 +69,7 @@ def breaks(monkeypatch, spark, home):
         "stored": lambda: stops(LineStore, "_write", after=True),
         "reported": lambda: stops(Published, "publish_files"),
         "a month deleted": lambda: stops(store_module, "publish", first=gone("published/lines/handover_month=2026-04-01")),
+        "a rollup month deleted": lambda: stops(store_module, "publish_rollup", first=gone("published/rollup/month=2026-04-01")),
         "months written": lambda: stops(store_module, "publish", after=True),
         "first months deleted": lambda: stops(Published, "_publish_firsts", first=gone("published/first_months")),
         "first months written": lambda: stops(Published, "_publish_firsts", after=True),
@@ -74,7 +78,7 @@ def breaks(monkeypatch, spark, home):
     }
 
 
-STEPS = ["entered", "a file's old rows deleted", "stored", "reported", "a month deleted", "months written", "first months deleted",
+STEPS = ["entered", "a file's old rows deleted", "stored", "reported", "a month deleted", "a rollup month deleted", "months written", "first months deleted",
          "first months written", "contents deleted", "published"]
 
 
