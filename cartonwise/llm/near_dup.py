@@ -40,6 +40,7 @@ _COMPARISONS = 1024  # for each document; branching ends when the nodes that are
 _ACTIVE = 4  # trees in which a document must meet another one; a pair at 0.75 misses that 4 times in a million
 _LOOKS_SIMILAR = 0.65  # of the profile; a pair at 0.75 stays below it once in 10,000
 _BLOCK = 256  # documents of a cluster in a block
+_MEETING = 1024  # documents of a large cluster in two blocks that meet: its texts travel once for every other block
 _COLUMNS = 4096  # shingles that are compared at once
 
 
@@ -341,7 +342,7 @@ def _links(clusters: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     large = large.join(sizes, ["cluster", "comp"]).withColumn("own", own)
     totals = large.groupBy("cluster", "own").agg(F.count("*").alias("total")).withColumnRenamed("own", "_own")
     placed = large.join(totals.withColumnRenamed("cluster", "_cluster"), (F.col("cluster") == F.col("_cluster")) & F.col("own").eqNullSafe(F.col("_own")))
-    placed = materialized(placed.select("cluster", "doc", "comp", "own", F.pmod(F.xxhash64("doc"), F.ceil(F.col("total") / (_BLOCK // 2))).alias("number")))
+    placed = materialized(placed.select("cluster", "doc", "comp", "own", F.pmod(F.xxhash64("doc"), F.ceil(F.col("total") / (_MEETING // 2))).alias("number")))
     blocks = placed.select("cluster", "own", "number").distinct()
     left = blocks.select("cluster", F.col("own").alias("own_1"), F.col("number").alias("number_1"))
     right = blocks.select("cluster", F.col("own").alias("own_2"), F.col("number").alias("number_2"))
