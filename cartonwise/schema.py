@@ -44,7 +44,7 @@ _TYPES = {
     "cbm": T.DecimalType(10, 4),
     "density": T.DecimalType(10, 2),
 }
-# Columns of a loaded line in report order; source_file is last because the store is partitioned by it.
+# Columns of a loaded line in report order; source_file is last because the store is partitioned by it.
 LINE_COLUMNS = (
     "area", "sub_area", "origin_country", "origin_port", "supplier", "factory", "destination_po", "kimball",
     "colour_code", "description", "size", "po_qty", "handover_date", "carton_matrix_code", "units_per_carton",
