@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Mapping
 from functools import cache
+from types import MappingProxyType
 
 # Words that passwords are made of, most usual first.
 WORDS = """password pass admin welcome login letmein qwerty monkey dragon master shadow sunshine princess football
@@ -66,57 +68,66 @@ def _alphabet(value: str) -> int:
     return size + (33 if any(not c.isalnum() for c in value) else 0) or 26
 
 
-def cheapest_parts(value: str) -> tuple[float, list[tuple[str, int, int]]]:
-    """(decimal logarithm of the guesses, parts as (kind, start, end)). The empty value takes one guess."""
+def _dates(value: str) -> dict[int, list[tuple[int, float]]]:
+    """By end: (start, cost) of the dates and years."""
+    found: dict[int, list[tuple[int, float]]] = {}
+    for match in _DATE.finditer(value):
+        cost = math.log10(_YEARS * (_DAYS if len(match[0]) > 4 else 1))
+        found.setdefault(match.end(), []).append((match.start(), cost))
+    return found
+
+
+def cheapest_parts(value: str, learned: Mapping[str, float] = MappingProxyType({})) -> tuple[float, list[tuple[str, int, int]]]:
+    """(decimal logarithm of the guesses, parts as (kind, start, end)). The empty value takes one guess. learned: the costs of more
+    words, in small letters. Time and memory are in proportion to the length: of walks and repeats only where the run that reaches
+    the present character began is kept. A repeat is tried from where it begins, or its last 64 characters."""
     size = len(value)
     lower = value.lower() if len(value.lower()) == size else value
     plain = lower.translate(LOOK_ALIKES)
     ranks, steps, single = _ranks(), _steps(), math.log10(_alphabet(value))
-    longest_word = max(map(len, ranks))
-    ending: list[list[tuple[float, str, int]]] = [[] for _ in range(size + 1)]  # by end: (cost, kind, start)
-
-    for match in _DATE.finditer(value):
-        cost = math.log10(_YEARS * (_DAYS if len(match[0]) > 4 else 1))
-        ending[match.end()].append((cost, "date", match.start()))
-    start = 0
-    while start < size:  # maximal walks; any cut of one is a walk
-        end = start + 1
-        while end < size and lower[end - 1:end + 1] in steps:
-            end += 1
-        for stop in range(start + 3, end + 1):
-            for begin in range(max(start, stop - _LONGEST_PART), stop - 2):
-                ending[stop].append((math.log10(len(WALKS) * 10 * (stop - begin)), "walk", begin))
-        start = end
-    for unit in range(1, _LONGEST_UNIT + 1):  # maximal stretches in which each character equals the one a unit before
-        start = 0
-        while start + unit < size:
-            end = start + unit
-            while end < size and value[end] == value[end - unit]:
-                end += 1
-            if end - start >= max(3, 2 * unit):
-                cost = unit * single
-                for stop in range(start + max(3, 2 * unit), end + 1):
-                    for begin in {start, max(start, stop - _LONGEST_PART)}:
-                        ending[stop].append((cost + math.log10(stop - begin), "repeat", begin))
-            start = max(start + 1, end - unit + 1)
+    longest_word = max(max(map(len, ranks)), max(map(len, learned), default=0))
+    dates, walk, repeats = _dates(value), 0, [0] * (_LONGEST_UNIT + 1)  # where the walk, and the repeat of each unit, began
 
+    # The least cost up to each end, whatever the last part is (best, with that part) and if characters tried one by one end there
+    # (tried, with where these begin): the next such character belongs to the same part, so the two are not the same.
     best, last = [0.0] * (size + 1), [("", 0)] * (size + 1)
+    tried, since = [math.inf] * (size + 1), [0] * (size + 1)
     for end in range(1, size + 1):
-        kind, begin = last[end - 1]
-        grows = kind == "brute"
-        choice = (best[end - 1] + single + (0 if grows or end == 1 else _SEPARATE), "brute", begin if grows else end - 1)
-        if value[end - 1] in _SEPARATORS:
-            ending[end].append((math.log10(len(_SEPARATORS)), "separator", end - 1))
+        here = end - 1
+        fresh = best[here] + single + (_SEPARATE if here else 0)
+        if tried[here] + single <= fresh:
+            tried[end], since[end] = tried[here] + single, since[here]
+        else:
+            tried[end], since[end] = fresh, here
+        choice = (tried[end], "brute", since[end])
+
+        def offer(cost: float, kind: str, begin: int) -> None:
+            nonlocal choice
+            total = best[begin] + cost + (_SEPARATE if begin and kind != "separator" else 0)
+            if total < choice[0]:
+                choice = (total, kind, begin)
+
+        for begin, cost in dates.get(end, ()):
+            offer(cost, "date", begin)
+        if here and lower[here - 1:end] not in steps:
+            walk = here
+        for begin in range(max(walk, end - _LONGEST_PART), end - 2):  # any cut of a walk is a walk
+            offer(math.log10(len(WALKS) * 10 * (end - begin)), "walk", begin)
+        for unit in range(1, _LONGEST_UNIT + 1):  # stretches in which each character equals the one a unit before
+            if here - unit >= repeats[unit] and value[here] != value[here - unit]:
+                repeats[unit] = here - unit + 1
+            if end - repeats[unit] >= max(3, 2 * unit):
+                for begin in {repeats[unit], max(repeats[unit], end - _LONGEST_PART)}:
+                    offer(unit * single + math.log10(end - begin), "repeat", begin)
+        if value[here] in _SEPARATORS:
+            offer(math.log10(len(_SEPARATORS)), "separator", here)
         for begin in range(max(0, end - longest_word), end - 2):
             for text, more in ((lower, 0.0), (plain, math.log10(2))):
-                rank = ranks.get(text[begin:end])
+                part = text[begin:end]
+                rank = ranks.get(part, learned.get(part))
                 if rank is not None:
                     case = 0.0 if value[begin:end].islower() or not any(map(str.isalpha, value[begin:end])) else math.log10(2)
-                    ending[end].append((rank + more + case, "word", begin))
-        for cost, kind, begin in ending[end]:
-            total = best[begin] + cost + (_SEPARATE if begin and kind != "separator" else 0)
-            if total < choice[0]:
-                choice = (total, kind, begin)
+                    offer(rank + more + case, "word", begin)
         best[end], last[end] = choice[0], choice[1:]
     parts, end = [], size
     while end:
@@ -124,3 +135,8 @@ def cheapest_parts(value: str) -> tuple[float, list[tuple[str, int, int]]]:
         parts.append((kind, begin, end))
         end = begin
     return best[size], parts[::-1]
+
+
+def ranked(words: list[str]) -> dict[str, float]:
+    """Costs of further words, most usual first, that come after the fixed ones."""
+    return {word: math.log10(len(WORDS) + rank + 1) for rank, word in enumerate(words, 1)}

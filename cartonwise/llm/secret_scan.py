@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cartonwise.llm.guesses import cheapest_parts
+from cartonwise.llm.guesses import cheapest_parts, ranked
 from cartonwise.llm.tables import map_texts
 
 # Kinds in the order in which spans of one place are listed, and the base patterns.
@@ -18,6 +20,7 @@ _ASSIGN = re.compile(rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
 _ASSIGN_STEMS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
+_WORD = re.compile(rb"(?<![A-Za-z0-9])[a-z]{3,24}(?![A-Za-z0-9])")
 _HEX_SHAPE = bytes(49 if c in b"0123456789abcdef" else 48 for c in range(256))
 
 # Names before which a value is a credential, beyond the base pattern's; also user:value@host in a URL.
@@ -41,7 +44,7 @@ def base_spans(data: bytes, lower: bytes) -> list[tuple[int, int, str, int]]:
 
 
 def guess_spans(data: bytes, lower: bytes, base: list[tuple[int, int, str, int]], least_guesses: float,
-                least_length: int) -> list[tuple[int, int, str, int]]:
+                least_length: int, learned: dict[str, float] | None = None) -> list[tuple[int, int, str, int]]:
     """Values in a credential context that take 10**least_guesses guesses or more and touch no base span."""
     if not any(stem in lower for stem in _STEMS):
         return []
@@ -52,20 +55,20 @@ def guess_spans(data: bytes, lower: bytes, base: list[tuple[int, int, str, int]]
         end = start + len(value.encode())
         if len(value) < least_length or any(s < end and start < e for s, e in taken):
             continue
-        if cheapest_parts(value)[0] >= least_guesses:
+        if cheapest_parts(value, learned or {})[0] >= least_guesses:
             found.append((start, end, "guess", start))
     return found
 
 
-def find(text: str, least_guesses: float = 10.0, least_length: int = 8) -> tuple[list[tuple[int, int, str]], list[float]]:
+def find(text: str, least_guesses: float = 10.0, least_length: int = 8, learned: dict[str, float] | None = None) -> tuple[list[tuple[int, int, str]], list[float]]:
     """(spans as (start, end, kind) in code points, by start and kind; the decimal logarithms of the guesses that the values
     of assign and guess spans take)."""
     data = text.encode()
     lower = data.lower()
     base = base_spans(data, lower)
-    spans = sorted(base + guess_spans(data, lower, base, least_guesses, least_length),
+    spans = sorted(base + guess_spans(data, lower, base, least_guesses, least_length, learned),
                    key=lambda s: (s[0], KINDS.index(s[2])))
-    guesses = [cheapest_parts(data[v:e].decode(errors="replace"))[0] for _, e, kind, v in spans if kind in ("assign", "guess")]
+    guesses = [cheapest_parts(data[v:e].decode(errors="replace"), learned or {})[0] for _, e, kind, v in spans if kind in ("assign", "guess")]
     if len(data) == len(text):
         return [(s, e, kind) for s, e, kind, _ in spans], guesses
     places = sorted({p for s, e, _, _ in spans for p in (s, e)})
@@ -80,17 +83,36 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{s}:{e}" for s, e, kind in spans)
 
 
-def scan(docs: DataFrame, least_guesses: float = 10.0, least_length: int = 8) -> DataFrame:
+def usual_words(docs: DataFrame, most_words: int = 20_000, least_documents: int = 3) -> list[str]:
+    """The words of ASCII letters that most documents have, in small letters and in that order: at most most_words, each in
+    least_documents or more. A task counts its documents before anything is shuffled."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[bytes] = Counter()
+            for text in batch.column(0):
+                counts.update(set(_WORD.findall((text.as_py() or "").encode().lower())))
+            yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())],
+                                             ["word", "documents"])
+
+    counted = map_texts(docs, work, "word string, documents long", ("text",)).groupBy("word").agg(F.sum("documents").alias("documents"))
+    best = counted.where(F.col("documents") >= least_documents).orderBy(F.desc("documents"), "word").limit(most_words)
+    return [r.word for r in best.collect()]
+
+
+def scan(docs: DataFrame, least_guesses: float = 10.0, least_length: int = 8, most_words: int = 20_000) -> DataFrame:
     """One row for each row of docs: doc_id; n_assign, n_access, n_hex; base_sha256 of the base spans; spans, all as
     kind:start:end; n_guess, spans that only the guess cost finds; max_guesses, the most that a value takes (decimal
-    logarithm; null without values). A null text has no spans. Rows are independent, so nothing is shuffled; columns other
-    than doc_id and text are not read."""
+    logarithm; null without values). Parts of a value may be words of a fixed list, or of the most_words words that most of
+    docs have: in prose, a word after "password is" is no secret. A null text has no spans. Rows are independent, so only words'
+    counts are shuffled; columns other than doc_id and text are not read."""
+    learned = docs.sparkSession.sparkContext.broadcast(ranked(usual_words(docs, most_words)))  # most_words words at most
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                spans, guesses = find(text.as_py() or "", least_guesses, least_length)
+                spans, guesses = find(text.as_py() or "", least_guesses, least_length, learned.value)
                 base = [s for s in spans if s[2] != "guess"]
                 rows.append([*(sum(s[2] == kind for s in spans) for kind in KINDS[:3]),
                              hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans),

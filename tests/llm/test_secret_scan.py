@@ -3,6 +3,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -69,6 +70,72 @@ def test_parts_cover_the_value():
     assert guesses.cheapest_parts("ab" * 20_000)[0] < 10
 
 
+def every_part(value, learned):
+    """All parts that a value may be cut into, by trying every stretch: (start, end, kind, cost)."""
+    single, lower = math.log10(guesses._alphabet(value)), value.lower()
+    plain, ranks = lower.translate(guesses.LOOK_ALIKES), guesses._ranks()
+    for start, end in itertools.combinations(range(len(value) + 1), 2):
+        size, part = end - start, value[start:end]
+        if 3 <= size <= guesses._LONGEST_PART and all(lower[i:i + 2] in guesses._steps() for i in range(start, end - 1)):
+            yield start, end, "walk", math.log10(len(guesses.WALKS) * 10 * size)
+        for unit in range(1, guesses._LONGEST_UNIT + 1):
+            if size >= max(3, 2 * unit) and (start == 0 or value[start - 1] != value[start - 1 + unit] or size == guesses._LONGEST_PART) and all(part[i] == part[i - unit] for i in range(unit, size)):
+                yield start, end, "repeat", unit * single + math.log10(size)
+        for text, more in ((lower, 0), (plain, math.log10(2))):
+            rank = ranks.get(text[start:end], learned.get(text[start:end]))
+            if size >= 3 and rank is not None:
+                yield start, end, "word", rank + more + (0 if part.islower() or not any(map(str.isalpha, part)) else math.log10(2))
+        if size == 1 and part in guesses._SEPARATORS:
+            yield start, end, "separator", math.log10(len(guesses._SEPARATORS))
+    for end, dates in guesses._dates(value).items():
+        for start, cost in dates:
+            yield start, end, "date", cost
+
+
+def test_the_cost_is_the_least_of_all_parts():
+    """Against the shortest path over every walk, repeat, word, date and separator: neither dearer nor cheaper."""
+    own, learned = random.Random(14), guesses.ranked(["friendship", "incorrect"])
+    pieces = ["qwe", "wert", "asdf", "aaa", "abab", "xyzxyz", "pass", "P4ss", "friendship", "2024", "1999-12-31", "_", ".", "7", "Q", "k#", "123", "ewq"]
+    for _ in range(250):
+        value = "".join(own.choices(pieces, k=own.randint(1, 6)))
+        single = math.log10(guesses._alphabet(value))
+        # By end, and whether characters tried one by one end there: those are one part, however many.
+        best = {(0, False): 0.0}
+        parts = sorted(every_part(value, learned), key=lambda p: p[1])
+        for end in range(1, len(value) + 1):
+            for (at, brute), cost in list(best.items()):
+                if at == end - 1:
+                    added = cost + single + (0 if brute or end == 1 else guesses._SEPARATE)
+                    best[end, True] = min(best.get((end, True), math.inf), added)
+            for start, stop, kind, own_cost in parts:
+                if stop == end:
+                    for brute in (False, True):
+                        if (start, brute) in best:
+                            added = best[start, brute] + own_cost + (guesses._SEPARATE if start and kind != "separator" else 0)
+                            best[end, False] = min(best.get((end, False), math.inf), added)
+        least = min(cost for (at, _), cost in best.items() if at == len(value))
+        found, cut = guesses.cheapest_parts(value, learned)
+        assert abs(found - least) < 1e-9 and cut[-1][2] == len(value)
+
+
+def test_long_values_take_memory_in_proportion():
+    for value in ("qw" * 5000, "a" * 10_000, "k3" * 5000):
+        tracemalloc.start()
+        guesses.cheapest_parts(value)
+        assert tracemalloc.get_traced_memory()[1] < 300 * len(value)
+        tracemalloc.stop()
+
+
+PROSE = ["your password is incorrect today", "auth: disabled", "login: procedure described", "The secret is friendship", "the token is unnecessary here"]
+
+
+def test_words_of_prose_are_no_secrets(frame):
+    rows = [(i, text + " and more of it") for i, text in enumerate(PROSE * 4)] + [(900, "password is zqxvkwpjtb and"), (901, "login: hT9#kk2vLq81")]
+    found = {r.doc_id: r.n_guess for r in secret_scan.scan(frame(rows)).collect()}
+    assert all(found[i] == 0 for i in range(len(PROSE) * 4)) and found[900] == found[901] == 1
+    assert secret_scan.usual_words(frame(rows), most_words=2) == ["and", "more"]
+
+
 def test_rows(spark, frame):
     docs = frame([(1, None), (2, ""), (3, "token: abcdef1"), (3, "token: abcdef1"), (None, "x" * 300_000)]).selectExpr("*", "'q' as spans")
     rows = {(r.doc_id, r.spans, r.n_assign, r.base_sha256) for r in secret_scan.scan(docs).collect()}
