@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +35,34 @@ def _has_chains(edges: DataFrame) -> bool:
     return not found.where("n > 1 or n = 1 and centre = 1").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(vertex, component) of every vertex of edges (u, v): component is the least vertex reached. Edges are turned into
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(vertex, component) of all edges (u, v), u > v, that one task is given."""
+    above: dict[int, int] = {}
+
+    def least(vertex: int) -> int:
+        while (up := above.get(vertex, vertex)) != vertex:
+            above[vertex] = vertex = above.get(up, up)
+        return vertex
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            one, two = least(u), least(v)
+            above.setdefault(v, v)
+            above[max(one, two)] = min(one, two)
+            above.setdefault(u, u)
+    found = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([least(x) for x in found], pa.int64())], ["vertex", "component"])
+
+
+def components(edges: DataFrame, in_one_task: int = 100_000) -> DataFrame:
+    """(vertex, component) of every vertex of edges (u, v): component is the least vertex reached. Up to in_one_task edges are
+    joined by one task. More are turned into
     stars by alternating rounds, a number that grows with the logarithm of the longest path; each round is kept as a
     table, as lineage would otherwise grow."""
-    edges = edges.where("u is not null and v is not null and u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = materialized(edges.where("u is not null and v is not null and u <> v").select(
+        F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v")).distinct())
+    if edges.count() <= in_one_task:
+        return materialized(edges.coalesce(1).mapInArrow(_joined, "vertex long, component long"))
     while True:
         edges = materialized(_tied(_tied(edges, True), False).distinct())
         if not _has_chains(edges):

@@ -132,6 +132,8 @@ def test_components(frame):
             a, b = sorted((find(u), find(v)))
             root[b] = a
     found = {r.vertex: r.component for r in components.components(frame(edges, "u long, v long")).collect()}
+    by_rounds = components.components(frame(edges, "u long, v long"), in_one_task=0).collect()
+    assert found == {r.vertex: r.component for r in by_rounds} and len(found) == len(by_rounds)
     assert found == {i: find(i) for i in root}
     assert components.components(frame([], "u long, v long")).count() == 0
 
