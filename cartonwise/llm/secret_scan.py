@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartonwise.config import materialized
 from cartonwise.llm.guesses import cheapest_parts, ranked
 from cartonwise.llm.tables import map_texts
 
@@ -96,8 +97,9 @@ def usual_words(docs: DataFrame, most_words: int = 20_000, least_documents: int
                                              ["word", "documents"])
 
     counted = map_texts(docs, work, "word string, documents long", ("text",)).groupBy("word").agg(F.sum("documents").alias("documents"))
-    best = counted.where(F.col("documents") >= least_documents).orderBy(F.desc("documents"), "word").limit(most_words)
-    return [r.word for r in best.collect()]
+    # Written first: a collected limit would send most_words rows of every partition to the driver.
+    best = materialized(counted.where(F.col("documents") >= least_documents).orderBy(F.desc("documents"), "word").limit(most_words))
+    return [r.word for r in sorted(best.collect(), key=lambda r: (-r.documents, r.word))]
 
 
 def scan(docs: DataFrame, least_guesses: float = 10.0, least_length: int = 8, most_words: int = 20_000) -> DataFrame:
