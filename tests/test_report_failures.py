@@ -65,3 +65,17 @@ def test_a_retry_makes_the_rest(spark, tmp_path, monkeypatch, rules):
     assert read_reports(spark, reports).where("supplier = 'Delta' and section = 'checked'").count() == 1
     assert rows_of(read_reports(spark, reports).where("supplier <> 'Delta'")) == before
     assert home.retry_reports(MAY).count() == 5
+
+
+def test_the_suppliers_at_fault_may_grow_with_all(spark, tmp_path):
+    names = spark.range(1100).selectExpr("'BD' as region", "concat('s', id) as supplier")
+    sections = {"headline": F.lit("{}"), "checked": F.when(F.expr("supplier like '%07'"), F.raise_error(F.concat(F.lit("no "), "supplier"))).otherwise(F.lit("{}")),
+                "late": F.when(F.expr("supplier like 's10_9'"), F.raise_error(F.lit("late"))).otherwise(F.lit("{}"))}
+    parts = {name: names.select("region", "supplier", F.lit(name).alias("section"), item.alias("item")) for name, item in sections.items()}
+    status = {r.supplier: r for r in write_each_report(parts, str(tmp_path / "reports")).collect()}
+    bad = {s: r for s, r in status.items() if r.status != "Written"}
+    expected = {f"s{i or ''}07" for i in range(1, 11)} | {f"s10{i}9" for i in range(10)}
+    assert len(status) == 1100 and set(bad) == expected
+    assert all(r.status == "Incomplete" and r["items"] == 2 for r in bad.values())
+    assert all(r.error.endswith(f"no {s}") or f"no {s}" in r.error for s, r in bad.items() if r.failed_sections == "checked")
+    assert {r.failed_sections for r in bad.values()} == {"checked", "late"}
