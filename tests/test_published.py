@@ -10,6 +10,7 @@ from cartonwise.functions.dates import shift_month
 from cartonwise.jobs import Home
 from cartonwise.operators import rates
 from cartonwise.operators.facts import in_months
+from cartonwise.sources import store
 from cartonwise.sources.store import LineStore
 
 
@@ -83,3 +84,30 @@ def test_aliases_and_contacts_are_kept(spark, tmp_path):
     assert rows_of(spark.read.option("header", True).csv(str(tmp_path / "sheet"))) == [("ACME LTD", "a@x.com, b@x.com")]
     home.set_contact("ACME LTD", "")
     assert home.contacts().count() == 0
+
+
+def test_a_load_moves_no_whole_lines(spark, tmp_path, monkeypatch):
+    """Exports hold a file's lines together, so these are stored, and published if files hold few months, by the tasks that read them."""
+    written = {}
+
+    def kept(name):
+        real = getattr(store, name)
+
+        def run(lines, path, by_file=False, by_month=False):
+            together = by_file or by_month
+            written.setdefault(name, []).append((together, "Exchange" in lines._jdf.queryExecution().executedPlan().toString()))
+            real(lines, path, together)
+        monkeypatch.setattr(store, name, run)
+
+    kept("replace_files")
+    kept("publish")
+    home = Home(spark, str(tmp_path / "home"))
+    paths = [write(tmp_path / f"{m}.csv", [BASE | {"Current Handover Date": f"2024-{m:02d}-20", "Kimball": str(k)} for k in range(5)]) for m in (1, 2, 3)]
+    assert {r.status for r in home.load(paths).collect()} == {"Loaded"}
+    assert written["replace_files"][0] == (True, False) and written["publish"] == [(True, False)]
+    many = write(tmp_path / "many.csv", [BASE | {"Current Handover Date": f"20{y}-{m:02d}-20", "Kimball": "9"} for y in (22, 23, 24) for m in range(1, 13)])
+    home.load([many])
+    assert written["publish"][-1][0] is False
+    assert sorted((r.handover_month.month, r["count"]) for r in home.published.lines.where("handover_month >= '2024-01-01'").groupBy("handover_month").count()
+                  .collect()) == [(1, 6), (2, 6), (3, 6)] + [(m, 1) for m in range(4, 13)]
+    assert home.published.lines.count() == 51 and home.published.rollup.agg({"lines": "sum"}).first()[0] == 51
