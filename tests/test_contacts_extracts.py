@@ -7,7 +7,7 @@ from cartonwise.config import NoData
 from cartonwise.functions.dates import shift_month
 from cartonwise.operators import directory
 from cartonwise.operators.transactions import transactions, transactions_page
-from cartonwise.plans.supplier_report import report_items, write_reports
+from cartonwise.plans.supplier_report import read_reports, report_items, write_reports
 from cartonwise.schema import HEADERS
 from cartonwise.sources import contacts, extracts
 
@@ -81,6 +81,37 @@ def test_written_extracts(spark, spec, rules, tmp_path):
     assert rows_of(chosen.groupBy("supplier").count()) == [("Cedar", 7), ("Delta", 9)]
 
 
+@pytest.mark.parametrize("kind", ["extract"])
+def test_folders_of_many_suppliers(spark, rules, tmp_path, kind):
+    """Each supplier costs a folder and a file, without a checksum file; and the folders are listed by a few tasks, not one each."""
+    lines = frame(spark, [line(supplier=f"S{i:03}", origin_country="Turkey", handover_date=dt.date(2026, 5, 1 + i % 28)) for i in range(200)])
+    path = str(tmp_path / kind)
+    spark.sparkContext.setJobGroup("many", "many")
+    try:
+        if kind == "extract":
+            extracts.write_by_supplier(extracts.by_supplier(lines, MAY, rules), path)
+        else:
+            write_reports(report_items(lines, MAY, rules), path)
+        spark.sparkContext.setJobGroup("read", "read")
+        found = extracts.read_by_supplier(spark, path) if kind == "extract" else read_reports(spark, path)
+        tracker = spark.sparkContext.statusTracker()
+        listed = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("read") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert listed and max(listed) <= 4 * spark.sparkContext.defaultParallelism
+    assert found.select("supplier_file").distinct().count() == 200
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    assert not list((tmp_path / kind).rglob("*.crc"))
+
+
+def test_names_in_folders_stay_text(spark, rules, tmp_path):
+    lines = frame(spark, [line(supplier=s, origin_country="Turkey", handover_date=dt.date(2026, 5, 4)) for s in ("007", "2026-05")])
+    extracts.write_by_supplier(extracts.by_supplier(lines, MAY, rules), str(tmp_path / "x"))
+    read = extracts.read_by_supplier(spark, str(tmp_path / "x"))
+    assert set(read.columns) == {*HEADERS, "Compliance Status", "region", "supplier_file"}
+    assert rows_of(read, "region", "supplier_file", "Supplier") == [("BD", "007", "007"), ("BD", "2026-05", "2026-05")]
+
+
 def test_written_reports(spark, spec, rules, tmp_path):
     done = write_reports(report_items(spec, MAY, rules), str(tmp_path / "reports"))
     assert [r[:2] for r in rows_of(done)] == [("BD", "Aurum"), ("BD", "Echo"), ("CN", "Borea"), ("CN", "Cedar"),
