@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartonwise.config import Rules, materialized
+from cartonwise.config import PLAIN_FILES, Rules, many_folders, materialized, setting
 from cartonwise.functions.numbers import rate_band
 from cartonwise.functions.regions import supplier_region
 from cartonwise.functions.text import file_safe
@@ -172,8 +172,10 @@ def write_reports(items: DataFrame, folder: str) -> DataFrame:
 def _write(items: DataFrame, folder: str, replaced: str) -> None:
     named = items.withColumn("supplier_file", file_safe(F.col("supplier")))
     spread = named.hint("rebalance", "region", "supplier_file")
-    (spread.write.mode("overwrite").option("partitionOverwriteMode", replaced).partitionBy("region", "supplier_file")
-     .json(folder))
+    # A folder takes longer to make than its items to write, so parts of few bytes are not joined to one for each core.
+    with setting(items.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        (spread.write.mode("overwrite").options(**PLAIN_FILES).option("partitionOverwriteMode", replaced)
+         .partitionBy("region", "supplier_file").json(folder))
 
 
 REPORT_STATUS = T.StructType([T.StructField(n, T.LongType() if n == "items" else T.StringType())
@@ -224,4 +226,5 @@ def _without_faults(parts: dict[str, DataFrame], names: DataFrame, most_failures
 
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema("supplier string, section string, item string, region string, supplier_file string").json(folder)
+    with many_folders(spark):
+        return spark.read.schema("supplier string, section string, item string, region string, supplier_file string").json(folder)

@@ -81,7 +81,7 @@ def test_written_extracts(spark, spec, rules, tmp_path):
     assert rows_of(chosen.groupBy("supplier").count()) == [("Cedar", 7), ("Delta", 9)]
 
 
-@pytest.mark.parametrize("kind", ["extract"])
+@pytest.mark.parametrize("kind", ["extract", "reports"])
 def test_folders_of_many_suppliers(spark, rules, tmp_path, kind):
     """Each supplier costs a folder and a file, without a checksum file; and the folders are listed by a few tasks, not one each."""
     lines = frame(spark, [line(supplier=f"S{i:03}", origin_country="Turkey", handover_date=dt.date(2026, 5, 1 + i % 28)) for i in range(200)])
