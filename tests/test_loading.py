@@ -4,11 +4,13 @@ import re
 
 import pytest
 from line_rows import MAY, rows_of
+from pyspark.sql import functions as F
 
+from cartonwise.functions.text import WHITE_SPACE, clean_text
 from cartonwise.operators import rates
 from cartonwise.operators.facts import in_months
 from cartonwise.schema import HEADERS, LINES
-from cartonwise.sources import exports
+from cartonwise.sources import exports, store
 from cartonwise.sources.store import (LineStore, clear, pending_files, publish, publish_rollup, read_published,
                                       replace_files)
 from cartonwise.streaming.ingest import start_ingest
@@ -148,3 +150,31 @@ def test_stream_loads_each_arrival_once(spark, tmp_path):
     write(folder / "b.csv", [BASE])
     write(folder / "bad.csv", [{"Nothing": "here"}])
     assert run() == [("a.csv", 2), ("b.csv", 1)]
+
+
+def test_exports_are_loaded_in_small_parts(spark, tmp_path, monkeypatch):
+    """Packed files can't be cut, so tasks of many of them would end far apart."""
+    seen, key = [], "spark.sql.files.maxPartitionBytes"
+    read, before = store.read_exports, spark.conf.get(key)
+    monkeypatch.setattr(store, "read_exports", lambda *a: seen.append(spark.conf.get(key)) or read(*a))
+    LineStore(spark, str(tmp_path / "lines")).load([write(tmp_path / "may.csv", [BASE])])
+    assert seen == [str(16 << 20)] and spark.conf.get(key) == before
+
+
+def test_no_method_is_too_large_to_be_compiled(spark):
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_cells_are_cleaned_as_by_a_search_of_each(spark):
+    ends = ["", " ", "\t", "\u3000", "\x85", "\x7f", "\x1f", "é", "!", "~"]
+    cells = [a + b + c for a in ends for b in ("", "x", "nan", "a b", "ü") for c in ends]
+    rows = spark.createDataFrame([(c,) for c in cells] + [(None,)], "cell string")
+    plain = F.nullif(F.trim("cell", F.lit(WHITE_SPACE)), F.lit("nan"))
+    assert rows.where(~clean_text(F.col("cell")).eqNullSafe(plain)).count() == 0
+
+
+def test_names_of_exports(spark):
+    paths = {"file:/a/b c.csv": (False, "b c.csv"), "file:/a/m%20%2B%25+x.csv": (False, "m +%+x.csv"), "file:/a/source_file=1%202/part.csv": (True, "1 2"),
+             "s3a://a/source_file=x%252Fy/part-0.csv.gz": (True, "x%2Fy"), "file:/a/source_file=b.csv": (False, "b.csv")}
+    for path, (folder, name) in paths.items():
+        assert spark.createDataFrame([(path,)], "p string").select(exports._source_file(folder, "p")).first()[0] == name
