@@ -3,6 +3,7 @@
 import csv
 import io
 import random
+import re
 
 import pytest
 from line_rows import rows_of
@@ -101,3 +102,30 @@ def test_no_records(spark, tmp_path, small_ranges):
     assert split(spark, [str(path)]) == ([], set())
     path.write_text("a,b,c\n\n\r\n1,2,3\n\n")
     assert split(spark, [str(path)])[0] == [("1", "2", "3")]
+
+
+def test_lines_stay_with_the_tasks_that_read_them(spark, tmp_path, small_ranges):
+    """Only pieces of the records that reach over ranges are shuffled, so one grouping besides the ranges' windows."""
+    path = write(tmp_path / "large.csv", [BASE | {"Kimball": str(i), "Description": f"line one of {i}\nline two"} for i in range(300)])
+    small_ranges(1500)
+    rows = read_records(spark, [path]).rows
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count() == 300 and plan.count("Aggregate") == 1 and not re.search("Window|Join|Repartition.*true|Rebalance", plan)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_irregular_files_are_told_by_every_line(spark, tmp_path, small_ranges, seed):
+    """Random quotes: rows are those of the whole file, or the file is named."""
+    own, paths = random.Random(seed), []
+    for number in range(12):
+        path = tmp_path / f"{number}.csv"
+        lines = [",".join(own.choice(['"a"', "b", '""', '"c\nd"', '"e""f"', "", '"""g"""']) for _ in range(3)) for _ in range(40)]
+        if number % 2:
+            lines[own.randrange(40)] = own.choice(['x,5" pipe,z', 'x,"y"z,w', 'x,y "z",w', '"x" ,y,z'])
+        path.write_text("a,b,c\n" + "\n".join(lines) + "\n")
+        paths.append(str(path))
+    small_ranges(own.choice([20, 60, 200]))
+    got, irregular = split(spark, paths)
+    odd = {p for p in paths if int(p.rsplit("/", 1)[1][:-4]) % 2}
+    assert {f.rsplit("/", 1)[1] for f in irregular} == {p.rsplit("/", 1)[1] for p in odd}
+    assert got == whole(spark, [p for p in paths if p not in odd])
