@@ -163,10 +163,11 @@ def isolated(suppliers: DataFrame, attempt: Callable[[Column], None], most_failu
 
 
 def write_reports(items: DataFrame, folder: str) -> DataFrame:
-    """Write the items as JSON lines under region=/supplier_file=; returns the items per report. A supplier with very
-    many items gets several files instead of one long task."""
+    """Write the items as JSON lines under region=/supplier_file=; returns what was written, as read_reports() does: the driver holds a
+    list of all folders for each table of them that is opened, so they are opened once. A supplier with very many items gets several
+    files instead of one long task."""
     _write(items, folder, "static")
-    return read_reports(items.sparkSession, folder).groupBy("region", "supplier_file").agg(F.count("*").alias("items"))
+    return read_reports(items.sparkSession, folder)
 
 
 def _write(items: DataFrame, folder: str, replaced: str) -> None:

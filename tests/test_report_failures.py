@@ -4,6 +4,7 @@ import pytest
 from line_rows import MAY, frame, rows_of, spec_rows
 from pyspark.sql import functions as F
 
+from cartonwise.catalog import QUERIES
 from cartonwise.jobs import Home
 from cartonwise.operators.facts import in_months
 from cartonwise.plans import supplier_report
@@ -79,3 +80,10 @@ def test_the_suppliers_at_fault_may_grow_with_all(spark, tmp_path):
     assert all(r.status == "Incomplete" and r["items"] == 2 for r in bad.values())
     assert all(r.error.endswith(f"no {s}") or f"no {s}" in r.error for s, r in bad.items() if r.failed_sections == "checked")
     assert {r.failed_sections for r in bad.values()} == {"checked", "late"}
+
+
+def test_folders_are_listed_once(spark, monkeypatch):
+    """The driver holds a list of all folders for each table of them that is opened."""
+    opened, read = [], supplier_report.read_reports
+    monkeypatch.setattr(supplier_report, "read_reports", lambda *a: opened.append(a) or read(*a))
+    assert QUERIES["report_fan_out"](spark, "/root/testdata/sf0.001").count() and len(opened) == 1
